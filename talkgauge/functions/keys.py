@@ -15,13 +15,16 @@ def _big_endian(value: Column, nbytes: int) -> Column:
 def string_hash(text) -> Column:
     """Unsigned 32-bit h = h*33 + c over UTF-16 units from 5381; 0 for null."""
     text = F.col(text) if isinstance(text, str) else text
-    units = F.regexp_extract_all(F.hex(F.encode(text, "UTF-16BE")), F.lit("(.{4})"), F.lit(1))
-    folded = F.aggregate(
-        units,
-        F.lit(5381).cast("bigint"),
-        lambda h, u: (h * 33 + F.conv(u, 16, 10).cast("bigint")).bitwiseAND(F.lit(_MASK)),
-    )
-    return F.when(text.isNull(), F.lit(0).cast("bigint")).otherwise(folded)
+    start = F.lit(5381).cast("bigint")
+
+    def add(h: Column, char: Column) -> Column:
+        code = F.ascii(char).cast("bigint")
+        above = code - 0x10000
+        pair = (h * 33 + (F.shiftright(above, 10) + 0xD800)) * 33 + (above.bitwiseAND(F.lit(0x3FF)) + 0xDC00)
+        return F.when(code < 0x10000, h * 33 + code).otherwise(pair).bitwiseAND(F.lit(_MASK))
+
+    folded = F.aggregate(F.split(text, ""), start, add)
+    return F.when(text.isNull(), F.lit(0).cast("bigint")).when(text == "", start).otherwise(folded)
 
 
 def bytes_hash(text) -> Column:

@@ -142,27 +142,27 @@ def group_load_second(group_event: DataFrame, lives: DataFrame,
     are those after its last row of the second; an expired group leaves the
     count when it is next touched.
     """
-    places = life_places(lives, "svc")
-
-    def moves(when: str, step: int) -> DataFrame:
-        return places.where(F.col(when).isNotNull()).select(
-            "svc", F.col(when).alias("seq"),
-            *[F.when(F.col("gtype") == t, step).otherwise(0).cast("bigint").alias(n)
-              for t, n in ((GROUP_NORMAL, "groups"), (GROUP_TEMP, "temp_groups"))],
-            F.lit(None).cast("bigint").alias("ts_ms"),
-        )
-
+    edges = F.array(
+        F.struct(F.col("opened").alias("seq"), F.lit(1).alias("step")),
+        F.struct(F.col("closed").alias("seq"), F.lit(-1).alias("step")),
+    )
+    moves = (
+        life_places(lives, "svc").select("svc", "gtype", F.inline(edges).alias("seq", "step"))
+        .where(F.col("seq").isNotNull())
+        .select("svc", "seq", *[
+            F.when(F.col("gtype") == t, F.col("step")).otherwise(0).cast("bigint").alias(n)
+            for t, n in ((GROUP_NORMAL, "groups"), (GROUP_TEMP, "temp_groups"))
+        ], F.lit(None).cast("bigint").alias("ts_ms"))
+    )
     zero = F.lit(0).cast("bigint")
     clock = in_out(group_event).select(
         "svc", "seq", zero.alias("groups"), zero.alias("temp_groups"), "ts_ms"
     )
-    steps = moves("opened", 1).unionByName(moves("closed", -1)).unionByName(clock).groupBy(
-        "svc", "seq"
-    ).agg(
+    steps = moves.unionByName(clock).groupBy("svc", "seq").agg(
         F.sum("groups").alias("g"), F.sum("temp_groups").alias("t"), F.max("ts_ms").alias("ts_ms")
     )
     timed = running(
-        with_cells(steps, ["svc"], "seq", cell_rows), ["svc"], "seq", inclusive=True,
+        with_cells(steps, ["svc"], "seq", cell_rows, few_keys=True), ["svc"], "seq", inclusive=True,
         sums={"groups": F.col("g"), "temp_groups": F.col("t")}, maxes={"clock": F.col("ts_ms")},
     ).where(F.col("ts_ms").isNotNull())
     return (

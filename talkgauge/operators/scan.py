@@ -17,18 +17,22 @@ CELL_ROWS = 4_000_000
 CELL = "_cell"
 
 
-def with_cells(rows: DataFrame, by: list[str], order: str, cell_rows: int = CELL_ROWS) -> DataFrame:
+def with_cells(rows: DataFrame, by: list[str], order: str, cell_rows: int = CELL_ROWS,
+               few_keys: bool = False) -> DataFrame:
     """Add the cell of each row: null for most keys, a range of `order` for big ones.
 
     `order` is a unique integer, so a range of `cell_rows` values holds at most
     that many rows whatever the skew. Big keys have more than `cell_rows` rows:
     there are at most total / cell_rows of them, which bounds the broadcast.
+    With `few_keys` (servers, say) all keys are split and none are counted.
     """
+    cell = F.floor(F.col(order) / cell_rows).cast("bigint")
+    if few_keys:
+        return rows.withColumn(CELL, cell)
     big = (
         rows.groupBy(*by).count().where(F.col("count") > cell_rows)
         .select(*by, F.lit(True).alias("_big"))
     )
-    cell = F.floor(F.col(order) / cell_rows).cast("bigint")
     return (
         rows.join(F.broadcast(big), by, "left")
         .withColumn(CELL, F.when(F.col("_big"), cell)).drop("_big")

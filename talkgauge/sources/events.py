@@ -124,7 +124,10 @@ def line_sql(idiv: str) -> dict[str, str]:
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
+    """The events table; one with fewer splits than cores is spread over all cores."""
+    rows = spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
 def event_ms() -> F.Column:
