@@ -47,7 +47,7 @@ def _before(a: str, b: str, first_event: str) -> Column:
 
 
 def machine_events(state: DataFrame, first_event: str = "reference") -> DataFrame:
-    """Add `emits`: the online events each row gives, in order."""
+    """Add `emits`: ubro, uon, ubro, uoff in order of emission, null where not given."""
     ts, on, off = F.col("ts_ms"), F.col("on"), F.col("off")
     fresh = (on.isNull() | (on.ts_ms <= ts)) & (off.isNull() | (off.ts_ms <= ts))
     goes_on = F.col("event").isin(LOGIN_EVENTS) & fresh & _before("on", "off", first_event)
@@ -61,13 +61,12 @@ def machine_events(state: DataFrame, first_event: str = "reference") -> DataFram
     def emit(condition: Column, event: str, interval: Column) -> Column:
         return F.when(condition, F.struct(F.lit(event).alias("event"), interval.alias("interval")))
 
-    emits = F.array(
+    return state.withColumn("emits", F.array(
         emit(goes_on & ~relogin & was_broken, USER_BROKEN, off_time),
         emit(goes_on, USER_ONLINE, off_time),
         emit(relogin, USER_BROKEN, zero),
         emit(goes_off, USER_OFFLINE, on_time),
-    )
-    return state.withColumn("emits", F.filter(emits, lambda e: e.isNotNull()))
+    ))
 
 
 def _run(action: DataFrame, first_event: str, cell_rows: int) -> DataFrame:
@@ -82,7 +81,7 @@ def online_events(action: DataFrame, first_event: str = "reference",
     """uon, uoff and ubro events; `pos` orders the events of one row."""
     return (
         _run(action, first_event, cell_rows).drop("on", "off").withColumnRenamed("event", "action")
-        .select("*", F.posexplode("emits").alias("pos", "e"))
+        .select("*", F.posexplode("emits").alias("pos", "e")).where(F.col("e").isNotNull())
         .withColumns({"event": F.col("e.event"), "interval": F.col("e.interval")})
         .select("seq", "pos", *ONLINE_EVENT_COLUMNS, "ts_ms")
     )
@@ -97,7 +96,7 @@ def user_sessions(action: DataFrame, first_event: str = "reference",
     on = F.col("on")
     return (
         _run(action, first_event, cell_rows)
-        .where(F.exists("emits", lambda e: e["event"] == USER_OFFLINE) & (on.svc == F.col("svc")))
+        .where(F.col("emits")[3].isNotNull() & (on.svc == F.col("svc")))
         .select(
             "seq", "svc", "uid", on.company.alias("company"), on.agent.alias("agent"),
             on.dt.alias("login"), F.col("dt").alias("logout"),
