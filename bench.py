@@ -51,7 +51,13 @@ def main() -> None:
     out: dict[str, float] = {}
     out["cold_user_session"] = timed(lambda: run(QUERIES["user_session"](Tables(spark, sf_dir))))
     tables = Tables(spark, sf_dir)
-    for name in ("action", "online", "group_event", "members", "lives"):
+    for name in ("user_org", "group_org", "action", "online", "sessions", "group_event", "members",
+                 "lives", "speaking"):
+        out[f"stage_{name}"] = timed(lambda: getattr(tables, name))
+    for kind in ("user", "speak"):
+        for entity in ("svc", "company" if kind == "user" else "gcompany"):
+            out[f"stage_{kind}_changes_{entity}"] = timed(lambda: getattr(tables, f"{kind}_changes")(entity))
+    for name in ("server_seconds", "server_load"):
         out[f"stage_{name}"] = timed(lambda: getattr(tables, name))
     for name in HEADLINE:
         if name in QUERIES:

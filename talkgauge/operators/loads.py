@@ -15,7 +15,7 @@ from talkgauge.functions.times import minute_mark, second_bucket
 from talkgauge.operators.enrich import filter_speak
 from talkgauge.operators.scan import CELL_ROWS, hold_deltas
 from talkgauge.operators.windows import (
-    distinct_members, fill, mark_late, minute_grid, per_minute_mark, running_by_day, second_grid,
+    dense_seconds, distinct_members, fill, mark_late, minute_grid, per_minute_mark, second_grid,
     trailing_hour,
 )
 from talkgauge.schemas import (
@@ -37,46 +37,48 @@ def _bucketed(rows: DataFrame, entity: str, late: str, cell_rows: int) -> DataFr
 
 
 def _user_rows(online: DataFrame, entity: str, late: str, cell_rows: int) -> DataFrame:
-    rows = online.select("seq", "pos", entity, "uid", "event", "ts_ms")
+    rows = online.select("seq", entity, "uid", "event", "ts_ms")
     return _bucketed(rows, entity, late, cell_rows)
 
 
-def _user_changes(rows: DataFrame) -> DataFrame:
-    """(entity, bucket) with distinct users per event and the change of the online set."""
-    per_user = rows.where("counts").groupBy("entity", "uid", "bucket").agg(
-        *[F.max(_flag(F.col("event") == e)).alias(n) for e, n in (
-            (USER_ONLINE, "loginTimes"), (USER_OFFLINE, "logoutTimes"), (USER_BROKEN, "brokenTimes"),
-        )]
-    )
+USER_TIMES = {"loginTimes": USER_ONLINE, "logoutTimes": USER_OFFLINE, "brokenTimes": USER_BROKEN}
+
+
+def user_changes(online: DataFrame, entity: str, late: str = "keep",
+                 cell_rows: int = CELL_ROWS) -> DataFrame:
+    """(entity, bucket) with distinct users per event and `delta`, the change of the online set.
+
+    Seconds without rows are left out; a user whose second has a logout is off
+    at its end. `seen` is zero where only a delta falls.
+    """
+    per_user = _user_rows(online, entity, late, cell_rows).where("counts").groupBy(
+        "entity", "uid", "bucket"
+    ).agg(*[F.max(_flag(F.col("event") == e)).alias(n) for n, e in USER_TIMES.items()])
     ops = per_user.where((F.col("loginTimes") + F.col("logoutTimes")) > 0).withColumn(
         "holds", F.col("logoutTimes") == 0
     )
-    deltas = hold_deltas(ops, ["entity", "uid"], "bucket", "holds")
-    times = ["loginTimes", "logoutTimes", "brokenTimes"]
+    return _add_up(per_user, hold_deltas(ops, ["entity", "uid"], "bucket", "holds"), list(USER_TIMES))
+
+
+def _add_up(counted: DataFrame, deltas: DataFrame, times: list[str]) -> DataFrame:
     none = F.lit(0).cast("bigint")
     return (
-        per_user.select("entity", "bucket", *times, none.alias("delta"))
-        .unionByName(deltas.select("entity", "bucket", *[none.alias(t) for t in times], "delta"))
-        .groupBy("entity", "bucket").agg(*[F.sum(c).alias(c) for c in [*times, "delta"]])
+        counted.select("entity", "bucket", *times, none.alias("delta"), F.lit(1).cast("bigint").alias("seen"))
+        .unionByName(deltas.select(
+            "entity", "bucket", *[none.alias(t) for t in times], "delta", none.alias("seen")
+        ))
+        .groupBy("entity", "bucket").agg(*[F.sum(c).alias(c) for c in [*times, "delta", "seen"]])
     )
 
 
-def user_load_second(online: DataFrame, entity: str, late: str = "keep",
-                     cell_rows: int = CELL_ROWS) -> DataFrame:
+def user_load_second(changes: DataFrame) -> DataFrame:
     """Per (entity, second): users online at its end, distinct users going on, off, broken."""
-    rows = _user_rows(online, entity, late, cell_rows)
-    return _seconds(rows, _user_changes(rows), "onlines", USER_SECOND_MEASURES)
-
-
-def _seconds(rows: DataFrame, changes: DataFrame, gauge: str, measures: list[str]) -> DataFrame:
-    counted = [m for m in measures if m != gauge]
-    dense = fill(second_grid(rows.where("counts"), "entity"), changes, "entity", [*counted, "delta"])
-    return running_by_day(dense, "entity", {gauge: F.col("delta")}).select(
-        "entity", "bucket", *measures
+    return dense_seconds(changes, "entity", "onlines", list(USER_TIMES)).select(
+        "entity", "bucket", *USER_SECOND_MEASURES
     )
 
 
-def _hour_sums(rows: DataFrame, changes: DataFrame, integral: str, times: list[str]) -> DataFrame:
+def _hour_sums(changes: DataFrame, grid: DataFrame, integral: str, times: list[str]) -> DataFrame:
     """(entity, mark): sums over the trailing 3,600 seconds, the gauge's as `integral`.
 
     A change of d at second s adds d to each second from s to the mark, so a
@@ -86,7 +88,6 @@ def _hour_sums(rows: DataFrame, changes: DataFrame, integral: str, times: list[s
     minutes = per_minute_mark(
         changes.withColumn("inside", F.col("delta") * left), "entity", [*times, "delta", "inside"]
     )
-    grid = minute_grid(rows.where("counts"), "entity")
     dense = fill(grid, minutes, "entity", [*times, "delta", "inside"])
     before = Window.partitionBy("entity").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     carry = F.coalesce(F.sum("delta").over(before), F.lit(0))
@@ -95,16 +96,16 @@ def _hour_sums(rows: DataFrame, changes: DataFrame, integral: str, times: list[s
     ).select("entity", "bucket", *times, integral)
 
 
-def user_load_hour(online: DataFrame, entity: str, late: str = "keep", distinct_hours: int = 2,
-                   cell_rows: int = CELL_ROWS) -> DataFrame:
+def user_load_hour(online: DataFrame, changes: DataFrame, entity: str,
+                   distinct_hours: int = 2) -> DataFrame:
     """Per (entity, minute mark): sums over an hour, distinct users over `distinct_hours`.
 
-    `onlines` counts users whose last event is uon, or a uoff not timed out.
+    `changes` are the `user_changes` of the same events. `onlines` counts users
+    whose last event is uon, or a uoff not timed out; late rows count as users.
     """
-    rows = _user_rows(online, entity, late, cell_rows)
-    sums = _hour_sums(
-        rows, _user_changes(rows), "totalOnlineSeconds", ["loginTimes", "logoutTimes", "brokenTimes"]
-    )
+    grid = minute_grid(changes.where("seen > 0"), "entity")
+    sums = _hour_sums(changes, grid, "totalOnlineSeconds", list(USER_TIMES))
+    rows = _user_rows(online, entity, "keep", CELL_ROWS)
     on, off = F.col("event") == USER_ONLINE, F.col("event") == USER_OFFLINE
     kinds = F.array(
         F.when(on, "loginUsers").when(off, "logoutUsers").otherwise("brokenUsers"),
@@ -116,7 +117,6 @@ def user_load_hour(online: DataFrame, entity: str, late: str = "keep", distinct_
         .where(F.col("kind").isNotNull())
         .withColumn("forever", (F.col("kind") == "onlines") & F.col("on"))
     )
-    grid = minute_grid(rows.where("counts"), "entity")
     users = distinct_members(
         members, "entity", grid, ["onlines", "loginUsers", "logoutUsers", "brokenUsers"],
         distinct_hours * HOUR_MS,
@@ -135,13 +135,14 @@ SPEAK_TIMES = {
 }
 
 
-def _speak_changes(rows: DataFrame, mic_cap: bool) -> DataFrame:
-    """(entity, bucket) with event counts and the change of the speaking set.
+def speak_changes(group_event: DataFrame, entity: str, late: str = "keep", mic_cap: bool = True,
+                  cell_rows: int = CELL_ROWS) -> DataFrame:
+    """(entity, bucket) with event counts and `delta`, the change of the speaking set.
 
     A user speaks from a GET_MIC to the next release or loss, in any group, or
-    until the five-minute cap.
+    until the five-minute cap. `seen` is zero where only a delta falls.
     """
-    rows = rows.where("counts")
+    rows = _speak_rows(group_event, entity, late, cell_rows).where("counts")
     ops = (
         rows.where(F.col("event") != "DENT_MIC").groupBy("entity", "uid", "bucket")
         .agg(F.max(F.struct("seq", "event")).alias("last"))
@@ -151,29 +152,25 @@ def _speak_changes(rows: DataFrame, mic_cap: bool) -> DataFrame:
         )
     )
     deltas = hold_deltas(ops, ["entity", "uid"], "bucket", "holds", "until")
-    none = F.lit(0).cast("bigint")
-    return (
-        rows.select(
-            "entity", "bucket", none.alias("delta"),
-            *[_flag(F.col("event") == e).alias(n) for n, e in SPEAK_TIMES.items()],
-        )
-        .unionByName(deltas.select("entity", "bucket", "delta", *[none.alias(n) for n in SPEAK_TIMES]))
-        .groupBy("entity", "bucket").agg(*[F.sum(c).alias(c) for c in [*SPEAK_TIMES, "delta"]])
+    counted = rows.select(
+        "entity", "bucket", *[_flag(F.col("event") == e).alias(n) for n, e in SPEAK_TIMES.items()]
     )
+    return _add_up(counted, deltas, list(SPEAK_TIMES))
 
 
-def speak_load_second(group_event: DataFrame, entity: str, late: str = "keep", mic_cap: bool = True,
-                      cell_rows: int = CELL_ROWS) -> DataFrame:
+def speak_load_second(changes: DataFrame) -> DataFrame:
     """Per (entity, second): users speaking at its end, and counts of microphone events."""
-    rows = _speak_rows(group_event, entity, late, cell_rows)
-    return _seconds(rows, _speak_changes(rows, mic_cap), "speakings", SPEAK_SECOND_MEASURES)
+    return dense_seconds(changes, "entity", "speakings", list(SPEAK_TIMES)).select(
+        "entity", "bucket", *SPEAK_SECOND_MEASURES
+    )
 
 
-def speak_load_hour(group_event: DataFrame, entity: str, late: str = "keep", mic_cap: bool = True,
-                    distinct_hours: int = 2, cell_rows: int = CELL_ROWS) -> DataFrame:
+def speak_load_hour(group_event: DataFrame, changes: DataFrame, entity: str,
+                    distinct_hours: int = 2) -> DataFrame:
     """Per (entity, minute mark): sums over an hour, distinct users and groups."""
-    rows = _speak_rows(group_event, entity, late, cell_rows)
-    sums = _hour_sums(rows, _speak_changes(rows, mic_cap), "speakingSeconds", list(SPEAK_TIMES))
+    grid = minute_grid(changes.where("seen > 0"), "entity")
+    sums = _hour_sums(changes, grid, "speakingSeconds", list(SPEAK_TIMES))
+    rows = _speak_rows(group_event, entity, "keep", CELL_ROWS)
     stem = F.when(F.col("event") == "GET_MIC", "speaking").when(
         F.col("event") == "LOSTMIC_AUTO", "lostAuto"
     ).when(F.col("event") == "LOSTMIC_REPLACE", "lostReplace").when(F.col("event") == "DENT_MIC", "dent")
@@ -186,7 +183,6 @@ def speak_load_hour(group_event: DataFrame, entity: str, late: str = "keep", mic
         .select("seq", "entity", "bucket", F.inline(pairs).alias("kind", "member"))
         .withColumn("forever", F.lit(False))
     )
-    grid = minute_grid(rows.where("counts"), "entity")
     kinds = [m for m in SPEAK_HOUR_MEASURES if m.endswith(("Users", "Groups"))]
     distinct = distinct_members(members, "entity", grid, kinds, distinct_hours * HOUR_MS)
     return (
@@ -197,8 +193,8 @@ def speak_load_hour(group_event: DataFrame, entity: str, late: str = "keep", mic
 
 def closed_hours(hours: DataFrame) -> DataFrame:
     """Hour reports an entity has moved past: its newest mark is still open."""
-    newest = hours.groupBy("entity").agg(F.max("bucket").alias("newest"))
-    return hours.join(newest, "entity").where(F.col("bucket") < F.col("newest")).drop("newest")
+    newest = F.max("bucket").over(Window.partitionBy("entity"))
+    return hours.withColumn("newest", newest).where(F.col("bucket") < F.col("newest")).drop("newest")
 
 
 def merge_reports(user: DataFrame, group: DataFrame, speak: DataFrame) -> DataFrame:

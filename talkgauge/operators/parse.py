@@ -198,11 +198,12 @@ def _event_keys() -> tuple[Column, dict[str, int]]:
                     if column + "?" not in second:
                         second.append(column + "?")
     slots = columns + second
-    cells = []
-    for event, keys in table.items():
-        cells.append(F.lit(event))
-        cells.append(F.array(*[F.lit(keys.get(slot)).cast("string") for slot in slots]))
-    return F.create_map(*cells), {slot: i for i, slot in enumerate(slots)}
+
+    def quoted(keys: dict[str, str]) -> str:
+        return ", ".join(f"'{keys[s]}'" if s in keys else "CAST(NULL AS STRING)" for s in slots)
+
+    cells = ", ".join(f"'{event}', array({quoted(keys)})" for event, keys in table.items())
+    return F.expr(f"map({cells})"), {slot: i for i, slot in enumerate(slots)}
 
 
 def extract_fields(classified: DataFrame, mask_passwords: bool = True) -> DataFrame:

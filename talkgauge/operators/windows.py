@@ -82,12 +82,42 @@ def fill(grid: DataFrame, rows: DataFrame, entity: str, measures: list[str],
     return summed if keep_outside else summed.where("_grid").drop("_grid")
 
 
-def running_by_day(rows: DataFrame, entity: str, sums: dict[str, Column]) -> DataFrame:
-    """Running sums over an entity's buckets, one day per task instead of one entity."""
-    return running(
-        rows.withColumn(CELL, floor_to("bucket", DAY_MS)), [entity], "bucket", sums=sums,
-        inclusive=True,
-    ).drop(CELL)
+def dense_seconds(changes: DataFrame, entity: str, gauge: str, counts: list[str]) -> DataFrame:
+    """Every second of each entity: its counts, and `delta` summed up so far as `gauge`.
+
+    `changes` is sparse, with `seen` over zero where there were rows. Each
+    change is stretched to the next one of its day, so a task makes the seconds
+    of one entity and day, and nothing dense is shuffled.
+    """
+    zero = F.lit(0).cast("bigint")
+    spans = changes.where("seen > 0").groupBy(entity).agg(
+        (F.min("bucket") - LATE_MS).alias("first"), F.max("bucket").alias("last")
+    )
+    days = F.explode(
+        F.sequence(floor_to("first", DAY_MS), floor_to("last", DAY_MS), F.lit(DAY_MS).cast("bigint"))
+    )
+    starts = spans.withColumn("day", days).select(
+        entity, F.greatest("day", "first").alias("bucket"), *[zero.alias(c) for c in [*counts, "delta"]],
+        F.least(F.col("day") + DAY_MS, F.col("last") + SECOND_MS).alias("end"),
+    )
+    rows = (
+        changes.select(entity, "bucket", *counts, "delta", F.lit(None).cast("bigint").alias("end"))
+        .unionByName(starts).withColumn(CELL, floor_to("bucket", DAY_MS))
+        .groupBy(entity, CELL, "bucket")
+        .agg(*[F.sum(c).alias(c) for c in [*counts, "delta"]], F.max("end").alias("end"))
+    )
+    day = Window.partitionBy(entity, CELL)
+    spread = (
+        running(rows, [entity], "bucket", sums={gauge: F.col("delta")}, inclusive=True)
+        .withColumn("end", F.max("end").over(day)).where(F.col("bucket") < F.col("end"))
+        .withColumn("next", F.lead("bucket").over(day.orderBy("bucket")))
+        .withColumn("last", F.coalesce("next", "end") - SECOND_MS)
+    )
+    seconds = F.posexplode(F.sequence("bucket", "last", F.lit(SECOND_MS).cast("bigint")))
+    return spread.select(entity, gauge, *counts, seconds.alias("pos", "second")).select(
+        entity, F.col("second").alias("bucket"), gauge,
+        *[F.when(F.col("pos") == 0, F.col(c)).otherwise(zero).alias(c) for c in counts],
+    )
 
 
 def skipped_seconds(rows: DataFrame, entity: str, cell_rows: int = CELL_ROWS) -> DataFrame:

@@ -9,7 +9,7 @@ from talkgauge.functions import jsons, keys, text, times
 from talkgauge.operators import enrich, groups, loads, online, parse, sinks, speaking, windows
 from talkgauge.plans.tables import Query, Tables
 from talkgauge.schemas import (
-    ACTION_COLUMNS, GROUP_EVENT_COLUMNS, GROUP_NORMAL, GROUP_TEMP, HOUR_MS, LOG_COLUMNS, MINUTE_MS,
+    ACTION_COLUMNS, GROUP_EVENT_COLUMNS, GROUP_NORMAL, GROUP_TEMP, LOG_COLUMNS, MINUTE_MS,
     ONLINE_EVENT_COLUMNS, SESSION_COLUMNS, SPEAK_HOUR_MEASURES, SPEAKING_COLUMNS, USER_HOUR_MEASURES,
 )
 from talkgauge.sources import logs
@@ -197,7 +197,7 @@ def online_events_corrected(t: Tables) -> DataFrame:
 
 @query
 def user_session(t: Tables) -> DataFrame:
-    return t.sessions.select("seq", *SESSION_COLUMNS)
+    return online.user_sessions(t.action).select("seq", *SESSION_COLUMNS)
 
 
 add("last_login", lambda t: online.last_login(t.action))
@@ -229,14 +229,14 @@ add("company_group_set",
     lambda t: _of_type(groups.live_groups_by(t.members, t.lives, "gcompany"), GROUP_NORMAL))
 add("company_temp_group_set",
     lambda t: _of_type(groups.live_groups_by(t.members, t.lives, "gcompany"), GROUP_TEMP))
-add("group_load_second", lambda t: t.server_seconds[1])
+add("group_load_second", lambda t: groups.group_load_second(t.group_event, t.lives))
 
 
 # --- speaking
 
 @query
 def speaking_record(t: Tables) -> DataFrame:
-    return t.speaking.select("seq", *SPEAKING_COLUMNS)
+    return speaking.speaking_records(t.group_event).select("seq", *SPEAKING_COLUMNS)
 
 
 @query
@@ -268,20 +268,29 @@ def group_event_split(t: Tables) -> DataFrame:
 
 # --- loads
 
-add("user_load_second_server", lambda t: t.server_seconds[0])
-add("user_load_second_company", lambda t: loads.user_load_second(t.online, "company"))
-add("user_load_hour_server", lambda t: loads.user_load_hour(t.online, "svc"))
-add("user_load_hour_company", lambda t: loads.user_load_hour(t.online, "company"))
-add("user_load_hour_merge", lambda t: loads.closed_hours(loads.user_load_hour(t.online, "svc")))
-add("user_load_second_server_late", lambda t: loads.user_load_second(t.online, "svc", late="drop"))
-add("user_load_hour_server_1h", lambda t: loads.user_load_hour(t.online, "svc", distinct_hours=1))
-add("speak_load_second_server", lambda t: t.server_seconds[2])
-add("speak_load_second_company", lambda t: loads.speak_load_second(t.group_event, "gcompany"))
+def _user_hour(t: Tables, entity: str, **options) -> DataFrame:
+    return loads.user_load_hour(t.online, t.user_changes(entity), entity, **options)
+
+
+def _speak_hour(t: Tables, entity: str) -> DataFrame:
+    return loads.speak_load_hour(t.group_event, t.speak_changes(entity), entity)
+
+
+add("user_load_second_server", lambda t: loads.user_load_second(t.user_changes("svc")))
+add("user_load_second_company", lambda t: loads.user_load_second(t.user_changes("company")))
+add("user_load_second_server_late",
+    lambda t: loads.user_load_second(loads.user_changes(t.online, "svc", late="drop")))
+add("user_load_hour_server", lambda t: _user_hour(t, "svc"))
+add("user_load_hour_company", lambda t: _user_hour(t, "company"))
+add("user_load_hour_merge", lambda t: loads.closed_hours(_user_hour(t, "svc")))
+add("user_load_hour_server_1h", lambda t: _user_hour(t, "svc", distinct_hours=1))
+add("speak_load_second_server", lambda t: loads.speak_load_second(t.speak_changes("svc")))
+add("speak_load_second_company", lambda t: loads.speak_load_second(t.speak_changes("gcompany")))
 add("speak_load_second_server_uncapped",
-    lambda t: loads.speak_load_second(t.group_event, "svc", mic_cap=False))
-add("speak_load_hour_server", lambda t: loads.speak_load_hour(t.group_event, "svc"))
-add("speak_load_hour_company", lambda t: loads.speak_load_hour(t.group_event, "gcompany"))
-add("speak_load_hour_merge", lambda t: loads.closed_hours(loads.speak_load_hour(t.group_event, "svc")))
+    lambda t: loads.speak_load_second(loads.speak_changes(t.group_event, "svc", mic_cap=False)))
+add("speak_load_hour_server", lambda t: _speak_hour(t, "svc"))
+add("speak_load_hour_company", lambda t: _speak_hour(t, "gcompany"))
+add("speak_load_hour_merge", lambda t: loads.closed_hours(_speak_hour(t, "svc")))
 add("merge_reports", lambda t: loads.merge_reports(*t.server_seconds))
 
 
@@ -362,14 +371,14 @@ add("sink_group_speaking", _table("group_speaking", lambda t: enrich.split_by_gr
 add("sink_temp_group_speaking",
     _table("temp_group_speaking", lambda t: enrich.split_by_group_type(t.speaking)[1]))
 add("sink_company_user_load",
-    lambda t: _hex_key(sinks.hour_report(loads.user_load_hour(t.online, "company"), USER_HOUR_MEASURES)))
+    lambda t: _hex_key(sinks.hour_report(_user_hour(t, "company"), USER_HOUR_MEASURES)))
 add("sink_company_speak_load",
-    lambda t: _hex_key(sinks.hour_report(loads.speak_load_hour(t.group_event, "gcompany"), SPEAK_HOUR_MEASURES)))
+    lambda t: _hex_key(sinks.hour_report(_speak_hour(t, "gcompany"), SPEAK_HOUR_MEASURES)))
 add("sink_server_user_load", lambda t: _hex_key(
-    sinks.hour_report(loads.closed_hours(loads.user_load_hour(t.online, "svc")), USER_HOUR_MEASURES)))
+    sinks.hour_report(loads.closed_hours(_user_hour(t, "svc")), USER_HOUR_MEASURES)))
 add("sink_server_speak_load", lambda t: _hex_key(
-    sinks.hour_report(loads.closed_hours(loads.speak_load_hour(t.group_event, "svc")), SPEAK_HOUR_MEASURES)))
-add("sink_appload", lambda t: sinks.appload(loads.server_load_second(*t.server_seconds)))
+    sinks.hour_report(loads.closed_hours(_speak_hour(t, "svc")), SPEAK_HOUR_MEASURES)))
+add("sink_appload", lambda t: sinks.appload(t.server_load))
 
 
 @query

@@ -22,6 +22,7 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.events = events.read_events(spark, sf_dir)
+        self._changes: dict[tuple[str, str], DataFrame] = {}
 
     @cached_property
     def raw(self) -> DataFrame:
@@ -37,11 +38,11 @@ class Tables:
 
     @cached_property
     def user_org(self) -> DataFrame:
-        return org.user_org(self.dims[0], self.dims[2])
+        return stage(org.user_org(self.dims[0], self.dims[2]), "user_org")
 
     @cached_property
     def group_org(self) -> DataFrame:
-        return org.group_org(self.dims[1], self.dims[2])
+        return stage(org.group_org(self.dims[1], self.dims[2]), "group_org")
 
     @cached_property
     def action(self) -> DataFrame:
@@ -53,7 +54,7 @@ class Tables:
 
     @cached_property
     def sessions(self) -> DataFrame:
-        return online.user_sessions(self.action)
+        return stage(online.user_sessions(self.action), "user_session")
 
     @cached_property
     def group_event(self) -> DataFrame:
@@ -70,17 +71,33 @@ class Tables:
 
     @cached_property
     def speaking(self) -> DataFrame:
-        return speaking.speaking_records(self.group_event)
+        return stage(speaking.speaking_records(self.group_event), "speaking")
+
+    def user_changes(self, entity: str) -> DataFrame:
+        if ("user", entity) not in self._changes:
+            self._changes["user", entity] = stage(loads.user_changes(self.online, entity), "user_changes")
+        return self._changes["user", entity]
+
+    def speak_changes(self, entity: str) -> DataFrame:
+        if ("speak", entity) not in self._changes:
+            self._changes["speak", entity] = stage(
+                loads.speak_changes(self.group_event, entity), "speak_changes"
+            )
+        return self._changes["speak", entity]
 
     @cached_property
     def server_seconds(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         """User, group and speak second loads of servers."""
         return (
-            loads.user_load_second(self.online, "svc"),
-            groups.group_load_second(self.group_event, self.lives),
-            loads.speak_load_second(self.group_event, "svc"),
+            stage(loads.user_load_second(self.user_changes("svc")), "user_load_second"),
+            stage(groups.group_load_second(self.group_event, self.lives), "group_load_second"),
+            stage(loads.speak_load_second(self.speak_changes("svc")), "speak_load_second"),
         )
 
+    @cached_property
+    def server_load(self) -> DataFrame:
+        return stage(loads.server_load_second(*self.server_seconds), "server_load_second")
+
 
 _OPEN: dict[tuple[str, str], Tables] = {}
 

@@ -243,7 +243,7 @@ def test_user_load_against_sets(spark):
             present = sum(1 for e, x in last_op.values() if e == "uon" or x > s - 7200)
             hour[s] = (present, alive(logins), sums[1], alive(logouts), sums[2], alive(brokens), sums[3], sums[0])
     got = {(r.bucket - BASE) // 1000: (r.onlines, r.loginTimes, r.logoutTimes, r.brokenTimes)
-           for r in loads.user_load_second(df, "svc").collect()}
+           for r in loads.user_load_second(loads.user_changes(df, "svc")).collect()}
     assert got == second
-    got = {(r.bucket - BASE) // 1000: tuple(r)[2:] for r in loads.user_load_hour(df, "svc").collect()}
+    got = {(r.bucket - BASE) // 1000: tuple(r)[2:] for r in loads.user_load_hour(df, loads.user_changes(df, "svc"), "svc").collect()}
     assert got == hour

@@ -82,8 +82,8 @@ def test_groups(group_event):
 
 def test_late_loads(rows):
     events = online.online_events(rows)
-    assert rows_of(loads.user_load_second(events, "svc", "drop", CELLS)) == rows_of(
-        loads.user_load_second(events, "svc", "drop")
+    assert rows_of(loads.user_changes(events, "svc", "drop", CELLS)) == rows_of(
+        loads.user_changes(events, "svc", "drop")
     )
     assert rows_of(windows.drop_stale(rows, "uid", CELLS)) == rows_of(windows.drop_stale(rows, "uid"))
 

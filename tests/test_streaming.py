@@ -58,7 +58,7 @@ def test_user_load_with_gauge_and_gaps(spark, tables, tmp_path):
     jobs.run_user_load(spark, stream, "svc", str(tmp_path / "load"), once=True)
     got = spark.read.parquet(str(tmp_path / "load" / "user_load_second"))
     newest = {r.entity: r.m for r in got.groupBy("entity").agg(F.max("bucket").alias("m")).collect()}
-    batch = loads.user_load_second(tables.online, "svc")
+    batch = loads.user_load_second(tables.user_changes("svc"))
     closed = [r for r in rows_of(batch, got.columns) if r[sorted(got.columns).index("bucket")] <= newest[
         r[sorted(got.columns).index("entity")]]]
     assert len(newest) == 3 and rows_of(got) == closed
