@@ -81,7 +81,7 @@ def online_events(action: DataFrame, first_event: str = "reference",
     """uon, uoff and ubro events; `pos` orders the events of one row."""
     return (
         _run(action, first_event, cell_rows).drop("on", "off").withColumnRenamed("event", "action")
-        .select("*", F.posexplode("emits").alias("pos", "e")).where(F.col("e").isNotNull())
+        .select("*", F.posexplode_outer("emits").alias("pos", "e")).where(F.col("e").isNotNull())
         .withColumns({"event": F.col("e.event"), "interval": F.col("e.interval")})
         .select("seq", "pos", *ONLINE_EVENT_COLUMNS, "ts_ms")
     )
