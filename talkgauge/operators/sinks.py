@@ -69,6 +69,35 @@ def hour_report(load: DataFrame, measures: list[str]) -> DataFrame:
     )
 
 
+def state_values(parts: dict[str, DataFrame]) -> DataFrame:
+    """(key, value) of `user:<uid>:<name>` from (uid, value) tables by name; nulls are not kept."""
+    out = None
+    for name, rows in parts.items():
+        uid, value = rows.columns
+        entries = rows.where(F.col(value).isNotNull()).select(
+            F.concat(F.lit("user:"), uid, F.lit(f":{name}")).alias("key"), F.col(value).alias("value")
+        )
+        out = entries if out is None else out.unionByName(entries)
+    return out
+
+
+def state_sets(parts: dict[str, DataFrame]) -> DataFrame:
+    """(key, member) of sets, from key patterns to tables.
+
+    `server:<svc>:user` takes its key from the column `svc` and its members
+    from the other column; a pattern without `<` names one set.
+    """
+    out = None
+    for pattern, rows in parts.items():
+        head, _, rest = pattern.partition("<")
+        column, _, tail = rest.partition(">")
+        (member,) = [c for c in rows.columns if c != column]
+        key = F.concat(F.lit(head), F.col(column), F.lit(tail)) if column else F.lit(pattern)
+        entries = rows.select(key.alias("key"), F.col(member).alias("member"))
+        out = entries if out is None else out.unionByName(entries)
+    return out
+
+
 def appload(server_load: DataFrame) -> DataFrame:
     """Second loads as (key, value) messages for the channel of their server."""
     fields = ["server", "bucket", "userLoad", "groupLoad", "speakLoad"]

@@ -517,6 +517,23 @@ _FINAL["sink_state_tables"] = "\nUNION ALL\n".join(
         ("last-login", "last_login", "last_login"), ("last-logout", "last_logout", "last_logout"),
     )
 )
+_SETS = [
+    ("'online-user'", "uid", "online_user_set"), ("'server-set'", "svc", "server_set"),
+    ("'dev-set'", "dev", "device_set"), ("'server:' || svc || ':user'", "uid", "server_user_set"),
+    ("'company:' || company || ':user'", "uid", "company_user_set"),
+    ("'dev:' || dev || ':user'", "uid", "device_user_set"),
+    ("'group-set'", "gfull", "online_group_set"), ("'tempgroup-set'", "gfull", "online_temp_group_set"),
+    ("'group:' || gfull || ':user'", "uid", "group_member_set"),
+    ("'tgroup:' || gfull || ':user'", "uid", "temp_group_member_set"),
+    ("CASE gtype WHEN 'gtemp' THEN 't' ELSE '' END || 'group:' || gfull || ':server'", "svc", "group_server_set"),
+    ("'server:' || svc || ':group'", "gfull", "server_group_set"),
+    ("'server:' || svc || ':tgroup'", "gfull", "server_temp_group_set"),
+    ("'company:' || gcompany || ':group'", "gfull", "company_group_set"),
+    ("'company:' || gcompany || ':tgroup'", "gfull", "company_temp_group_set"),
+]
+_FINAL["sink_state_sets"] = "\nUNION ALL\n".join(
+    f"SELECT {key} AS key, {member} AS member FROM ({_FINAL[name]})" for key, member, name in _SETS
+)
 _FINAL["second_bucket"] = "SELECT seq, ts_ms // 1000 * 1000 AS bucket FROM action"
 _FINAL["minute_bucket"] = "SELECT seq, ts_ms // 60000 * 60000 AS bucket FROM action"
 _FINAL["format_dt"] = "SELECT seq, dt FROM action"

@@ -383,24 +383,37 @@ add("sink_appload", lambda t: sinks.appload(t.server_load))
 
 @query
 def sink_state_tables(t: Tables) -> DataFrame:
-    """Current-state keys with one value each, as (key, value)."""
     state = online.user_state(t.online)
-
-    def entry(rows: DataFrame, suffix: str, value: str) -> DataFrame:
-        return rows.where(F.col(value).isNotNull()).select(
-            F.concat(F.lit("user:"), "uid", F.lit(f":{suffix}")).alias("key"), F.col(value).alias("value")
-        )
-
-    parts = [
-        entry(state, "state", "state"), entry(state, "server", "server"), entry(state, "dev", "dev"),
-        entry(groups.user_current_group(t.group_event), "group", "current_group"),
-        entry(online.last_login(t.action), "last-login", "last_login"),
-        entry(online.last_logout(t.action), "last-logout", "last_logout"),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return sinks.state_values({
+        "state": state.select("uid", "state"), "server": state.select("uid", "server"),
+        "dev": state.select("uid", "dev"), "group": groups.user_current_group(t.group_event),
+        "last-login": online.last_login(t.action), "last-logout": online.last_logout(t.action),
+    })
+
+
+@query
+def sink_state_sets(t: Tables) -> DataFrame:
+    members, live = groups.group_members(t.members), groups.online_groups(t.members)
+    by_server = groups.live_groups_by(t.members, t.lives, "svc")
+    by_company = groups.live_groups_by(t.members, t.lives, "gcompany")
+    sets = {
+        "online-user": online.online_user_set(t.online),
+        "server-set": online.server_set(t.action),
+        "dev-set": online.device_set(t.action),
+        "server:<svc>:user": online.online_users_by(t.online, "svc"),
+        "company:<company>:user": online.online_users_by(t.online, "company"),
+        "dev:<dev>:user": online.device_user_set(t.online),
+    }
+    for gtype, kind in ((GROUP_NORMAL, "group"), (GROUP_TEMP, "tgroup")):
+        servers = _of_type(by_server, gtype)
+        sets |= {
+            "group-set" if kind == "group" else "tempgroup-set": _of_type(live, gtype),
+            f"{kind}:<gfull>:user": _of_type(members, gtype),
+            f"{kind}:<gfull>:server": servers,
+            f"server:<svc>:{kind}": servers,
+            f"company:<gcompany>:{kind}": _of_type(by_company, gtype),
+        }
+    return sinks.state_sets(sets)
 
 
 # --- scalar functions

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TOPIC = "pttsvc-loginfo"
 TOPIC_PARTITIONS = 3
 
 
@@ -24,7 +23,7 @@ def raw_from_kafka(records: DataFrame, partitions: int = TOPIC_PARTITIONS) -> Da
     )
 
 
-def read_kafka(spark: SparkSession, servers: str, topic: str = TOPIC,
+def read_kafka(spark: SparkSession, servers: str, topic: str,
                partitions: int = TOPIC_PARTITIONS, **options: str) -> DataFrame:
     """Tail the log topic from its end; the checkpoint resumes stored offsets.
 

@@ -36,6 +36,36 @@ def write_table(rows: DataFrame, path: str, checkpoint: str, once: bool = False)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+def upsert_latest(folder: str, key: str, order: list[str]):
+    """A foreachBatch function that keeps the newest row per key in `folder`/version=<batch>.
+
+    Each trigger merges its rows into the version before and writes its own, so
+    a repeated trigger gives the same version again. Readers take the newest;
+    older versions can be removed once the trigger after them has committed.
+    """
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        columns = batch.columns
+        if batch_id > 0:
+            reader = batch.sparkSession.read.schema(batch.schema)
+            batch = batch.unionByName(reader.parquet(f"{folder}/version={batch_id - 1}"))
+        rest = [c for c in columns if c != key and c not in order]
+        newest = batch.groupBy(key).agg(F.max(F.struct(*order, *rest)).alias("last"))
+        newest.select(key, *[F.col("last")[c].alias(c) for c in [*order, *rest]]).select(*columns).write.mode(
+            "overwrite"
+        ).parquet(f"{folder}/version={batch_id}")
+
+    return apply
+
+
+def keep_latest(rows: DataFrame, folder: str, checkpoint: str, key: str, order: list[str],
+                once: bool = False) -> StreamingQuery:
+    """Upsert a stream into a current-state table, newest row per key."""
+    writer = rows.writeStream.foreachBatch(upsert_latest(folder, key, order)).option(
+        "checkpointLocation", checkpoint
+    )
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
 def stream_actions(raw: DataFrame, user_org: DataFrame) -> DataFrame:
     """Actions of a stream of raw lines; the organisation is joined as a static table."""
     return user_actions(parse_logs(raw), user_org)

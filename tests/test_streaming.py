@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from conftest import rows_of
 from talkgauge.operators import loads, windows
+from talkgauge.operators.enrich import filter_events
+from talkgauge.schemas import LOGIN_EVENTS
 from talkgauge.sources.events import raw_lines
 from talkgauge.streaming import jobs, processors
 
@@ -46,6 +48,17 @@ def test_online_machine_and_sessions(spark, tables, source, tmp_path):
     assert rows_of(processors.session_columns(online)) == rows_of(tables.sessions)
 
 
+def test_current_state_is_upserted(spark, tables, source, tmp_path):
+    logins = filter_events(source(tables.action), LOGIN_EVENTS).select("uid", "ts_ms", "seq", "svc")
+    query = jobs.keep_latest(
+        logins, str(tmp_path / "state"), str(tmp_path / "checkpoint"), "uid", ["ts_ms", "seq"], once=True)
+    query.awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "state" / f"version={PARTS - 1}"))
+    newest = filter_events(tables.action, LOGIN_EVENTS).groupBy("uid").agg(
+        F.max(F.struct("ts_ms", "seq", "svc")).alias("last")).select("uid", "last.*")
+    assert rows_of(got, newest.columns) == rows_of(newest)
+
+
 def test_speaking(spark, tables, source, tmp_path):
     records = run(spark, processors.stream_speaking(source(tables.group_event)), str(tmp_path))
     assert rows_of(records) == rows_of(tables.speaking)
