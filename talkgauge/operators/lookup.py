@@ -6,32 +6,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 2_000_000
-HOT_KEYS = 100_000
+HOT_ROWS = 4_000_000
 
 
 def lookup_join(rows: DataFrame, dim: DataFrame, key: str, how: str = "inner", *,
-                broadcast_rows: int = BROADCAST_ROWS, hot_keys: int = HOT_KEYS) -> DataFrame:
+                broadcast_rows: int = BROADCAST_ROWS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Join `rows` to `dim` (unique on `key`), `how` being inner or left.
 
     The dimension's rows are counted first. Up to `broadcast_rows` it is
-    broadcast and `rows` is not shuffled. Beyond that, keys holding more than
-    1/hot_keys of `rows` (there are fewer than `hot_keys` of them) go through a
-    broadcast of their own dimension rows, all others through a shuffled join,
-    so no task gets more than its share. A streaming `dim` cannot be counted.
+    broadcast and `rows` is not shuffled. Beyond that the join is shuffled, and
+    a key with more than `hot_rows` rows is spread over one salt per `hot_rows`,
+    its dimension row being copied to each: no task gets a whole hot key. There
+    are fewer than total / hot_rows hot keys and twice that many copies, which
+    bounds the broadcast of the hot keys. A stream joins as Spark decides, since
+    its rows cannot be counted.
     """
-    if rows.isStreaming or dim.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        side = dim if rows.isStreaming else F.broadcast(dim)
-        return rows.join(side, key, how)
-    total = rows.count()
-    hot = (
-        rows.groupBy(key).count()
-        .where(F.col("count") > total / hot_keys)
-        .select(key, F.lit(True).alias("_hot"))
+    if rows.isStreaming:
+        return rows.join(dim, key, how)
+    if dim.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        return rows.join(F.broadcast(dim), key, how)
+    hot = F.broadcast(
+        rows.groupBy(key).count().where(F.col("count") > hot_rows)
+        .select(key, F.ceil(F.col("count") / hot_rows).alias("_salts"))
     )
-    marked = rows.join(F.broadcast(hot), key, "left")
-    hot_dim = dim.join(F.broadcast(hot.select(key)), key, "left_semi")
-    cold_part = marked.where(F.col("_hot").isNull()).drop("_hot").join(
-        dim.hint("shuffle_merge"), key, how
-    )
-    hot_part = marked.where(F.col("_hot")).drop("_hot").join(F.broadcast(hot_dim), key, how)
-    return cold_part.unionByName(hot_part)
+    salt = F.pmod(F.xxhash64(*rows.columns), F.col("_salts"))
+    salted = rows.join(hot, key, "left").withColumn(
+        "_salt", F.coalesce(salt, F.lit(0).cast("bigint"))
+    ).drop("_salts")
+    last = F.coalesce(F.col("_salts"), F.lit(1).cast("bigint")) - 1
+    copies = dim.join(hot, key, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), last))
+    ).drop("_salts")
+    return salted.join(copies.hint("merge"), [key, "_salt"], how).drop("_salt")

@@ -89,8 +89,8 @@ def test_late_loads(rows):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("hot_keys", [3, 100_000])
-def test_lookup_beyond_broadcast(rows, tables, how, hot_keys):
+@pytest.mark.parametrize("hot_rows", [20, 10**9])
+def test_lookup_beyond_broadcast(rows, tables, how, hot_rows):
     left = rows.select("seq", "uid")
-    split = lookup_join(left, tables.user_org, "uid", how, broadcast_rows=0, hot_keys=hot_keys)
+    split = lookup_join(left, tables.user_org, "uid", how, broadcast_rows=0, hot_rows=hot_rows)
     assert rows_of(split) == rows_of(left.join(tables.user_org, "uid", how))
