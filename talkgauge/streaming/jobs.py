@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from talkgauge.operators.enrich import group_events, user_actions
+from talkgauge.operators.enrich import filter_speak, group_events, user_actions
 from talkgauge.operators.parse import parse_logs
 from talkgauge.schemas import LATE_MS, USER_BROKEN, USER_OFFLINE, USER_ONLINE
-from talkgauge.streaming.processors import TIMES, stream_user_changes, stream_user_load
+from talkgauge.streaming.processors import (
+    SPEAK_TIMES, USER_TIMES, stream_load, stream_speak_changes, stream_user_changes,
+)
 
 STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass":
@@ -103,50 +105,79 @@ def second_counts(rows: DataFrame, entity: str, late_seconds: int = LATE_MS // 1
     return counted.select(entity, F.unix_millis("window.start").alias("bucket"), "n")
 
 
+def _per_user_second(rows: DataFrame, entity: str, late_seconds: int):
+    return with_event_time(rows).withWatermark("ts", f"{late_seconds} seconds").groupBy(
+        F.col(entity).alias("entity"), "uid", F.window("ts", "1 second")
+    )
+
+
 def user_seconds(online: DataFrame, entity: str, late_seconds: int = LATE_MS // 1000) -> DataFrame:
     """(entity, uid, bucket) of closed seconds, with 1 where the user went on, off or broken."""
     flags = [
         F.max(F.when(F.col("event") == e, 1).otherwise(0)).cast("bigint").alias(n)
-        for e, n in zip((USER_ONLINE, USER_OFFLINE, USER_BROKEN), TIMES)
+        for e, n in zip((USER_ONLINE, USER_OFFLINE, USER_BROKEN), USER_TIMES)
     ]
-    return (
-        with_event_time(online).withWatermark("ts", f"{late_seconds} seconds")
-        .groupBy(F.col(entity).alias("entity"), "uid", F.window("ts", "1 second")).agg(*flags)
-        .select("entity", "uid", F.unix_millis("window.start").alias("bucket"), *TIMES)
+    return _per_user_second(online, entity, late_seconds).agg(*flags).select(
+        "entity", "uid", F.unix_millis("window.start").alias("bucket"), *USER_TIMES
     )
 
 
-def entity_seconds(user_changes: DataFrame) -> DataFrame:
-    """Users' changes added up per (entity, bucket), which is closed once a later one is seen.
+def speak_seconds(group_event: DataFrame, entity: str, late_seconds: int = LATE_MS // 1000) -> DataFrame:
+    """(entity, uid, bucket) of closed seconds, with event counts and the last get, release or loss."""
+    rows = filter_speak(group_event)
+    events = ("GET_MIC", "LOSTMIC_AUTO", "LOSTMIC_REPLACE", "DENT_MIC")
+    counts = [F.count(F.when(F.col("event") == e, 1)).alias(n) for e, n in zip(events, SPEAK_TIMES)]
+    op = F.max(F.when(F.col("event") != "DENT_MIC", F.struct("seq", "event"))).alias("op")
+    return _per_user_second(rows, entity, late_seconds).agg(*counts, op).select(
+        "entity", "uid", F.unix_millis("window.start").alias("bucket"), *SPEAK_TIMES,
+        F.col("op.event").alias("op"),
+    )
+
+
+def entity_seconds(changes: DataFrame, times: list[str]) -> DataFrame:
+    """Users' changes added up per (entity, bucket, at), closed once a later bucket is seen.
 
     The users of a second close together, so they arrive in one trigger; the
     sum is partial per task, so no task holds an entity's users.
     """
-    timed = with_event_time(user_changes, "bucket").withWatermark("ts", "0 seconds")
-    summed = timed.groupBy("entity", F.window("ts", "1 second")).agg(
-        *[F.sum(n).alias(n) for n in [*TIMES, "delta"]]
+    timed = with_event_time(changes, "bucket").withWatermark("ts", "0 seconds")
+    summed = timed.groupBy("entity", "at", F.window("ts", "1 second")).agg(
+        *[F.sum(n).alias(n) for n in [*times, "delta"]]
     )
-    return summed.select("entity", F.unix_millis("window.start").alias("bucket"), *TIMES, "delta")
-
+    return summed.select("entity", F.unix_millis("window.start").alias("bucket"), "at", *times, "delta")
 
-def run_user_load(spark: SparkSession, online: DataFrame, entity: str, folder: str,
-                  once: bool = False) -> list[StreamingQuery]:
-    """Start the four linked queries from online events to `folder`/user_load_second.
 
-    With `once` each runs to the end of what the one before it has written.
-    """
+def _run_load(spark: SparkSession, seconds: DataFrame, changes, gauge: str, times: list[str],
+              folder: str, name: str, once: bool) -> list[StreamingQuery]:
+    """Four linked queries: users' seconds, their changes, entities' seconds, the load."""
     steps = [
-        ("user_second", None, lambda rows: user_seconds(rows, entity)),
-        ("user_change", "user_second", stream_user_changes),
-        ("entity_second", "user_change", entity_seconds),
-        ("user_load_second", "entity_second", stream_user_load),
+        (f"{name}_user", lambda rows: rows),
+        (f"{name}_change", changes),
+        (f"{name}_entity", lambda rows: entity_seconds(rows, times)),
+        (f"{name}_load_second", lambda rows: stream_load(rows, gauge, times)),
     ]
-    queries, schemas = [], {}
-    for name, source, build in steps:
-        rows = online if source is None else read_table(spark, f"{folder}/{source}", schemas[source])
-        table = build(rows)
-        schemas[name] = table.schema
-        queries.append(write_table(table, f"{folder}/{name}", f"{folder}/_checkpoints/{name}", once))
+    queries, rows = [], seconds
+    for table, build in steps:
+        out = build(rows)
+        queries.append(write_table(out, f"{folder}/{table}", f"{folder}/_checkpoints/{table}", once))
         if once:
             queries[-1].awaitTermination()
+        rows = read_table(spark, f"{folder}/{table}", out.schema)
     return queries
+
+
+def run_user_load(spark: SparkSession, online: DataFrame, entity: str, folder: str,
+                  once: bool = False) -> list[StreamingQuery]:
+    """Online events to `folder`/user_load_second; with `once` to the end of what is there."""
+    return _run_load(
+        spark, user_seconds(online, entity), stream_user_changes, "onlines", USER_TIMES, folder, "user", once
+    )
+
+
+def run_speak_load(spark: SparkSession, group_event: DataFrame, entity: str, folder: str,
+                   once: bool = False) -> list[StreamingQuery]:
+    """Group events to `folder`/speak_load_second; with `once` to the end of what is there."""
+    return _run_load(
+        spark, speak_seconds(group_event, entity), stream_speak_changes, "speakings", SPEAK_TIMES, folder,
+        "speak", once
+    )

@@ -7,6 +7,7 @@ trigger bounds the rows a key can have (`maxOffsetsPerTrigger` on the source).
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -17,9 +18,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from talkgauge.operators.enrich import filter_online
 from talkgauge.schemas import (
-    BROKEN_GAP_SECONDS, CLIENT_COLUMNS, DAY_MS, LATE_MS, LOGIN_EVENTS, MIC_CLOSE_EVENTS,
+    BROKEN_GAP_SECONDS, CLIENT_COLUMNS, DAY_MS, LATE_MS, LOGIN_EVENTS, MIC_CAP_MS, MIC_CLOSE_EVENTS,
     ONLINE_EVENT_COLUMNS, SECOND_MS, SESSION_COLUMNS, SPEAKING_COLUMNS, USER_BROKEN, USER_OFFLINE,
-    USER_ONLINE, USER_SECOND_MEASURES,
+    USER_ONLINE,
 )
 
 
@@ -171,8 +172,12 @@ def stream_speaking(group_event: DataFrame) -> DataFrame:
     return _stateful(rows, ["gfull"], SpeakingMachine(), SPEAKING)
 
 
-TIMES = ["loginTimes", "logoutTimes", "brokenTimes"]
-USER_CHANGE = _schema(["bucket", *TIMES, "delta"], ["entity", "uid"])
+USER_TIMES = ["loginTimes", "logoutTimes", "brokenTimes"]
+SPEAK_TIMES = ["getTimes", "lostAutoTimes", "lostReplaceTimes", "dentTimes"]
+
+
+def _change_schema(times: list[str]) -> T.StructType:
+    return _schema(["bucket", "at", *times, "delta"], ["entity", "uid"])
 
 
 class UserChange(StatefulProcessor):
@@ -187,52 +192,95 @@ class UserChange(StatefulProcessor):
         out = []
         for row in _in_order(rows, "bucket"):
             now = 0 if row["logoutTimes"] else 1 if row["loginTimes"] else held
-            out.append({**row, "delta": now - held})
+            out.append({**row, "at": row["bucket"], "delta": now - held})
             held = now
         self._held.update((held,))
-        yield _frame(out, USER_CHANGE)
+        yield _frame(out, _change_schema(USER_TIMES))
+
+    def close(self) -> None:
+        pass
+
+
+class SpeakChange(StatefulProcessor):
+    """Change of the speaking set by one user's closed seconds.
+
+    A GET_MIC plans the end of its five minutes as a change `at` that time; a
+    release, loss or new GET_MIC before then plans the opposite change.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._until = handle.getValueState("until", _schema(["until"], []))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        state = self._until.get()
+        until = 0 if state is None else state[0]
+        out = []
+        for row in _in_order(rows, "bucket"):
+            bucket, gets = row["bucket"], row["op"] == "GET_MIC"
+            held = until > bucket
+            ends = held and row["op"] is not None
+            plan = {"entity": row["entity"], "uid": row["uid"], "bucket": bucket, **dict.fromkeys(SPEAK_TIMES, 0)}
+            out.append({**row, "at": bucket, "delta": int(gets) - int(ends)})
+            if ends:
+                out.append({**plan, "at": until, "delta": 1})
+                until = 0
+            if gets:
+                until = bucket + MIC_CAP_MS
+                out.append({**plan, "at": until, "delta": -1})
+        self._until.update((until,))
+        yield _frame(out, _change_schema(SPEAK_TIMES))
 
     def close(self) -> None:
         pass
 
 
-USER_LOAD = _schema(["bucket", *USER_SECOND_MEASURES], ["entity"])
+def load_schema(gauge: str, times: list[str]) -> T.StructType:
+    return _schema(["bucket", gauge, *times], ["entity"])
 
 
-class UserGauge(StatefulProcessor):
+class LoadGauge(StatefulProcessor):
     """Every second of one entity in order, from four before its first, empty ones included.
 
-    A trigger brings at most one row per closed second.
+    A trigger brings one row per closed second and planned change time; planned
+    changes past the newest second wait in the state, at most five minutes of them.
     """
 
+    def __init__(self, gauge: str, times: list[str]) -> None:
+        self._gauge, self._times = gauge, times
+
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._at = handle.getValueState("at", _schema(["bucket", "onlines"], []))
+        self._last = handle.getValueState("last", _schema(["bucket", "level"], ["planned"]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        changes = pd.concat(list(rows)).set_index("bucket").sort_index()
-        state = self._at.get()
-        start, onlines = (changes.index[0] - LATE_MS, 0) if state is None else (state[0] + SECOND_MS, state[1])
-        end = changes.index[-1]
-        for day in range(start, end + 1, DAY_MS):
+        frame = pd.concat(list(rows))
+        state = self._last.get()
+        planned = {} if state is None else {int(at): d for at, d in json.loads(state[2]).items()}
+        deltas = frame.groupby("at")["delta"].sum().add(pd.Series(planned, dtype="int64"), fill_value=0)
+        times = frame.groupby("bucket")[self._times].sum()
+        start, level = (frame["bucket"].min() - LATE_MS, 0) if state is None else (state[0] + SECOND_MS, state[1])
+        end = int(frame["bucket"].max())
+        for day in range(int(start), end + 1, DAY_MS):
             seconds = pd.RangeIndex(day, min(day + DAY_MS, end + SECOND_MS), SECOND_MS, name="bucket")
-            filled = changes[[*TIMES, "delta"]].reindex(seconds, fill_value=0).astype("int64")
-            gauge = filled["delta"].cumsum() + onlines
-            onlines = int(gauge.iloc[-1])
-            yield filled.assign(onlines=gauge, entity=key[0]).astype({"entity": object}).reset_index()[USER_LOAD.names]
-        self._at.update((int(end), onlines))
+            out = times.reindex(seconds, fill_value=0).astype("int64")
+            out[self._gauge] = deltas.reindex(seconds, fill_value=0).astype("int64").cumsum() + level
+            level = int(out[self._gauge].iloc[-1])
+            out["entity"] = pd.Series(key[0], index=out.index, dtype=object)
+            yield out.reset_index()[load_schema(self._gauge, self._times).names]
+        ahead = {int(at): int(d) for at, d in deltas.items() if at > end and d}
+        self._last.update((end, level, json.dumps(ahead)))
 
     def close(self) -> None:
         pass
 
 
 def stream_user_changes(user_seconds: DataFrame) -> DataFrame:
-    return _stateful(
-        user_seconds.select("entity", "uid", "bucket", *TIMES), ["entity", "uid"], UserChange(), USER_CHANGE
-    )
+    return _stateful(user_seconds, ["entity", "uid"], UserChange(), _change_schema(USER_TIMES))
 
 
-def stream_user_load(entity_seconds: DataFrame) -> DataFrame:
-    """user_load_second from closed (entity, bucket) changes, one row per second."""
-    return _stateful(
-        entity_seconds.select("entity", "bucket", *TIMES, "delta"), ["entity"], UserGauge(), USER_LOAD
-    )
+def stream_speak_changes(speak_seconds: DataFrame) -> DataFrame:
+    return _stateful(speak_seconds, ["entity", "uid"], SpeakChange(), _change_schema(SPEAK_TIMES))
+
+
+def stream_load(entity_seconds: DataFrame, gauge: str, times: list[str]) -> DataFrame:
+    """Second loads from closed (entity, bucket, at) changes, one row per second."""
+    return _stateful(entity_seconds, ["entity"], LoadGauge(gauge, times), load_schema(gauge, times))
