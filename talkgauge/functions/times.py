@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from talkgauge.schemas import DAY_MS, MINUTE_MS, SECOND_MS
+from talkgauge.schemas import MINUTE_MS, SECOND_MS
 
 STANDARD_DT = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\.\d{3}$"
 

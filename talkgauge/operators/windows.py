@@ -6,7 +6,7 @@ Dense grids are made only for the tables that need a row per second or minute.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkgauge.functions.times import floor_to, minute_bucket, minute_mark, second_bucket
