@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def import_here(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    Workers of another machine, which must have the package installed, pass over
+    a folder that they don't have.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(":"):
+        env["PYTHONPATH"] = ":".join(filter(None, [root, env.get("PYTHONPATH")]))
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that `df` doesn't have, whatever the case of its letters."""
     taken = {c.lower() for c in df.columns}

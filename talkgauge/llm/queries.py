@@ -6,20 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from talkgauge.llm import line_dedup, mixing, url_filter
-from talkgauge.llm.common import read_table
+from talkgauge.llm import bpe, langid, line_dedup, mixing, url_filter
+from talkgauge.llm.common import import_here, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _on(table: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: operator(read_table(spark, sf_dir, table))
+def _on(operator: Callable[..., DataFrame], *tables: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        import_here(spark)
+        return operator(*[read_table(spark, sf_dir, t) for t in tables])
+
+    return query
 
 
 QUERIES: dict[str, Query] = {
-    "op1_line_dedup": _on("documents", line_dedup.op1_line_dedup),
-    "op2_url_filter": _on("pages", url_filter.op2_url_filter),
-    "op8_mixing": _on("documents", mixing.op8_mix),
+    "op1_line_dedup": _on(line_dedup.op1_line_dedup, "documents"),
+    "op2_url_filter": _on(url_filter.op2_url_filter, "pages"),
+    "op5_bpe": _on(bpe.op5_bpe, "documents"),
+    "op7_langid": _on(langid.op7_langid, "documents"),
+    "op8_mixing": _on(mixing.op8_mix, "documents"),
 }
 
 SQL = {
