@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from talkgauge.llm import bpe, langid, line_dedup, mixing, url_filter
+from talkgauge.llm import bpe, langid, line_dedup, mixing, quality, secrets, url_filter
 from talkgauge.llm.common import import_here, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,8 @@ QUERIES: dict[str, Query] = {
     "op5_bpe": _on(bpe.op5_bpe, "documents"),
     "op7_langid": _on(langid.op7_langid, "documents"),
     "op8_mixing": _on(mixing.op8_mix, "documents"),
+    "op9_quality": _on(quality.op9_quality, "documents", "labels"),
+    "op10_secrets": _on(secrets.op10_secrets, "documents"),
 }
 
 SQL = {
