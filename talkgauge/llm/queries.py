@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from talkgauge.llm import bpe, langid, line_dedup, mixing, quality, secrets, url_filter
+from talkgauge.llm import bpe, embedding_dedup, langid, line_dedup, mixing, quality, secrets, url_filter
 from talkgauge.llm.common import import_here, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,7 @@ def _on(operator: Callable[..., DataFrame], *tables: str) -> Query:
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": _on(line_dedup.op1_line_dedup, "documents"),
     "op2_url_filter": _on(url_filter.op2_url_filter, "pages"),
+    "op3_embedding_dedup": _on(embedding_dedup.op3_embedding_dedup, "embeddings"),
     "op5_bpe": _on(bpe.op5_bpe, "documents"),
     "op7_langid": _on(langid.op7_langid, "documents"),
     "op8_mixing": _on(mixing.op8_mix, "documents"),
