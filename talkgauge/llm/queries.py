@@ -6,15 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from talkgauge.llm import bpe, embedding_dedup, langid, line_dedup, mixing, quality, secrets, url_filter
-from talkgauge.llm.common import import_here, read_table
+from talkgauge.llm import ann, bpe, embedding_dedup, langid, line_dedup, mixing, quality, secrets, url_filter
+from talkgauge.llm.common import prepare, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _on(operator: Callable[..., DataFrame], *tables: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        import_here(spark)
+        prepare(spark)
         return operator(*[read_table(spark, sf_dir, t) for t in tables])
 
     return query
@@ -25,6 +25,7 @@ QUERIES: dict[str, Query] = {
     "op2_url_filter": _on(url_filter.op2_url_filter, "pages"),
     "op3_embedding_dedup": _on(embedding_dedup.op3_embedding_dedup, "embeddings"),
     "op5_bpe": _on(bpe.op5_bpe, "documents"),
+    "op6_ann": _on(ann.op6_ann, "embeddings"),
     "op7_langid": _on(langid.op7_langid, "documents"),
     "op8_mixing": _on(mixing.op8_mix, "documents"),
     "op9_quality": _on(quality.op9_quality, "documents", "labels"),
