@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from talkgauge.llm import ann, bpe, embedding_dedup, langid, line_dedup, mixing, quality, secrets, url_filter
+from talkgauge.llm import ann, bpe, embedding_dedup, jaccard, langid, line_dedup, mixing, quality, secrets, url_filter
 from talkgauge.llm.common import prepare, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,7 @@ QUERIES: dict[str, Query] = {
     "op1_line_dedup": _on(line_dedup.op1_line_dedup, "documents"),
     "op2_url_filter": _on(url_filter.op2_url_filter, "pages"),
     "op3_embedding_dedup": _on(embedding_dedup.op3_embedding_dedup, "embeddings"),
+    "op4_jaccard": _on(jaccard.op4_jaccard, "documents"),
     "op5_bpe": _on(bpe.op5_bpe, "documents"),
     "op6_ann": _on(ann.op6_ann, "embeddings"),
     "op7_langid": _on(langid.op7_langid, "documents"),
