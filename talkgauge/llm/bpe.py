@@ -128,31 +128,43 @@ class Automaton:
         return tree
 
     def encode_word(self, symbols: str) -> list[int]:
-        """Tokens of a word given as symbols, the last one a word-ending symbol."""
+        """Tokens of a word given as symbols, the last one a word-ending symbol.
+
+        Follows arcs, longest labels first, and goes back where none leads on. As
+        one path leads to each place, a place that was left is never tried again.
+        """
         if self.tree is None:
             self.tree = self._tree()
-        n = len(symbols)
-        states, tokens, starts = [0] * (n + 1), [-1] * (n + 1), [0] * (n + 1)
-        tree, arcs, after = self.tree, self.arcs, self.after
-        for i in range(n):
-            node, key = tree, states[i] << 20
-            for j in range(i, n):
+        n, tree, arcs, after = len(symbols), self.tree, self.arcs, self.after
+        path: list[int] = []
+        places: list[int] = []
+        untried: list[list[tuple[int, int]]] = []
+        dead: set[int] = set()
+        at = state = 0
+        while at < n:
+            labels, node = [], tree
+            for j in range(at, n):
                 node = node.get(symbols[j])
                 if node is None:
                     break
-                y = node.get("")
-                if y is not None and tokens[j + 1] < 0:
-                    has = arcs.get(key | y)
-                    if has is None:
-                        has = self._arc(states[i], y)
-                    if has:
-                        states[j + 1], tokens[j + 1], starts[j + 1] = after[y], y, i
-        out = []
-        j = n
-        while j:
-            out.append(tokens[j])
-            j = starts[j]
-        return out[::-1]
+                if "" in node:
+                    labels.append((j + 1, node[""]))
+            places.append(at)
+            untried.append(labels)
+            while True:
+                while not untried[-1]:
+                    dead.add(places.pop())
+                    untried.pop()
+                    path.pop()
+                    state = after[path[-1]] if path else 0
+                end, y = untried[-1].pop()
+                if end not in dead:
+                    has = arcs.get(state << 20 | y)
+                    if self._arc(state, y) if has is None else has:
+                        break
+            path.append(y)
+            at, state = end, after[y]
+        return path
 
 
 def load(path: str) -> Automaton:
@@ -207,10 +219,8 @@ class Encoder:
             if part in self.automaton.special:
                 out.append(self.automaton.special[part])
                 continue
-            words = self.words
-            for piece in self._pieces(part):
-                found = words.get(piece)
-                out += self._word(piece) if found is None else found
+            known, word = self.words.get, self._word
+            out += itertools.chain.from_iterable([known(p) or word(p) for p in self._pieces(part)])
         return out
 
 
@@ -223,10 +233,9 @@ def encode(docs: DataFrame, automaton: Automaton, text: str = "text") -> tuple[D
         automaton = shared.value
         encoder = automaton.worker = automaton.worker or Encoder(automaton)  # kept by a reused worker
         for batch in batches:
-            ids = [encoder.encode(t) for t in batch.to_pylist()]
-            offsets = list(itertools.accumulate(map(len, ids), initial=0))
-            values = pa.array(np.fromiter(itertools.chain.from_iterable(ids), np.int32, offsets[-1]))
-            yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+            ids = [np.array(encoder.encode(t.as_py()), np.int32) for t in batch]
+            offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+            yield pa.ListArray.from_arrays(offsets, np.concatenate([np.zeros(0, np.int32), *ids]))
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return docs.withColumn(name, F.arrow_udf(run, "array<int>")(F.col(text))), name
@@ -240,7 +249,7 @@ def decode(rows: DataFrame, automaton: Automaton, ids: str = "ids") -> tuple[Dat
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         labels = shared.value
         for batch in batches:
-            yield pa.array([" ".join([labels[i] for i in x or ()]) for x in batch.to_pylist()], pa.string())
+            yield pa.array([" ".join([labels[i] for i in x.as_py() or ()]) for x in batch], pa.string())
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return rows.withColumn(name, F.arrow_udf(run, "string")(F.col(ids))), name

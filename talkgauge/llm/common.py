@@ -16,12 +16,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def import_here(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it.
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows of an Arrow batch, as one text may be long and a batch must fit beside the others.
+BATCH_ROWS = 1000
 
-    Workers of another machine, which must have the package installed, pass over
-    a folder that they don't have.
+
+def prepare(spark: SparkSession) -> None:
+    """Settings of a session for operators that run Python on texts.
+
+    Workers import this package from where the driver has it; those of another
+    machine, which must have it installed, pass over a folder that they don't have.
+    Arrow batches left at Spark's default of 10,000 rows become smaller.
     """
+    if spark.conf.get(_BATCH, "10000") == "10000":
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     root = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(":"):
