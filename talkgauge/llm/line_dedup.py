@@ -105,12 +105,12 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Documents that lose nothing are not touched; one join by document brings the
     bitmaps, which are much smaller than the text, to the others.
     """
-    n_lines, n_dropped, kept_text, words = (fresh(docs, c) for c in ("n_lines", "n_dropped", "kept_text", "line_words"))
-    maps = keep_bitmaps(docs, doc_id, text, min_chars).select(
-        F.col("id").alias(f"{words}_id"), F.col("th").alias(f"{words}_th"), F.col("words").alias(words))
+    n_lines, n_dropped, kept_text, words, of, of_text = (
+        fresh(docs, c) for c in ("n_lines", "n_dropped", "kept_text", "line_words", "line_doc", "line_text"))
+    maps = keep_bitmaps(docs, doc_id, text, min_chars).toDF(of, of_text, words)
     joined = docs.join(
-        maps, (F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST)) == F.col(f"{words}_id"))
-        & (_text_hash(F.col(text)) == F.col(f"{words}_th")), "left").drop(f"{words}_id", f"{words}_th")
+        maps, (F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST)) == F.col(of))
+        & (_text_hash(F.col(text)) == F.col(of_text)), "left").drop(of, of_text)
     lines = lines_of(F.col(text))
     kept = F.filter(lines, lambda line, pos: _kept(F.col(words), pos))
     lost = F.aggregate(F.map_values(F.col(words)), F.lit(0).cast("long"),

@@ -76,7 +76,7 @@ def mix(docs: DataFrame, weights: DataFrame, words: Column | None = None, share:
     """
     size, source_size, target, copies, cell = (
         fresh(docs, c) for c in ("size", "source_size", "target", "copies", "mix_cell"))
-    key = fresh(docs, "mix_source")
+    key, whole, cut = (fresh(docs, c) for c in ("mix_source", "mix_whole", "mix_cut"))
     rows = docs.select("*", (word_count(F.col(text)) if words is None else words).alias(size), _cell(F.col(doc_id), seed).alias(cell))
     slim = stage(rows.select(F.col(source).alias("source"), F.col(size).alias("size"), F.col(cell).alias("cell"))
                  .groupBy("source", "cell").agg(F.sum("size").alias("size")), "mix_cells")
@@ -92,11 +92,12 @@ def mix(docs: DataFrame, weights: DataFrame, words: Column | None = None, share:
     for at in range(LEVELS):
         cuts = _refine(slim, stage(cuts, f"mix_cuts_{at}"), at)
     cuts = stage(cuts.select(F.col("source").alias(key), F.col("source_size").alias(source_size),
-                             F.col("target").alias(target), "whole", "cut"), "mix_cuts")
+                             F.col("target").alias(target), F.col("whole").alias(whole), F.col("cut").alias(cut)),
+                 "mix_cuts")
     joined = rows.join(cuts, rows[source].eqNullSafe(cuts[key]), "left")
     return joined.select(
         *[F.col(f"`{c}`") for c in docs.columns], size, source_size, target,
-        (F.col("whole") + (F.col(cell) < F.col("cut")).cast("long")).alias(copies),
+        (F.col(whole) + (F.col(cell) < F.col(cut)).cast("long")).alias(copies),
     ), (size, source_size, target, copies)
 
 

@@ -93,7 +93,8 @@ def _best(candidates: Column, place: Column) -> Column:
 def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]], url: str = "url",
                literal_rules: int = LITERAL_RULES) -> tuple[DataFrame, tuple[str, str, str, str]]:
     """`pages` with host, path, rule and verdict, under these names or fresh ones."""
-    host, path, rule, verdict, hit = (fresh(pages, c) for c in ("host", "path", "rule", "verdict", "url_rule"))
+    host, path, rule, verdict, hit, of_host, of_path = (
+        fresh(pages, c) for c in ("host", "path", "rule", "verdict", "url_rule", "url_host", "url_path"))
     counts = token_counts(pages, sorted({t for r, _ in rules for t in rule_tokens(r)}), url)
     index = rule_index(rules, counts)
     rows = pages.withColumns({host: host_of(F.col(url)), path: path_of(F.col(url))})
@@ -108,11 +109,9 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]], url: str = "u
                                  F.array(*[F.lit(t) for t in sorted(index)]))
         found = rows.withColumn(hit, _best(F.flatten(F.transform(keys, lambda t: table[t])), place))
     else:
-        matches = rule_matches(rows.select(host, path), index)
-        found = rows.join(matches.select(F.col("host").alias(f"{hit}h"), F.col("path").alias(f"{hit}p"),
-                                         F.col("hit").alias(hit)),
-                          (F.col(host) == F.col(f"{hit}h")) & (F.col(path) == F.col(f"{hit}p")), "left").drop(
-            f"{hit}h", f"{hit}p")
+        matches = rule_matches(rows.select(host, path), index).toDF(of_host, of_path, hit)
+        found = rows.join(matches, (F.col(host) == F.col(of_host)) & (F.col(path) == F.col(of_path)), "left").drop(
+            of_host, of_path)
     return found.withColumns({
         rule: F.col(hit)["rule"], verdict: F.coalesce(F.col(hit)["verdict"], F.lit(DEFAULT_VERDICT)),
     }).drop(hit), (host, path, rule, verdict)
