@@ -57,7 +57,7 @@ def main() -> None:
     for kind in ("user", "speak"):
         for entity in ("svc", "company" if kind == "user" else "gcompany"):
             out[f"stage_{kind}_changes_{entity}"] = timed(lambda: getattr(tables, f"{kind}_changes")(entity))
-    for name in ("server_seconds", "server_load"):
+    for name in ("server_seconds",):
         out[f"stage_{name}"] = timed(lambda: getattr(tables, name))
     for name in HEADLINE:
         if name in QUERIES:

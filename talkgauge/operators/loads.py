@@ -15,12 +15,11 @@ from talkgauge.functions.times import minute_mark, second_bucket
 from talkgauge.operators.enrich import filter_speak
 from talkgauge.operators.scan import CELL_ROWS, hold_deltas
 from talkgauge.operators.windows import (
-    dense_seconds, distinct_members, fill, mark_late, minute_grid, per_minute_mark, second_grid,
-    trailing_hour,
+    dense_seconds, distinct_members, fill, mark_late, minute_grid, per_minute_mark, trailing_hour,
 )
 from talkgauge.schemas import (
-    GROUP_SECOND_MEASURES, HOUR_MS, MIC_CAP_MS, SPEAK_HOUR_MEASURES, SPEAK_SECOND_MEASURES,
-    USER_BROKEN, USER_HOUR_MEASURES, USER_OFFLINE, USER_ONLINE, USER_SECOND_MEASURES,
+    GROUP_SECOND_MEASURES, HOUR_MS, LATE_MS, MIC_CAP_MS, SECOND_MS, SPEAK_HOUR_MEASURES,
+    SPEAK_SECOND_MEASURES, USER_BROKEN, USER_HOUR_MEASURES, USER_OFFLINE, USER_ONLINE, USER_SECOND_MEASURES,
 )
 
 
@@ -44,12 +43,13 @@ def _user_rows(online: DataFrame, entity: str, late: str, cell_rows: int) -> Dat
 USER_TIMES = {"loginTimes": USER_ONLINE, "logoutTimes": USER_OFFLINE, "brokenTimes": USER_BROKEN}
 
 
-def user_changes(online: DataFrame, entity: str, late: str = "keep",
+def user_changes(online: DataFrame, entity: str, late: str = "drop",
                  cell_rows: int = CELL_ROWS) -> DataFrame:
     """(entity, bucket) with distinct users per event and `delta`, the change of the online set.
 
     Seconds without rows are left out; a user whose second has a logout is off
-    at its end. `seen` is zero where only a delta falls.
+    at its end. `seen` is zero where only a delta falls. Late rows don't count
+    unless `late="keep"`.
     """
     per_user = _user_rows(online, entity, late, cell_rows).where("counts").groupBy(
         "entity", "uid", "bucket"
@@ -73,7 +73,7 @@ def _add_up(counted: DataFrame, deltas: DataFrame, times: list[str]) -> DataFram
 
 def user_load_second(changes: DataFrame) -> DataFrame:
     """Per (entity, second): users online at its end, distinct users going on, off, broken."""
-    return dense_seconds(changes, "entity", "onlines", list(USER_TIMES)).select(
+    return dense_seconds(changes, "entity", {"onlines": "delta"}, list(USER_TIMES)).select(
         "entity", "bucket", *USER_SECOND_MEASURES
     )
 
@@ -135,7 +135,7 @@ SPEAK_TIMES = {
 }
 
 
-def speak_changes(group_event: DataFrame, entity: str, late: str = "keep", mic_cap: bool = True,
+def speak_changes(group_event: DataFrame, entity: str, late: str = "drop", mic_cap: bool = True,
                   cell_rows: int = CELL_ROWS) -> DataFrame:
     """(entity, bucket) with event counts and `delta`, the change of the speaking set.
 
@@ -160,7 +160,7 @@ def speak_changes(group_event: DataFrame, entity: str, late: str = "keep", mic_c
 
 def speak_load_second(changes: DataFrame) -> DataFrame:
     """Per (entity, second): users speaking at its end, and counts of microphone events."""
-    return dense_seconds(changes, "entity", "speakings", list(SPEAK_TIMES)).select(
+    return dense_seconds(changes, "entity", {"speakings": "delta"}, list(SPEAK_TIMES)).select(
         "entity", "bucket", *SPEAK_SECOND_MEASURES
     )
 
@@ -197,30 +197,69 @@ def closed_hours(hours: DataFrame) -> DataFrame:
     return hours.withColumn("newest", newest).where(F.col("bucket") < F.col("newest")).drop("newest")
 
 
-def merge_reports(user: DataFrame, group: DataFrame, speak: DataFrame) -> DataFrame:
-    """The three second loads of servers as one row per (svc, bucket), zero where one is missing."""
-    none = F.lit(0).cast("bigint")
-    measures = [*USER_SECOND_MEASURES, *GROUP_SECOND_MEASURES, *SPEAK_SECOND_MEASURES]
+SERVER_GAUGES = {"onlines": "online_delta", "speakings": "speak_delta", "inside": "inside_delta"}
+SERVER_COUNTS = [*USER_TIMES, *SPEAK_TIMES, *GROUP_SECOND_MEASURES, "group_rows"]
 
-    def part(load: DataFrame, entity: str, own: list[str]) -> DataFrame:
-        return load.select(
-            F.col(entity).alias("svc"), "bucket",
-            *[(F.col(m) if m in own else none).alias(m) for m in measures],
-        )
 
+def _within_span(changes: DataFrame, delta: str, times: list[str]) -> DataFrame:
+    """A load's changes as part of the server record, which it enters four seconds before and leaves after its own."""
+    spans = changes.where("seen > 0").groupBy("entity").agg(
+        (F.min("bucket") - LATE_MS).alias("first"), F.max("bucket").alias("last")
+    )
+    inner = changes.join(spans, "entity").where(F.col("bucket") <= F.col("last"))
+    after = (F.col("last") + SECOND_MS).alias("bucket")
+    ends = inner.groupBy("entity", "last").agg((-F.sum("delta")).alias(delta)).select("entity", after, delta)
+    edge = F.inline(F.array(
+        F.struct(F.col("first").alias("bucket"), F.lit(1).alias("inside_delta"), F.lit(1).alias("seen")),
+        F.struct(after, F.lit(-1).alias("inside_delta"), F.lit(0).alias("seen")),
+    ))
     return (
-        part(user, "entity", USER_SECOND_MEASURES)
-        .unionByName(part(group, "svc", GROUP_SECOND_MEASURES))
-        .unionByName(part(speak, "entity", SPEAK_SECOND_MEASURES))
-        .groupBy("svc", "bucket").agg(*[F.sum(m).alias(m) for m in measures])
+        _server_part(inner.withColumnRenamed("delta", delta).select("entity", "bucket", *times, delta, "seen"))
+        .unionByName(_server_part(ends)).unionByName(_server_part(spans.select("entity", edge)))
+    )
+
+
+def _server_part(rows: DataFrame) -> DataFrame:
+    """`rows` with all columns of a server's changes, zero where it has none."""
+    def column(name: str) -> Column:
+        return (F.col(name) if name in rows.columns else F.lit(0)).cast("bigint").alias(name)
+
+    return rows.select(
+        F.col("entity").alias("svc"), "bucket",
+        *[column(n) for n in [*SERVER_COUNTS, *SERVER_GAUGES.values(), "seen"]],
+    )
+
+
+def server_seconds(user: DataFrame, group: DataFrame, speak: DataFrame) -> DataFrame:
+    """Every second of each server with the measures of its user, group and speaking load.
+
+    Takes the sparse changes of users and of speaking, and the group load, and
+    stretches them once; nothing dense is shuffled. A load's gauge is zero
+    outside its own span. `inside` counts the loads whose span holds the second.
+    """
+    one = F.lit(1).alias("group_rows")
+    changes = (
+        _within_span(user, "online_delta", list(USER_TIMES))
+        .unionByName(_within_span(speak, "speak_delta", list(SPEAK_TIMES)))
+        .unionByName(_server_part(group.select(
+            F.col("svc").alias("entity"), "bucket", *GROUP_SECOND_MEASURES, one, F.lit(1).alias("seen")
+        )))
+    ).groupBy("svc", "bucket").agg(
+        *[F.sum(c).alias(c) for c in [*SERVER_COUNTS, *SERVER_GAUGES.values(), "seen"]]
+    )
+    return dense_seconds(changes, "svc", SERVER_GAUGES, SERVER_COUNTS)
+
+
+def merge_reports(seconds: DataFrame) -> DataFrame:
+    """Seconds of servers that any of the three loads reports, as one row per (svc, bucket)."""
+    return seconds.where((F.col("inside") > 0) | (F.col("group_rows") > 0)).select(
+        "svc", "bucket", *USER_SECOND_MEASURES, *GROUP_SECOND_MEASURES, *SPEAK_SECOND_MEASURES
     )
 
 
-def server_load_second(user: DataFrame, group: DataFrame, speak: DataFrame) -> DataFrame:
+def server_load_second(seconds: DataFrame) -> DataFrame:
     """One nested record per server and second, gap-filled from four seconds before the first."""
-    merged = merge_reports(user, group, speak)
-    measures = [*USER_SECOND_MEASURES, *GROUP_SECOND_MEASURES, *SPEAK_SECOND_MEASURES]
-    return fill(second_grid(merged, "svc"), merged, "svc", measures).select(
+    return seconds.select(
         F.col("svc").alias("server"), "bucket",
         F.struct(*USER_SECOND_MEASURES).alias("userLoad"),
         F.struct(*GROUP_SECOND_MEASURES).alias("groupLoad"),

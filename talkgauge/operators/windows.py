@@ -20,14 +20,21 @@ def count_per_second(rows: DataFrame, entity: str) -> DataFrame:
 
 
 def mark_late(rows: DataFrame, entity: str, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """Add bucket and late: the entity's newest bucket was over 4 s ahead on arrival."""
+    """Add bucket, newest and late: the entity's newest bucket was over 4 s ahead on arrival.
+
+    A jump of five seconds or more empties the window, which then reaches back
+    3 s only, until a still newer bucket opens.
+    """
     bucketed = rows.withColumn("bucket", second_bucket("ts_ms"))
-    return running(
+    aged = running(
         with_cells(bucketed, [entity], "seq", cell_rows), [entity], "seq",
         maxes={"newest": F.col("bucket")},
-    ).withColumn(
-        "late", F.coalesce(F.col("bucket") < F.col("newest") - LATE_MS, F.lit(False))
-    ).drop(CELL)
+    )
+    jump = F.when(F.col("bucket") - F.col("newest") >= LATE_MS + SECOND_MS, F.col("bucket"))
+    reach = F.when(F.col("jumped") == F.col("newest"), LATE_MS - SECOND_MS).otherwise(LATE_MS)
+    return running(aged, [entity], "seq", maxes={"jumped": jump}).withColumn(
+        "late", F.coalesce(F.col("bucket") < F.col("newest") - reach, F.lit(False))
+    ).drop(CELL, "jumped")
 
 
 def drop_stale(rows: DataFrame, key: str, cell_rows: int = CELL_ROWS) -> DataFrame:
@@ -82,14 +89,15 @@ def fill(grid: DataFrame, rows: DataFrame, entity: str, measures: list[str],
     return summed if keep_outside else summed.where("_grid").drop("_grid")
 
 
-def dense_seconds(changes: DataFrame, entity: str, gauge: str, counts: list[str]) -> DataFrame:
-    """Every second of each entity: its counts, and `delta` summed up so far as `gauge`.
+def dense_seconds(changes: DataFrame, entity: str, gauges: dict[str, str], counts: list[str]) -> DataFrame:
+    """Every second of each entity: its counts, and for each gauge its column of changes summed up so far.
 
     `changes` is sparse, with `seen` over zero where there were rows. Each
     change is stretched to the next one of its day, so a task makes the seconds
     of one entity and day, and nothing dense is shuffled.
     """
     zero = F.lit(0).cast("bigint")
+    summed = [*counts, *gauges.values()]
     spans = changes.where("seen > 0").groupBy(entity).agg(
         (F.min("bucket") - LATE_MS).alias("first"), F.max("bucket").alias("last")
     )
@@ -97,25 +105,26 @@ def dense_seconds(changes: DataFrame, entity: str, gauge: str, counts: list[str]
         F.sequence(floor_to("first", DAY_MS), floor_to("last", DAY_MS), F.lit(DAY_MS).cast("bigint"))
     )
     starts = spans.withColumn("day", days).select(
-        entity, F.greatest("day", "first").alias("bucket"), *[zero.alias(c) for c in [*counts, "delta"]],
+        entity, F.greatest("day", "first").alias("bucket"), *[zero.alias(c) for c in summed],
         F.least(F.col("day") + DAY_MS, F.col("last") + SECOND_MS).alias("end"),
     )
     rows = (
-        changes.select(entity, "bucket", *counts, "delta", F.lit(None).cast("bigint").alias("end"))
+        changes.select(entity, "bucket", *summed, F.lit(None).cast("bigint").alias("end"))
         .unionByName(starts).withColumn(CELL, floor_to("bucket", DAY_MS))
         .groupBy(entity, CELL, "bucket")
-        .agg(*[F.sum(c).alias(c) for c in [*counts, "delta"]], F.max("end").alias("end"))
+        .agg(*[F.sum(c).alias(c) for c in summed], F.max("end").alias("end"))
     )
     day = Window.partitionBy(entity, CELL)
+    if gauges:
+        rows = running(rows, [entity], "bucket", sums={g: F.col(d) for g, d in gauges.items()}, inclusive=True)
     spread = (
-        running(rows, [entity], "bucket", sums={gauge: F.col("delta")}, inclusive=True)
-        .withColumn("end", F.max("end").over(day)).where(F.col("bucket") < F.col("end"))
+        rows.withColumn("end", F.max("end").over(day)).where(F.col("bucket") < F.col("end"))
         .withColumn("next", F.lead("bucket").over(day.orderBy("bucket")))
         .withColumn("last", F.coalesce("next", "end") - SECOND_MS)
     )
     seconds = F.posexplode(F.sequence("bucket", "last", F.lit(SECOND_MS).cast("bigint")))
-    return spread.select(entity, gauge, *counts, seconds.alias("pos", "second")).select(
-        entity, F.col("second").alias("bucket"), gauge,
+    return spread.select(entity, *gauges, *counts, seconds.alias("pos", "second")).select(
+        entity, F.col("second").alias("bucket"), *gauges,
         *[F.when(F.col("pos") == 0, F.col(c)).otherwise(zero).alias(c) for c in counts],
     )
 

@@ -256,11 +256,19 @@ def _dense(name: str, source: str) -> None:
   SELECT entity, min(bucket) - 4000 AS first, max(bucket) AS last FROM {source} GROUP BY entity)"""
 
 
-def _user_load(name: str, entity: str, late: bool = False, hours: int = 2) -> None:
+def _on_time(rows: str, key: str = "entity") -> str:
+    """Rows with newest, the newest bucket before, and the seconds the window reaches back."""
+    return f"""SELECT *, CASE WHEN jumped = newest THEN 3000 ELSE 4000 END AS reach FROM (
+  SELECT *, max(CASE WHEN bucket >= newest + 5000 THEN bucket END) OVER (PARTITION BY {key} ORDER BY seq {BEFORE}) AS jumped
+  FROM (SELECT *, max(bucket) OVER (PARTITION BY {key} ORDER BY seq {BEFORE}) AS newest FROM {rows}))"""
+
+
+def _user_load(name: str, entity: str, late: bool = True, hours: int = 2) -> None:
     rows = f"SELECT seq, {entity} AS entity, uid, event, ts_ms // 1000 * 1000 AS bucket FROM online"
     _CTE[name + "_all"] = rows
-    _CTE[name + "_rows"] = f"""SELECT * FROM (SELECT *, max(bucket) OVER (PARTITION BY entity ORDER BY seq {BEFORE})
-  AS newest FROM {name}_all)""" + (" WHERE newest IS NULL OR bucket >= newest - 4000" if late else "")
+    _CTE[name + "_rows"] = f"SELECT * FROM ({_on_time(name + '_all')})" + (
+        " WHERE newest IS NULL OR bucket >= newest - reach" if late else ""
+    )
     _dense(name, name + "_rows")
     _CTE[name + "_held"] = f"""SELECT *, lead(bucket) OVER (PARTITION BY entity, uid ORDER BY bucket) AS next FROM (
   SELECT entity, uid, bucket, bool_or(event = 'uoff') AS off FROM {name}_rows
@@ -295,15 +303,18 @@ LEFT JOIN {name}_present p ON p.entity = s.entity AND p.mark = s.bucket"""
 
 _user_load("us", "svc")
 _user_load("uc", "company")
-_user_load("ul", "svc", late=True)
+_user_load("uk", "svc", late=False)
 _user_load("u1", "svc", hours=1)
 
 _STEMS = {"speaking": "GET_MIC", "lostAuto": "LOSTMIC_AUTO", "lostReplace": "LOSTMIC_REPLACE", "dent": "DENT_MIC"}
 
 
-def _speak_load(name: str, entity: str, cap: bool = True) -> None:
-    _CTE[name + "_rows"] = f"""SELECT seq, {entity} AS entity, uid, gfull, event, ts_ms // 1000 * 1000 AS bucket
+def _speak_load(name: str, entity: str, cap: bool = True, late: bool = True) -> None:
+    _CTE[name + "_all"] = f"""SELECT seq, {entity} AS entity, uid, gfull, event, ts_ms // 1000 * 1000 AS bucket
 FROM group_event WHERE event IN {SPEAK}"""
+    _CTE[name + "_rows"] = f"SELECT * FROM ({_on_time(name + '_all')})" + (
+        " WHERE newest IS NULL OR bucket >= newest - reach" if late else ""
+    )
     _dense(name, name + "_rows")
     _CTE[name + "_held"] = f"""SELECT *, least(lead(bucket) OVER (PARTITION BY entity, uid ORDER BY bucket),
   {'bucket + 300000' if cap else 'NULL'}) AS until
@@ -326,7 +337,7 @@ WHERE bucket % 60000 = 0 AND bucket > first // 60000 * 60000"""
         f"count(DISTINCT {c}) FILTER (event = '{e}') AS {s}{what}"
         for s, e in _STEMS.items() for c, what in (("uid", "Users"), ("gfull", "Groups"))
     )
-    _CTE[name + "_distinct"] = f"""SELECT m.entity, m.bucket, {distinct} FROM {name}_sums m LEFT JOIN {name}_rows r
+    _CTE[name + "_distinct"] = f"""SELECT m.entity, m.bucket, {distinct} FROM {name}_sums m LEFT JOIN {name}_all r
   ON r.entity = m.entity AND r.bucket <= m.bucket AND r.bucket > m.bucket - 7200000 GROUP BY ALL"""
     _CTE[name + "_hour"] = f"""SELECT entity, bucket, {_cols(SPEAK_HOUR_MEASURES)} FROM (
   SELECT s.* RENAME (speakings AS speakingSeconds, getTimes AS speakingTimes), d.* EXCLUDE (entity, bucket)
@@ -336,6 +347,7 @@ WHERE bucket % 60000 = 0 AND bucket > first // 60000 * 60000"""
 _speak_load("ss", "svc")
 _speak_load("sc", "gcompany")
 _speak_load("sn", "svc", cap=False)
+_speak_load("sk", "svc", late=False)
 
 
 def _closed(hour: str) -> str:
@@ -395,7 +407,8 @@ def _report(hour: str, measures: list[str]) -> str:
 
 # --- one final select per query
 
-_FINAL["src_kafka_log"] = "SELECT seq, line FROM raw"
+for _name in ("src_kafka_log", "src_log_files"):
+    _FINAL[_name] = "SELECT row_number() OVER (ORDER BY seq) - 1 AS seq, line FROM raw"
 _FINAL["src_dim_org"] = """SELECT 'user' AS kind, uid AS id, u.company, agent FROM dim_user u LEFT JOIN dim_company c
   ON c.company = u.company WHERE u.company <> ''
 UNION ALL SELECT 'group', gid, g.company, agent FROM dim_group g LEFT JOIN dim_company c ON c.company = g.company
@@ -463,7 +476,11 @@ _FINAL["group_event_split"] = """SELECT CASE gtype WHEN 'gtemp' THEN 'temp_group
   AS "table", seq, gid, uid, event, dt FROM group_event"""
 _FINAL["user_load_second_server"] = "SELECT * FROM us_second"
 _FINAL["user_load_second_company"] = "SELECT * FROM uc_second"
-_FINAL["user_load_second_server_late"] = "SELECT * FROM ul_second"
+_FINAL["user_load_second_server_late"] = "SELECT * FROM us_second"
+_FINAL["user_load_second_server_keep"] = "SELECT * FROM uk_second"
+_FINAL["user_load_hour_server_keep"] = "SELECT * FROM uk_hour"
+_FINAL["speak_load_second_server_keep"] = "SELECT * FROM sk_second"
+_FINAL["speak_load_hour_server_keep"] = "SELECT * FROM sk_hour"
 _FINAL["user_load_hour_server"] = "SELECT * FROM us_hour"
 _FINAL["user_load_hour_company"] = "SELECT * FROM uc_hour"
 _FINAL["user_load_hour_server_1h"] = "SELECT * FROM u1_hour"
@@ -477,9 +494,8 @@ _FINAL["speak_load_hour_merge"] = "SELECT * FROM ss_closed"
 _FINAL["merge_reports"] = "SELECT * FROM merged"
 _FINAL["server_load_second"] = "SELECT * FROM server_second"
 _FINAL["win_second"] = "SELECT svc, ts_ms // 1000 * 1000 AS bucket, count(*) AS n FROM action GROUP BY ALL"
-_FINAL["win_late"] = f"""SELECT seq, svc, bucket, CASE WHEN bucket < newest - 4000 THEN 1 ELSE 0 END AS late FROM (
-  SELECT *, max(bucket) OVER (PARTITION BY svc ORDER BY seq {BEFORE}) AS newest
-  FROM (SELECT seq, svc, ts_ms // 1000 * 1000 AS bucket FROM action))"""
+_FINAL["win_late"] = f"""SELECT seq, svc, bucket, CASE WHEN bucket < newest - reach THEN 1 ELSE 0 END AS late
+FROM ({_on_time('(SELECT seq, svc, ts_ms // 1000 * 1000 AS bucket FROM action)', 'svc')})"""
 _FINAL["win_gap_fill"] = "SELECT entity AS svc, bucket, n FROM counts_dense"
 _FINAL["win_skip"] = f"""SELECT svc, s.bucket, u.onlines FROM (
   SELECT svc, unnest(range(newest + 1000, bucket - 3000, 1000)) AS bucket FROM (

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from talkgauge.functions import jsons, keys, text, times
 from talkgauge.operators import enrich, groups, loads, online, parse, sinks, speaking, windows
+from talkgauge.plans.staging import run_folder
 from talkgauge.plans.tables import Query, Tables
 from talkgauge.schemas import (
     ACTION_COLUMNS, GROUP_EVENT_COLUMNS, GROUP_NORMAL, GROUP_TEMP, LOG_COLUMNS, MINUTE_MS,
@@ -30,14 +31,28 @@ def add(name: str, fn: Query) -> None:
 
 @query
 def src_kafka_log(t: Tables) -> DataFrame:
+    """Two partitions, one with a tenth of the other's records."""
+    small = F.col("seq") % 11 == 0
     records = t.raw.select(
         F.encode("line", "UTF-8").alias("value"),
-        (F.col("seq") % 3).cast("int").alias("partition"),
-        F.floor(F.col("seq") / 3).alias("offset"),
+        F.when(small, 1).otherwise(0).alias("partition"),
+        F.when(small, F.floor(F.col("seq") / 11)).otherwise(F.col("seq")).alias("offset"),
+        F.timestamp_millis(F.col("seq")).alias("timestamp"),
     )
     return logs.raw_from_kafka(records)
 
 
+@query
+def src_log_files(t: Tables) -> DataFrame:
+    """A small and a large folder of log files."""
+    folder = f"{run_folder(t.spark)}/log_files"
+    for name, part in (("1", F.col("seq") < 4000), ("2", F.col("seq") >= 4000)):
+        t.raw.where(part).repartitionByRange("seq").sortWithinPartitions("seq").select("line").write.text(
+            f"{folder}/{name}"
+        )
+    return logs.read_log_files(t.spark, [f"{folder}/1", f"{folder}/2"])
+
+
 @query
 def src_dim_org(t: Tables) -> DataFrame:
     company = t.dims[2].select(
@@ -268,18 +283,22 @@ def group_event_split(t: Tables) -> DataFrame:
 
 # --- loads
 
-def _user_hour(t: Tables, entity: str, **options) -> DataFrame:
-    return loads.user_load_hour(t.online, t.user_changes(entity), entity, **options)
+def _user_hour(t: Tables, entity: str, late: str = "drop", **options) -> DataFrame:
+    return loads.user_load_hour(t.online, t.user_changes(entity, late), entity, **options)
 
 
-def _speak_hour(t: Tables, entity: str) -> DataFrame:
-    return loads.speak_load_hour(t.group_event, t.speak_changes(entity), entity)
+def _speak_hour(t: Tables, entity: str, late: str = "drop") -> DataFrame:
+    return loads.speak_load_hour(t.group_event, t.speak_changes(entity, late), entity)
 
 
 add("user_load_second_server", lambda t: loads.user_load_second(t.user_changes("svc")))
 add("user_load_second_company", lambda t: loads.user_load_second(t.user_changes("company")))
 add("user_load_second_server_late",
     lambda t: loads.user_load_second(loads.user_changes(t.online, "svc", late="drop")))
+add("user_load_second_server_keep", lambda t: loads.user_load_second(t.user_changes("svc", "keep")))
+add("user_load_hour_server_keep", lambda t: _user_hour(t, "svc", "keep"))
+add("speak_load_second_server_keep", lambda t: loads.speak_load_second(t.speak_changes("svc", "keep")))
+add("speak_load_hour_server_keep", lambda t: _speak_hour(t, "svc", "keep"))
 add("user_load_hour_server", lambda t: _user_hour(t, "svc"))
 add("user_load_hour_company", lambda t: _user_hour(t, "company"))
 add("user_load_hour_merge", lambda t: loads.closed_hours(_user_hour(t, "svc")))
@@ -291,12 +310,12 @@ add("speak_load_second_server_uncapped",
 add("speak_load_hour_server", lambda t: _speak_hour(t, "svc"))
 add("speak_load_hour_company", lambda t: _speak_hour(t, "gcompany"))
 add("speak_load_hour_merge", lambda t: loads.closed_hours(_speak_hour(t, "svc")))
-add("merge_reports", lambda t: loads.merge_reports(*t.server_seconds))
+add("merge_reports", lambda t: loads.merge_reports(t.server_seconds))
 
 
 @query
 def server_load_second(t: Tables) -> DataFrame:
-    return loads.server_load_second(*t.server_seconds).select(
+    return loads.server_load_second(t.server_seconds).select(
         "server", "bucket", "userLoad.*", "groupLoad.*", "speakLoad.*"
     )
 
@@ -320,13 +339,13 @@ def _counts(t: Tables) -> DataFrame:
 @query
 def win_gap_fill(t: Tables) -> DataFrame:
     counts = _counts(t)
-    return windows.fill(windows.second_grid(counts, "svc"), counts, "svc", ["n"])
+    return windows.dense_seconds(counts.withColumn("seen", F.lit(1)), "svc", {}, ["n"])
 
 
 @query
 def win_skip(t: Tables) -> DataFrame:
     skipped = windows.skipped_seconds(t.online.select("seq", "svc", "ts_ms"), "svc")
-    gauges = t.server_seconds[0].select(F.col("entity").alias("svc"), "bucket", "onlines")
+    gauges = loads.user_load_second(t.user_changes("svc")).select(F.col("entity").alias("svc"), "bucket", "onlines")
     return skipped.join(gauges, ["svc", "bucket"])
 
 
@@ -378,7 +397,7 @@ add("sink_server_user_load", lambda t: _hex_key(
     sinks.hour_report(loads.closed_hours(_user_hour(t, "svc")), USER_HOUR_MEASURES)))
 add("sink_server_speak_load", lambda t: _hex_key(
     sinks.hour_report(loads.closed_hours(_speak_hour(t, "svc")), SPEAK_HOUR_MEASURES)))
-add("sink_appload", lambda t: sinks.appload(t.server_load))
+add("sink_appload", lambda t: sinks.appload(loads.server_load_second(t.server_seconds)))
 
 
 @query

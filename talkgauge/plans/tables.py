@@ -22,7 +22,7 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.events = events.read_events(spark, sf_dir)
-        self._changes: dict[tuple[str, str], DataFrame] = {}
+        self._changes: dict[tuple[str, str, str], DataFrame] = {}
 
     @cached_property
     def raw(self) -> DataFrame:
@@ -73,31 +73,28 @@ class Tables:
     def speaking(self) -> DataFrame:
         return stage(speaking.speaking_records(self.group_event), "speaking")
 
-    def user_changes(self, entity: str) -> DataFrame:
-        if ("user", entity) not in self._changes:
-            self._changes["user", entity] = stage(loads.user_changes(self.online, entity), "user_changes")
-        return self._changes["user", entity]
+    def user_changes(self, entity: str, late: str = "drop") -> DataFrame:
+        if ("user", entity, late) not in self._changes:
+            self._changes["user", entity, late] = stage(
+                loads.user_changes(self.online, entity, late), "user_changes"
+            )
+        return self._changes["user", entity, late]
 
-    def speak_changes(self, entity: str) -> DataFrame:
-        if ("speak", entity) not in self._changes:
-            self._changes["speak", entity] = stage(
-                loads.speak_changes(self.group_event, entity), "speak_changes"
+    def speak_changes(self, entity: str, late: str = "drop") -> DataFrame:
+        if ("speak", entity, late) not in self._changes:
+            self._changes["speak", entity, late] = stage(
+                loads.speak_changes(self.group_event, entity, late), "speak_changes"
             )
-        return self._changes["speak", entity]
+        return self._changes["speak", entity, late]
 
     @cached_property
-    def server_seconds(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """User, group and speak second loads of servers."""
-        return (
-            stage(loads.user_load_second(self.user_changes("svc")), "user_load_second"),
-            stage(groups.group_load_second(self.group_event, self.lives), "group_load_second"),
-            stage(loads.speak_load_second(self.speak_changes("svc")), "speak_load_second"),
+    def server_seconds(self) -> DataFrame:
+        """User, group and speak loads of servers by second."""
+        group = groups.group_load_second(self.group_event, self.lives)
+        return stage(
+            loads.server_seconds(self.user_changes("svc"), group, self.speak_changes("svc")), "server_seconds"
         )
 
-    @cached_property
-    def server_load(self) -> DataFrame:
-        return stage(loads.server_load_second(*self.server_seconds), "server_load_second")
-
 
 _OPEN: dict[tuple[str, str], Tables] = {}
 

@@ -56,7 +56,7 @@ def test_no_cross_joins_and_no_python(spark, tables):
         loads.user_load_second(tables.user_changes("svc")),
         loads.user_load_hour(tables.online, tables.user_changes("svc"), "svc"),
         loads.speak_load_hour(tables.group_event, tables.speak_changes("svc"), "svc"),
-        loads.server_load_second(*tables.server_seconds),
+        loads.server_load_second(tables.server_seconds),
     ):
         text = plan(df)
         assert "CartesianProduct" not in text and "NestedLoop" not in text and "Python" not in text

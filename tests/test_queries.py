@@ -7,8 +7,10 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_DIR, rows_of
+from talkgauge.plans.oracle import oracle_sql
+from talkgauge.plans.queries import QUERIES as OWN
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = entry.queries(), oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +21,8 @@ def duck():
 
 
 def test_names_match():
-    assert set(SQL) <= set(QUERIES)
+    assert set(SQL) == set(OWN)
+    assert set(OWN) <= set(QUERIES) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
