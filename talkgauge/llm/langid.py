@@ -94,10 +94,11 @@ class Scorer:
 
 
 def sample_of(labelled: DataFrame, per_lang: int, doc_id: str, lang: str) -> DataFrame:
-    """About `per_lang` documents of each language, drawn by a hash of the id."""
-    totals = labelled.groupBy(F.col(lang).alias("of")).agg(F.count("*").alias("total"))
+    """About `per_lang` documents of each language, drawn by a hash of the id, without moving the texts."""
+    totals = {r[lang]: r["count"] for r in labelled.groupBy(lang).count().collect()}
+    share = F.create_map(*[F.lit(x) for pair in totals.items() for x in pair])[F.col(lang)] if totals else F.lit(1)
     drawn = F.pmod(F.xxhash64(F.lit("langid"), F.col(doc_id)), F.lit(1 << 30)) / float(1 << 30)
-    return labelled.join(totals, F.col(lang) == F.col("of")).where(drawn * F.col("total") < per_lang)
+    return labelled.where(drawn * share < per_lang)
 
 
 def fit(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
