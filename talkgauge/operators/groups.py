@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from talkgauge.functions.times import second_bucket
 from talkgauge.operators.lookup import lookup_join
 from talkgauge.operators.scan import CELL, CELL_ROWS, running, with_cells
+from talkgauge.plans.staging import stage
 from talkgauge.schemas import GROUP_NORMAL, GROUP_TEMP, IN_OUT_EVENTS, TEMP_GROUP_TTL_MS
 
 
@@ -59,30 +60,34 @@ def user_current_group(group_event: DataFrame) -> DataFrame:
     )
 
 
-def _ends(members: DataFrame) -> DataFrame:
-    """Last episode of each group; groups expired by the newest row are left out."""
-    as_of = members.agg(F.max("ts_ms")).first()[0]
+def _ends(members: DataFrame, as_of: int | None) -> DataFrame:
+    """Last episode of each group; groups expired at `as_of` are left out.
+
+    Without a time the newest row's is taken, for which one future date is enough
+    to expire all temporary groups; a caller that knows the time should give it.
+    """
+    now = members.agg(F.max("ts_ms")).scalar() if as_of is None else F.lit(as_of)
     last = members.groupBy("gfull", "gtype").agg(
         F.max("episode").alias("last_episode"), F.max("ts_ms").alias("last_ms")
     )
-    expired = (F.col("gtype") == GROUP_TEMP) & (F.lit(as_of) - F.col("last_ms") > TEMP_GROUP_TTL_MS)
-    return last.where(~expired).select("gfull", "last_episode")
+    expired = (F.col("gtype") == GROUP_TEMP) & (now - F.col("last_ms") > TEMP_GROUP_TTL_MS)
+    return stage(last.where(~expired).select("gfull", "last_episode"), "group_ends")
 
 
-def group_members(members: DataFrame) -> DataFrame:
-    """(gtype, gfull, uid) in each group after the last row."""
+def group_members(members: DataFrame, as_of: int | None = None) -> DataFrame:
+    """(gtype, gfull, uid) in each group after the last row, as of a time."""
     status = members.groupBy("gfull", "gtype", "uid").agg(
         F.max(F.struct("seq", "event", "episode")).alias("last")
     ).where(F.col("last.event") == "JOIN_GROUP")
     return (
-        lookup_join(status, _ends(members), "gfull")
+        lookup_join(status, _ends(members, as_of), "gfull")
         .where(F.col("last.episode") == F.col("last_episode")).select("gtype", "gfull", "uid")
     )
 
 
-def online_groups(members: DataFrame) -> DataFrame:
+def online_groups(members: DataFrame, as_of: int | None = None) -> DataFrame:
     """(gtype, gfull) with at least one member."""
-    return group_members(members).select("gtype", "gfull").distinct()
+    return group_members(members, as_of).select("gtype", "gfull").distinct()
 
 
 def group_lives(members: DataFrame) -> DataFrame:
@@ -106,29 +111,31 @@ def life_places(lives: DataFrame, place: str) -> DataFrame:
 
     opened is the seq of the first join there; closed that of the leave that
     emptied the group or, if it expired instead, of the next episode's first
-    row; null while it lives.
+    row; null while it lives. Next episodes are looked up, so that a group with
+    very many lives in one episode is spread.
     """
     life = ["gfull", "episode", "life"]
     opened = lives.where(F.col("event") == "JOIN_GROUP").groupBy(*life, "gtype", place).agg(
         F.min("seq").alias("opened")
     )
     emptied = lives.where("emptied").select(*life, F.col("seq").alias("emptied_at"))
-    next_start = (
+    next_start = stage(
         lives.where("episode > 0").groupBy("gfull", "episode").agg(F.min("seq").alias("expired_at"))
-        .withColumn("episode", F.col("episode") - 1)
+        .select(F.struct("gfull", (F.col("episode") - 1).alias("episode")).alias("_of"), "expired_at"), "next_episodes"
     )
+    lived = opened.join(emptied, life, "left").withColumn("_of", F.struct("gfull", "episode"))
     return (
-        opened.join(emptied, life, "left").join(next_start, ["gfull", "episode"], "left")
+        lookup_join(lived, next_start, "_of", "left")
         .withColumn("closed", F.coalesce("emptied_at", "expired_at"))
         .select("gfull", "gtype", place, "episode", "opened", "closed")
     )
 
 
-def live_groups_by(members: DataFrame, lives: DataFrame, place: str) -> DataFrame:
+def live_groups_by(members: DataFrame, lives: DataFrame, place: str, as_of: int | None = None) -> DataFrame:
     """(gtype, place, gfull) of groups with members, by server or group company of their joins."""
     places = life_places(lives, place).where(F.col("closed").isNull())
     return (
-        lookup_join(places, _ends(members), "gfull")
+        lookup_join(places, _ends(members, as_of), "gfull")
         .where(F.col("episode") == F.col("last_episode"))
         .select("gtype", place, "gfull").distinct()
     )

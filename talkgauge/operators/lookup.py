@@ -6,15 +6,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 256 << 20
 HOT_ROWS = 4_000_000
 
+_SIZES: dict[tuple[str, int], tuple[int, int]] = {}
+
+
+def size_of(dim: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of a dimension, counted once a session for the same plan.
+
+    Counts and sums are partial per partition, so one row of each is brought together.
+    """
+    key = (dim.sparkSession.sparkContext.applicationId, dim.semanticHash())
+    if key not in _SIZES:
+        row = dim.agg(F.count("*").alias("n"), F.sum(F.length(F.to_csv(F.struct(*dim.columns)))).alias("b")).first()
+        _SIZES[key] = (row["n"], row["b"] or 0)
+    return _SIZES[key]
+
 
 def lookup_join(rows: DataFrame, dim: DataFrame, key: str, how: str = "inner", *,
-                broadcast_rows: int = BROADCAST_ROWS, hot_rows: int = HOT_ROWS) -> DataFrame:
+                broadcast_rows: int = BROADCAST_ROWS, broadcast_bytes: int = BROADCAST_BYTES,
+                hot_rows: int = HOT_ROWS) -> DataFrame:
     """Join `rows` to `dim` (unique on `key`), `how` being inner or left.
 
-    The dimension's rows are counted first. Up to `broadcast_rows` it is
-    broadcast and `rows` is not shuffled. Beyond that the join is shuffled, and
+    The dimension is measured first. Up to `broadcast_rows` and `broadcast_bytes`
+    it is broadcast and `rows` is not shuffled. Beyond that the join is shuffled, and
     a key with more than `hot_rows` rows is spread over one salt per `hot_rows`,
     its dimension row being copied to each: no task gets a whole hot key. There
     are fewer than total / hot_rows hot keys and twice that many copies, which
@@ -23,9 +39,10 @@ def lookup_join(rows: DataFrame, dim: DataFrame, key: str, how: str = "inner", *
     """
     if rows.isStreaming:
         return rows.join(dim, key, how)
-    if dim.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    n, size = size_of(dim)
+    if n <= broadcast_rows and size <= broadcast_bytes:
         return rows.join(F.broadcast(dim), key, how)
-    hot = F.broadcast(
+    hot = F.broadcast(  # fewer than rows / hot_rows keys: 250,000 of 10^12 rows
         rows.groupBy(key).count().where(F.col("count") > hot_rows)
         .select(key, F.ceil(F.col("count") / hot_rows).alias("_salts"))
     )

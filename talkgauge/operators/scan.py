@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from talkgauge.schemas import DAY_MS
+
 CELL_ROWS = 4_000_000
 CELL = "_cell"
 
@@ -33,7 +35,7 @@ def with_cells(rows: DataFrame, by: list[str], order: str, cell_rows: int = CELL
         rows.groupBy(*by).count().where(F.col("count") > cell_rows)
         .select(*by, F.lit(True).alias("_big"))
     )
-    return (
+    return (  # fewer than rows / cell_rows big keys: 250,000 of 10^12 rows
         rows.join(F.broadcast(big), by, "left")
         .withColumn(CELL, F.when(F.col("_big"), cell)).drop("_big")
     )
@@ -86,10 +88,15 @@ def hold_deltas(ops: DataFrame, by: list[str], at: str, holds: str, until: str |
     is earlier. Gives (by, at, delta) with +1 at starts and -1 at ends; summing
     deltas up to a time counts the members holding then.
 
-    Each key's rows meet in one window, which is bounded by the number of
-    distinct `at` values (seconds or minutes of the span), not by input rows.
+    A key's rows meet by day. The last row of a day ends with the first row of
+    the key's next day, of which there is one row each, so no window holds more
+    than a day's seconds.
     """
-    following = F.lead(at).over(Window.partitionBy(*by).orderBy(at))
+    ops = ops.withColumn(CELL, F.floor(F.col(at) / DAY_MS).cast("bigint"))
+    days = ops.groupBy(*by, CELL).agg(F.min(at).alias("_first"))
+    coming = days.select(*by, CELL, F.lead("_first").over(Window.partitionBy(*by).orderBy(CELL)).alias("_coming"))
+    ops = ops.join(coming, [*by, CELL])
+    following = F.coalesce(F.lead(at).over(Window.partitionBy(*by, CELL).orderBy(at)), "_coming")
     end = following if until is None else F.least(following, F.col(until))
     edges = F.array(
         F.struct(F.col(at).alias("at"), F.lit(1).cast("bigint").alias("delta")),

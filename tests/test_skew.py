@@ -94,3 +94,32 @@ def test_lookup_beyond_broadcast(rows, tables, how, hot_rows):
     left = rows.select("seq", "uid")
     split = lookup_join(left, tables.user_org, "uid", how, broadcast_rows=0, hot_rows=hot_rows)
     assert rows_of(split) == rows_of(left.join(tables.user_org, "uid", how))
+
+
+def test_lookup_beyond_bytes(rows, tables):
+    left = rows.select("seq", "uid")
+    split = lookup_join(left, tables.user_org, "uid", broadcast_bytes=0, hot_rows=20)
+    assert rows_of(split) == rows_of(left.join(tables.user_org, "uid"))
+
+
+def test_sets_as_of_a_time(spark):
+    """A row dated far ahead expires temporary groups by default, and not as of a time given."""
+    from talkgauge.schemas import GROUP_TEMP
+
+    at = 1_704_067_200_000
+    members = spark.createDataFrame(
+        [(1, at, "s", "JOIN_GROUP", "u1", GROUP_TEMP, "c", "g1", 0), (2, at + 10**10, "s", "JOIN_GROUP", "u2", GROUP_TEMP, "c", "g2", 0)],
+        "seq long, ts_ms long, svc string, event string, uid string, gtype string, gcompany string, gfull string, episode long")
+    assert {r["gfull"] for r in groups.group_members(members).collect()} == {"g2"}
+    assert {r["gfull"] for r in groups.group_members(members, as_of=at + 1000).collect()} == {"g1", "g2"}
+
+
+def test_holding_over_days(spark):
+    """The end of a hold is found in the key's next day with rows, however far that is."""
+    from talkgauge.operators.scan import hold_deltas
+    from talkgauge.schemas import DAY_MS
+
+    rows = [("a", 5, True), ("a", 3 * DAY_MS + 1, False), ("a", 3 * DAY_MS + 9, True), ("b", 7, True), ("b", 8, True)]
+    ops = spark.createDataFrame(rows, "k string, at long, holds boolean")
+    got = {(r["k"], r["at"], r["delta"]) for r in hold_deltas(ops, ["k"], "at", "holds").collect()}
+    assert got == {("a", 5, 1), ("a", 3 * DAY_MS + 1, -1), ("a", 3 * DAY_MS + 9, 1), ("b", 7, 1), ("b", 8, -1), ("b", 8, 1)}

@@ -75,8 +75,8 @@ def test_second_load_with_gauge_and_gaps(spark, tables, tmp_path, kind):
         start(spark, jobs.read_table(spark, ordered, rows.schema), "svc", str(tmp_path / "load"), once=True)
     got = spark.read.parquet(str(tmp_path / "load" / f"{kind}_load_second"))
     newest = got.groupBy("entity").agg(F.max("bucket").alias("newest"))
-    batch = (loads.user_load_second(tables.user_changes("svc")) if kind == "user"
-             else loads.speak_load_second(tables.speak_changes("svc")))
+    batch = (loads.user_load_second(tables.user_changes("svc", "keep")) if kind == "user"
+             else loads.speak_load_second(tables.speak_changes("svc", "keep")))
     closed = batch.join(newest, "entity").where("bucket <= newest").select(got.columns)
     assert newest.count() == 3 and rows_of(got) == rows_of(closed)
 
@@ -96,7 +96,8 @@ def test_kafka_records(spark):
     from talkgauge.sources.logs import raw_from_kafka
 
     rows = [(p, o, f"line {p} {o}".encode()) for p in range(3) for o in range(4)]
-    df = spark.createDataFrame(rows, "partition int, offset bigint, value binary")
+    df = spark.createDataFrame(rows, "partition int, offset bigint, value binary").withColumn(
+        "timestamp", F.timestamp_millis(F.col("offset")))
     got = raw_from_kafka(df).orderBy("seq").collect()
     assert [r.seq for r in got] == list(range(12)) and got[4].line == "line 1 1"
     assert windows.count_per_second(spark.range(3).select(F.lit("s").alias("svc"), F.lit(1).cast("bigint").alias("ts_ms")), "svc").first().n == 3
