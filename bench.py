@@ -51,7 +51,7 @@ def main() -> None:
     out: dict[str, float] = {}
     out["cold_user_session"] = timed(lambda: run(QUERIES["user_session"](Tables(spark, sf_dir))))
     tables = Tables(spark, sf_dir)
-    for name in ("user_org", "group_org", "action", "online", "sessions", "group_event", "members",
+    for name in ("user_org", "group_org", "action", "machine", "online", "sessions", "group_event", "members",
                  "lives", "speaking"):
         out[f"stage_{name}"] = timed(lambda: getattr(tables, name))
     for kind in ("user", "speak"):

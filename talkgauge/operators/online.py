@@ -15,7 +15,7 @@ from talkgauge.functions.times import interval_seconds
 from talkgauge.operators.enrich import filter_online
 from talkgauge.operators.scan import CELL_ROWS, running, with_cells
 from talkgauge.schemas import (
-    BROKEN_GAP_SECONDS, CLIENT_COLUMNS, LOGIN_EVENTS, LOGOUT_EVENTS,
+    ACTION_JSON_FIELDS, BROKEN_GAP_SECONDS, CLIENT_COLUMNS, LOGIN_EVENTS, LOGOUT_EVENTS,
     ONLINE_EVENT_COLUMNS, USER_BROKEN, USER_OFFLINE, USER_ONLINE,
 )
 
@@ -69,7 +69,11 @@ def machine_events(state: DataFrame, first_event: str = "reference") -> DataFram
     ))
 
 
-def _run(action: DataFrame, first_event: str, cell_rows: int) -> DataFrame:
+def online_machine(action: DataFrame, first_event: str = "reference", cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Online rows with the user's state and the events they give; one shuffle of the rows.
+
+    Online events and sessions both come from it, so stage it when both are wanted.
+    """
     rows = filter_online(action).select(
         "seq", "ts_ms", "svc", "dt", "event", "uid", "company", "agent", *CLIENT_COLUMNS
     )
@@ -79,8 +83,12 @@ def _run(action: DataFrame, first_event: str, cell_rows: int) -> DataFrame:
 def online_events(action: DataFrame, first_event: str = "reference",
                   cell_rows: int = CELL_ROWS) -> DataFrame:
     """uon, uoff and ubro events; `pos` orders the events of one row."""
+    return machine_online_events(online_machine(action, first_event, cell_rows))
+
+
+def machine_online_events(machine: DataFrame) -> DataFrame:
     return (
-        _run(action, first_event, cell_rows).drop("on", "off").withColumnRenamed("event", "action")
+        machine.drop("on", "off").withColumnRenamed("event", "action")
         .select("*", F.posexplode_outer("emits").alias("pos", "e")).where(F.col("e").isNotNull())
         .withColumns({"event": F.col("e.event"), "interval": F.col("e.interval")})
         .select("seq", "pos", *ONLINE_EVENT_COLUMNS, "ts_ms")
@@ -93,9 +101,13 @@ def user_sessions(action: DataFrame, first_event: str = "reference",
 
     seq, login_ms and logout_ms are kept beside the session's columns.
     """
+    return machine_sessions(online_machine(action, first_event, cell_rows))
+
+
+def machine_sessions(machine: DataFrame) -> DataFrame:
     on = F.col("on")
     return (
-        _run(action, first_event, cell_rows)
+        machine
         .where(F.col("emits")[3].isNotNull() & (on.svc == F.col("svc")))
         .select(
             "seq", "svc", "uid", on.company.alias("company"), on.agent.alias("agent"),
@@ -107,10 +119,11 @@ def user_sessions(action: DataFrame, first_event: str = "reference",
 
 
 def _newest(action: DataFrame, events: list[str], name: str) -> DataFrame:
+    columns = ACTION_JSON_FIELDS.values()
     return (
-        action.where(F.col("event").isin(events)).groupBy("uid")
-        .agg(F.max(F.struct("ts_ms", "seq", action_json().alias("json"))).alias("last"))
-        .select("uid", F.col("last.json").alias(name))
+        action.where(F.col("event").isin(events)).groupBy(F.col("uid").alias("of"))
+        .agg(F.max(F.struct("ts_ms", "seq", *columns)).alias("last"))
+        .select("last.*").select("uid", action_json().alias(name))
     )
 
 

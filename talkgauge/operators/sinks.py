@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from talkgauge.functions.jsons import json_out
 from talkgauge.functions.keys import bytes_hash, row_key, time_bytes
 from talkgauge.schemas import (
-    ACTION_COLUMNS, GROUP_EVENT_COLUMNS, SESSION_COLUMNS, SPEAKING_COLUMNS,
+    ACTION_COLUMNS, DAY_MS, GROUP_EVENT_COLUMNS, SESSION_COLUMNS, SPEAKING_COLUMNS,
 )
 
 # Row key parts of each table; h hashes a column, t is a time.
@@ -56,10 +56,45 @@ def table_view(rows: DataFrame, table: str) -> DataFrame:
     return latest_per_key(with_row_key(rows, table), TABLE_COLUMNS[table])
 
 
-def write_history(rows: DataFrame, table: str, path: str, day: str, mode: str = "append") -> None:
-    """Write all rows with their key, one partition per day of the column `day` (epoch ms)."""
-    date = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.col(day) / 86_400_000).cast("int"))
-    with_row_key(rows, table).withColumn("date", date).write.mode(mode).partitionBy("date").parquet(path)
+# The time that dates a row of each history table.
+TABLE_TIMES = {
+    "user_action": "ts_ms",
+    "user_session": "logout_ms",
+    "group_event": "ts_ms",
+    "temp_group_event": "ts_ms",
+    "group_speaking": "end_ms",
+    "temp_group_speaking": "end_ms",
+    "load": "bucket",
+}
+
+
+def _dated(rows: DataFrame, ms: str) -> DataFrame:
+    days = F.floor(F.col(ms) / DAY_MS).cast("int")
+    return rows.withColumn("date", F.date_add(F.lit("1970-01-01").cast("date"), days))
+
+
+def history_rows(rows: DataFrame, table: str) -> DataFrame:
+    """All rows of a history table with their key and date."""
+    return _dated(with_row_key(rows, table), TABLE_TIMES[table])
+
+
+def replace_dates(rows: DataFrame, path: str) -> None:
+    """Write rows by `date`, in place of what is there for the dates they have.
+
+    A repeated run writes the same dates again and doubles nothing; a run must
+    hold all rows of its dates.
+    """
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+
+
+def write_history(rows: DataFrame, table: str, folder: str) -> None:
+    """Put whole days of a history table into `folder`/`table`."""
+    replace_dates(history_rows(rows, table), f"{folder}/{table}")
+
+
+def write_hour_report(load: DataFrame, measures: list[str], name: str, folder: str) -> None:
+    """Put whole days of hour reports into `folder`/`name`."""
+    replace_dates(_dated(hour_report(load, measures), "bucket"), f"{folder}/{name}")
 
 
 def hour_report(load: DataFrame, measures: list[str]) -> DataFrame:
@@ -115,4 +150,7 @@ def publish_appload(server_load: DataFrame, servers: str, topic: str = "appload"
 
 
 def write_appload(server_load: DataFrame, path: str) -> None:
-    appload(server_load).write.mode("append").json(path)
+    """Put whole days of messages into files, in place of those days' files."""
+    _dated(appload(server_load), "bucket").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("date").json(path)

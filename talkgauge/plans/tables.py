@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from talkgauge.operators import enrich, groups, loads, online, parse, speaking
-from talkgauge.plans.staging import stage
+from talkgauge.plans.staging import remove_folders, stage
 from talkgauge.sources import events, org
 
 
@@ -48,13 +48,17 @@ class Tables:
     def action(self) -> DataFrame:
         return stage(enrich.user_actions(self.log, self.user_org), "action")
 
+    @cached_property
+    def machine(self) -> DataFrame:
+        return stage(online.online_machine(self.action), "online_machine")
+
     @cached_property
     def online(self) -> DataFrame:
-        return stage(online.online_events(self.action), "online_event")
+        return stage(online.machine_online_events(self.machine), "online_event")
 
     @cached_property
     def sessions(self) -> DataFrame:
-        return stage(online.user_sessions(self.action), "user_session")
+        return stage(online.machine_sessions(self.machine), "user_session")
 
     @cached_property
     def group_event(self) -> DataFrame:
@@ -108,7 +112,9 @@ def open_tables(spark: SparkSession, sf_dir: str) -> Tables:
 
 
 def forget_tables() -> None:
-    """Make later calls of `open_tables` start afresh."""
+    """Remove what is staged and make later calls of `open_tables` start afresh."""
+    for tables in _OPEN.values():
+        remove_folders(tables.spark)
     _OPEN.clear()
 
 
