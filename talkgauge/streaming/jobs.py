@@ -7,17 +7,25 @@ or driver repeats a trigger without repeating its rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from talkgauge.operators.enrich import filter_speak, group_events, user_actions
 from talkgauge.operators.parse import parse_logs
+from talkgauge.operators.sinks import history_rows
+from talkgauge.plans.staging import delete_folder
 from talkgauge.schemas import LATE_MS, USER_BROKEN, USER_OFFLINE, USER_ONLINE
+from talkgauge.sources.logs import BATCH_LINES, TOPIC_PARTITIONS, raw_from_kafka
 from talkgauge.streaming.processors import (
     SPEAK_TIMES, USER_TIMES, stream_load, stream_speak_changes, stream_user_changes,
 )
 
+#: Files that a trigger of a linked query takes on.
+FILES_PER_TRIGGER = 1000
+
 STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -38,27 +46,115 @@ def write_table(rows: DataFrame, path: str, checkpoint: str, once: bool = False)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
-def upsert_latest(folder: str, key: str, order: list[str]):
-    """A foreachBatch function that keeps the newest row per key in `folder`/version=<batch>.
+def _exists(spark: SparkSession, path: str) -> bool:
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return file.getFileSystem(spark._jsc.hadoopConfiguration()).exists(file)
+
 
-    Each trigger merges its rows into the version before and writes its own, so
-    a repeated trigger gives the same version again. Readers take the newest;
-    older versions can be removed once the trigger after them has committed.
+def write_batches(rows: DataFrame, path: str, checkpoint: str, make: Callable[[DataFrame, int], DataFrame],
+                  once: bool = False) -> StreamingQuery:
+    """Write what `make` gives for each trigger's rows to `path`/batch=<id>.
+
+    A trigger that is repeated after its files were committed is left alone, so
+    queries that follow the table never meet its rows twice.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
-        columns = batch.columns
-        if batch_id > 0:
-            reader = batch.sparkSession.read.schema(batch.schema)
-            batch = batch.unionByName(reader.parquet(f"{folder}/version={batch_id - 1}"))
+        folder = f"{path}/batch={batch_id}"
+        if not _exists(batch.sparkSession, f"{folder}/_SUCCESS"):
+            make(batch, batch_id).write.mode("overwrite").parquet(folder)
+
+    writer = rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def run_log(records: DataFrame, path: str, checkpoint: str, partitions: int = TOPIC_PARTITIONS,
+            once: bool = False) -> StreamingQuery:
+    """Kafka records to a table of (seq, line): each trigger's lines are sorted and numbered.
+
+    Triggers follow each other in time, and the number of a trigger leads `seq`.
+    """
+    def number(batch: DataFrame, batch_id: int) -> DataFrame:
+        lines = raw_from_kafka(batch, partitions)
+        return lines.withColumn("seq", F.col("seq") + F.lit(batch_id * BATCH_LINES))
+
+    return write_batches(records, path, checkpoint, number, once)
+
+
+def run_actions(raw: DataFrame, read_org: Callable[[], DataFrame], path: str, checkpoint: str,
+                once: bool = False) -> StreamingQuery:
+    """Raw lines to actions; `read_org` reads the users' organisation anew for each trigger."""
+    return write_batches(raw, path, checkpoint, lambda lines, _: user_actions(parse_logs(lines), read_org()), once)
+
+
+def run_group_events(action: DataFrame, read_org: Callable[[], DataFrame], path: str, checkpoint: str,
+                     once: bool = False) -> StreamingQuery:
+    """Actions to group events; `read_org` reads the groups' organisation anew for each trigger."""
+    return write_batches(action, path, checkpoint, lambda rows, _: group_events(rows, read_org()), once)
+
+
+def run_history(rows: DataFrame, table: str, folder: str, checkpoint: str, once: bool = False) -> StreamingQuery:
+    """A stream's rows with key and date to `folder`/`table`/batch=<id>."""
+    return write_batches(rows, f"{folder}/{table}", checkpoint, lambda batch, _: history_rows(batch, table), once)
+
+
+BUCKETS = 64
+
+
+def _manifest(spark: SparkSession, folder: str, batch_id: int) -> dict[int, int]:
+    """The version of each bucket as of a trigger; at most one row a bucket."""
+    path = f"{folder}/manifest/batch={batch_id}"
+    if batch_id < 0 or not _exists(spark, f"{path}/_SUCCESS"):
+        return {}
+    return {r["bucket"]: r["version"] for r in spark.read.schema("bucket int, version long").parquet(path).collect()}
+
+
+def _bucket_paths(folder: str, versions: dict[int, int]) -> list[str]:
+    return [f"{folder}/version={v}/bucket={b}" for b, v in sorted(versions.items())]
+
+
+def upsert_latest(folder: str, key: str, order: list[str], buckets: int = BUCKETS):
+    """A foreachBatch function that keeps the newest row per key in `folder`.
+
+    The table is cut into buckets of keys. A trigger rewrites the buckets its rows
+    fall in as its own version and lists the version of every bucket, so a
+    repeated trigger gives the same again. Versions that neither this list nor
+    the one before names are removed.
+    """
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        spark, columns = batch.sparkSession, batch.columns
+        bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+        versions = _manifest(spark, folder, batch_id - 1)
+        touched = [r["bucket"] for r in batch.select(bucket.alias("bucket")).distinct().collect()]
+        old = {b: versions[b] for b in touched if b in versions}
+        if old:
+            batch = batch.unionByName(spark.read.schema(batch.schema).parquet(*_bucket_paths(folder, old)))
         rest = [c for c in columns if c != key and c not in order]
-        newest = batch.groupBy(key).agg(F.max(F.struct(*order, *rest)).alias("last"))
-        newest.select(key, *[F.col("last")[c].alias(c) for c in [*order, *rest]]).select(*columns).write.mode(
+        newest = batch.groupBy(key).agg(F.max(F.struct(*order, *rest)).alias("last")).select(
+            key, *[F.col("last")[c].alias(c) for c in [*order, *rest]]
+        )
+        if touched:
+            newest.select(*columns, bucket.alias("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(
+                f"{folder}/version={batch_id}"
+            )
+        now = versions | {b: batch_id for b in touched}
+        spark.createDataFrame(sorted(now.items()), "bucket int, version long").coalesce(1).write.mode(
             "overwrite"
-        ).parquet(f"{folder}/version={batch_id}")
+        ).parquet(f"{folder}/manifest/batch={batch_id}")
+        before = _manifest(spark, folder, batch_id - 2)
+        for path in set(_bucket_paths(folder, before)) - set(_bucket_paths(folder, versions) + _bucket_paths(folder, now)):
+            delete_folder(spark, path)
+        delete_folder(spark, f"{folder}/manifest/batch={batch_id - 2}")
 
     return apply
 
 
+def read_latest(spark: SparkSession, folder: str, schema) -> DataFrame:
+    """The current-state table as of the last trigger that ended."""
+    at = spark.read.schema("bucket int, version long, batch long").parquet(f"{folder}/manifest")
+    newest = at.agg(F.max("batch")).first()[0]
+    return spark.read.schema(schema).parquet(*_bucket_paths(folder, _manifest(spark, folder, newest)))
+
+
 def keep_latest(rows: DataFrame, folder: str, checkpoint: str, key: str, order: list[str],
                 once: bool = False) -> StreamingQuery:
     """Upsert a stream into a current-state table, newest row per key."""
@@ -77,14 +173,16 @@ def stream_group_events(action: DataFrame, group_org: DataFrame) -> DataFrame:
     return group_events(action, group_org)
 
 
-def read_table(spark: SparkSession, path: str, schema, files_per_trigger: int | None = None) -> DataFrame:
-    """Follow a Parquet table as a stream; its folder is made if the writer has not started yet."""
+def read_table(spark: SparkSession, path: str, schema, files_per_trigger: int) -> DataFrame:
+    """Follow a Parquet table as a stream; its folder is made if the writer has not started yet.
+
+    `files_per_trigger` bounds what a trigger takes on, after an outage too.
+    """
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
-    reader = spark.readStream.schema(schema)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(path)
+    return spark.readStream.schema(schema).option("recursiveFileLookup", "true").option(
+        "maxFilesPerTrigger", files_per_trigger
+    ).parquet(path)
 
 
 def with_event_time(rows: DataFrame, ms: str = "ts_ms") -> DataFrame:
@@ -162,7 +260,7 @@ def _run_load(spark: SparkSession, seconds: DataFrame, changes, gauge: str, time
         queries.append(write_table(out, f"{folder}/{table}", f"{folder}/_checkpoints/{table}", once))
         if once:
             queries[-1].awaitTermination()
-        rows = read_table(spark, f"{folder}/{table}", out.schema)
+        rows = read_table(spark, f"{folder}/{table}", out.schema, FILES_PER_TRIGGER)
     return queries
 
 

@@ -53,12 +53,78 @@ def test_current_state_is_upserted(spark, tables, source, tmp_path):
     query = jobs.keep_latest(
         logins, str(tmp_path / "state"), str(tmp_path / "checkpoint"), "uid", ["ts_ms", "seq"], once=True)
     query.awaitTermination()
-    got = spark.read.parquet(str(tmp_path / "state" / f"version={PARTS - 1}"))
+    got = jobs.read_latest(spark, str(tmp_path / "state"), logins.schema)
     newest = filter_events(tables.action, LOGIN_EVENTS).groupBy("uid").agg(
         F.max(F.struct("ts_ms", "seq", "svc")).alias("last")).select("uid", "last.*")
     assert rows_of(got, newest.columns) == rows_of(newest)
 
 
+def test_upsert_rewrites_what_it_touches(spark, tmp_path):
+    """A trigger with one key rewrites one bucket, a repeated one changes nothing, old versions go."""
+    folder, schema = str(tmp_path), "uid string, ts_ms long, seq long, svc string"
+
+    def trigger(n, rows):
+        jobs.upsert_latest(folder, "uid", ["ts_ms", "seq"])(spark.createDataFrame(rows, schema), n)
+
+    def state():
+        return {r["uid"]: r["ts_ms"] for r in jobs.read_latest(spark, folder, schema).collect()}
+
+    def buckets(n):
+        return sorted(p.name for p in (tmp_path / f"version={n}").glob("bucket=*"))
+
+    trigger(0, [(f"u{k}", k, k, "s") for k in range(300)])
+    assert len(buckets(0)) > 50
+    for _ in range(2):
+        trigger(1, [("u7", 1000, 1, "s"), ("u7", 5, 2, "s")])
+        assert len(buckets(1)) == 1 and len(state()) == 300 and state()["u7"] == 1000
+    trigger(2, [("u7", 999, 3, "s"), ("u7", 2000, 4, "s")])
+    trigger(3, [("u7", 2001, 5, "s")])
+    assert state()["u7"] == 2001 and len(state()) == 300
+    assert buckets(3) == buckets(2) and not buckets(1)
+
+
+def test_numbered_log_is_followed_in_order(spark, tables, tmp_path):
+    """Records of uneven partitions in two triggers, a new user between them, a restart and a repeated trigger."""
+    records = str(tmp_path / "records")
+    rows = tables.raw.where("seq < 3000").select(
+        F.timestamp_millis("seq").alias("timestamp"), F.when(F.col("seq") % 11 == 0, 1).otherwise(0).alias("partition"),
+        F.col("seq").alias("offset"), F.encode("line", "UTF-8").alias("value"))
+    org = tables.user_org.where("uid <> '1003'")
+    orgs, used = [org, tables.user_org], []
+
+    def read_org():
+        used.append(len(used))
+        return orgs[min(len(used) - 1, 1)]
+
+    raw_schema = "seq long, line string"
+    for part in (F.col("offset") < 1500, F.col("offset") >= 1500):
+        rows.where(part).coalesce(1).write.mode("append").parquet(records)
+        jobs.run_log(jobs.read_table(spark, records, rows.schema, 1), str(tmp_path / "log"), str(tmp_path / "c1"), once=True).awaitTermination()
+        raw = jobs.read_table(spark, str(tmp_path / "log"), raw_schema, 100)
+        jobs.run_actions(raw, read_org, str(tmp_path / "action"), str(tmp_path / "c2"), once=True).awaitTermination()
+    log = spark.read.schema(raw_schema).parquet(str(tmp_path / "log"))
+    assert [r["line"] for r in log.orderBy("seq").collect()] == [
+        r["line"] for r in tables.raw.where("seq < 3000").orderBy("seq").collect()]
+    assert log.select("seq").distinct().count() == log.count() == rows.count()
+    action = spark.read.parquet(str(tmp_path / "action"))
+    early = action.where((F.col("uid") == "1003") & (F.col("seq") < jobs.BATCH_LINES))
+    late = action.where((F.col("uid") == "1003") & (F.col("seq") >= jobs.BATCH_LINES))
+    assert early.where("company IS NOT NULL").count() == 0
+    assert late.where("company IS NOT NULL").count() > 0
+
+
+def test_history_of_a_stream(spark, tables, source, tmp_path):
+    from talkgauge.operators import sinks
+
+    for _ in range(2):  # a restart finds nothing new and doubles nothing
+        jobs.run_history(
+            source(tables.action) if _ == 0 else jobs.read_table(spark, str(tmp_path / "none"), tables.action.schema, 1),
+            "user_action", str(tmp_path / "history"), str(tmp_path / f"checkpoint{_}"), once=True).awaitTermination()
+    back = spark.read.parquet(str(tmp_path / "history" / "user_action"))
+    assert rows_of(sinks.latest_per_key(back, sinks.TABLE_COLUMNS["user_action"])) == rows_of(
+        sinks.table_view(tables.action, "user_action"))
+
+
 def test_speaking(spark, tables, source, tmp_path):
     records = run(spark, processors.stream_speaking(source(tables.group_event)), str(tmp_path))
     assert rows_of(records) == rows_of(tables.speaking)
@@ -72,7 +138,7 @@ def test_second_load_with_gauge_and_gaps(spark, tables, tmp_path, kind):
     ordered, half = str(tmp_path / "rows"), rows.agg(F.percentile_approx("ts_ms", 0.5)).first()[0]
     for part in (F.col("ts_ms") < half, F.col("ts_ms") >= half):
         rows.where(part).coalesce(1).write.mode("append").parquet(ordered)
-        start(spark, jobs.read_table(spark, ordered, rows.schema), "svc", str(tmp_path / "load"), once=True)
+        start(spark, jobs.read_table(spark, ordered, rows.schema, 100), "svc", str(tmp_path / "load"), once=True)
     got = spark.read.parquet(str(tmp_path / "load" / f"{kind}_load_second"))
     newest = got.groupBy("entity").agg(F.max("bucket").alias("newest"))
     batch = (loads.user_load_second(tables.user_changes("svc", "keep")) if kind == "user"
