@@ -18,9 +18,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from talkgauge.operators.enrich import filter_online
 from talkgauge.schemas import (
-    BROKEN_GAP_SECONDS, CLIENT_COLUMNS, DAY_MS, LATE_MS, LOGIN_EVENTS, MIC_CAP_MS, MIC_CLOSE_EVENTS,
-    ONLINE_EVENT_COLUMNS, SECOND_MS, SESSION_COLUMNS, SPEAKING_COLUMNS, USER_BROKEN, USER_OFFLINE,
-    USER_ONLINE,
+    BROKEN_GAP_SECONDS, CLIENT_COLUMNS, DAY_MS, GROUP_TEMP, IN_OUT_EVENTS, LATE_MS, LOGIN_EVENTS,
+    MIC_CAP_MS, MIC_CLOSE_EVENTS, ONLINE_EVENT_COLUMNS, SECOND_MS, SESSION_COLUMNS, SPEAKING_COLUMNS,
+    TEMP_GROUP_TTL_MS, USER_BROKEN, USER_OFFLINE, USER_ONLINE,
 )
 
 
@@ -172,6 +172,139 @@ def stream_speaking(group_event: DataFrame) -> DataFrame:
     return _stateful(rows, ["gfull"], SpeakingMachine(), SPEAKING)
 
 
+IN_OUT = ["svc", "event", "uid", "gtype", "gcompany", "gfull"]
+ACCEPTED = _schema(["seq", "ts_ms", "accepted"], IN_OUT)
+GROUP_STEPS = _schema(["seq", "ts_ms", "kind", "episode", "life", "emptied", "step"], IN_OUT)
+#: Kinds of group steps: a group opens or closes at a server, an accepted row, a stale row.
+MOVE, LIFE, STALE = 0, 1, 2
+
+
+class AcceptInOut(StatefulProcessor):
+    """Marks the joins and leaves of one user that are not older than the newest before them."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._newest = handle.getValueState("newest", _schema(["ts_ms"], []))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        state = self._newest.get()
+        newest = None if state is None else state[0]
+        out = []
+        for row in _in_order(rows):
+            out.append({**row, "accepted": int(newest is None or newest <= row["ts_ms"])})
+            newest = row["ts_ms"] if newest is None else max(newest, row["ts_ms"])
+        self._newest.update((newest,))
+        yield _frame(out, ACCEPTED)
+
+    def close(self) -> None:
+        pass
+
+
+class GroupMachine(StatefulProcessor):
+    """Episodes and lives of one group, and where it opens and closes.
+
+    The state holds who is in, one entry per member, and the servers the group
+    is open at. It is cleared when a temporary group has expired, which the next
+    row after that tells.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._group = handle.getValueState("group", _schema(["newest", "episode", "life", "size"], ["places"]))
+        self._members = handle.getMapState("members", _schema([], ["uid"]), _schema(["inside"], []))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        state = self._group.get()
+        newest, episode, life, size = (None, 0, 0, 0) if state is None else state[:4]
+        places = [] if state is None else json.loads(state[4])
+        out: list[dict] = []
+        for row in _in_order(rows):
+            if not row["accepted"]:
+                out.append({**row, "kind": STALE})
+                continue
+            joins, uid = row["event"] == "JOIN_GROUP", (row["uid"],)
+
+            def move(svc: str, step: int, row: dict = row) -> dict:
+                return {**row, "svc": svc, "kind": MOVE, "step": step}
+
+            if row["gtype"] == GROUP_TEMP and newest is not None and row["ts_ms"] - newest > TEMP_GROUP_TTL_MS:
+                out += [move(svc, -1) for svc in places]
+                episode, life, size, places = episode + 1, 0, 0, []
+                self._members.clear()
+            was_in = self._members.containsKey(uid)
+            if joins and not was_in:
+                self._members.updateValue(uid, (1,))
+                size += 1
+            elif not joins and was_in:
+                self._members.removeKey(uid)
+                size -= 1
+            emptied = not joins and size == 0
+            out.append({**row, "kind": LIFE, "episode": episode, "life": life, "emptied": int(emptied)})
+            if joins and row["svc"] not in places:
+                places.append(row["svc"])
+                out.append(move(row["svc"], 1))
+            if emptied:
+                out += [move(svc, -1) for svc in places]
+                life, places = life + 1, []
+            newest = row["ts_ms"] if newest is None else max(newest, row["ts_ms"])
+        self._group.update((newest, episode, life, size, json.dumps(places)))
+        yield _frame(out, GROUP_STEPS)
+
+    def close(self) -> None:
+        pass
+
+
+GROUP_LOAD = _schema(["bucket", "groups", "temp_groups"], ["svc"])
+
+
+class ServerGroups(StatefulProcessor):
+    """Groups and temporary groups open at one server, for every second of its clock that has passed."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._last = handle.getValueState("last", _schema(["clock", "groups", "temp_groups", "g", "t"], []))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        clock, groups, temps, g, t = self._last.get() or (None, 0, 0, 0, 0)
+        out = []
+        frame = pd.concat(list(rows))
+        for row in _in_order([frame.assign(order=frame["seq"] * 3 + frame["kind"])], "order"):
+            if row["kind"] == MOVE:
+                step, temp = int(row["step"]), row["gtype"] == GROUP_TEMP
+                groups, temps = groups + (0 if temp else step), temps + (step if temp else 0)
+                continue
+            now = row["ts_ms"] if clock is None else max(clock, row["ts_ms"])
+            if clock is not None and now // SECOND_MS > clock // SECOND_MS:
+                out.append({"svc": key[0], "bucket": clock // SECOND_MS * SECOND_MS, "groups": g, "temp_groups": t})
+            clock, g, t = now, groups, temps
+        self._last.update((clock, groups, temps, g, t))
+        if out:
+            yield _frame(out, GROUP_LOAD)
+
+    def close(self) -> None:
+        pass
+
+
+def stream_accepted(group_event: DataFrame) -> DataFrame:
+    """All joins and leaves, with whether the user's newest one before was not newer."""
+    rows = group_event.where(F.col("event").isin(IN_OUT_EVENTS)).select("seq", "ts_ms", *IN_OUT)
+    return _stateful(rows, ["uid"], AcceptInOut(), ACCEPTED)
+
+
+def stream_group_steps(accepted: DataFrame) -> DataFrame:
+    """Rows of each group with its episode and life, and the moves of servers' group counts."""
+    return _stateful(accepted, ["gfull"], GroupMachine(), GROUP_STEPS)
+
+
+def stream_group_load(steps: DataFrame) -> DataFrame:
+    """Group load of servers, (svc, bucket, groups, temp_groups), of seconds that have passed."""
+    return _stateful(steps, ["svc"], ServerGroups(), GROUP_LOAD)
+
+
+def group_lives_of(steps: DataFrame) -> DataFrame:
+    """The rows of `operators.groups.group_lives`, of which all group sets are made."""
+    return steps.where(F.col("kind") == LIFE).select(
+        "seq", "ts_ms", *IN_OUT, "episode", "life", (F.col("emptied") == 1).alias("emptied")
+    )
+
+
 USER_TIMES = ["loginTimes", "logoutTimes", "brokenTimes"]
 SPEAK_TIMES = ["getTimes", "lostAutoTimes", "lostReplaceTimes", "dentTimes"]
 

@@ -113,6 +113,25 @@ def test_numbered_log_is_followed_in_order(spark, tables, tmp_path):
     assert late.where("company IS NOT NULL").count() > 0
 
 
+def test_groups(spark, tables, source, tmp_path):
+    """All group sets and the group load of a stream in three triggers equal the batch ones."""
+    from talkgauge.operators import groups
+
+    accepted = run(spark, processors.stream_accepted(source(tables.group_event)), str(tmp_path / "a"))
+    steps = run(spark, processors.stream_group_steps(source(accepted)), str(tmp_path / "s"))
+    lives = processors.group_lives_of(steps)
+    columns = ["seq", "uid", "gfull", "episode", "life", "emptied"]
+    assert rows_of(lives, columns) == rows_of(tables.lives, columns)
+    assert rows_of(groups.group_members(lives)) == rows_of(groups.group_members(tables.members))
+    for place in ("svc", "gcompany"):
+        assert rows_of(groups.live_groups_by(lives, lives, place)) == rows_of(
+            groups.live_groups_by(tables.members, tables.lives, place))
+    load = run(spark, processors.stream_group_load(source(steps)), str(tmp_path / "l"))
+    newest = load.groupBy("svc").agg(F.max("bucket").alias("newest"))
+    batch = groups.group_load_second(tables.group_event, tables.lives).join(newest, "svc").where("bucket <= newest")
+    assert load.count() > 0 and rows_of(load) == rows_of(batch, load.columns)
+
+
 def test_history_of_a_stream(spark, tables, source, tmp_path):
     from talkgauge.operators import sinks
 
