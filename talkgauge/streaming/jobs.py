@@ -15,12 +15,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from talkgauge.operators.enrich import filter_speak, group_events, user_actions
 from talkgauge.operators.parse import parse_logs
-from talkgauge.operators.sinks import history_rows
+from talkgauge.operators.loads import server_load_second
+from talkgauge.operators.sinks import appload, history_rows
 from talkgauge.plans.staging import delete_folder
-from talkgauge.schemas import LATE_MS, USER_BROKEN, USER_OFFLINE, USER_ONLINE
+from talkgauge.schemas import GROUP_NORMAL, GROUP_TEMP, LATE_MS, USER_BROKEN, USER_OFFLINE, USER_ONLINE
 from talkgauge.sources.logs import BATCH_LINES, TOPIC_PARTITIONS, raw_from_kafka
+from talkgauge.sources.org import group_org, read_dims, user_org
 from talkgauge.streaming.processors import (
-    SPEAK_TIMES, USER_TIMES, stream_load, stream_speak_changes, stream_user_changes,
+    SPEAK_TIMES, USER_TIMES, load_schema, online_event_columns, session_columns, stream_accepted,
+    stream_group_load, stream_group_steps, stream_load, stream_online, stream_server_record,
+    stream_speak_changes, stream_speaking, stream_user_changes,
 )
 
 #: Files that a trigger of a linked query takes on.
@@ -279,3 +283,75 @@ def run_speak_load(spark: SparkSession, group_event: DataFrame, entity: str, fol
         spark, speak_seconds(group_event, entity), stream_speak_changes, "speakings", SPEAK_TIMES, folder,
         "speak", once
     )
+
+
+def run_job(spark: SparkSession, records: DataFrame, dims: str, folder: str, once: bool = False) -> dict[str, StreamingQuery]:
+    """The whole job from Kafka records to tables below `folder`, as linked queries by table name.
+
+    `dims` holds the organisation's tables, read anew by every trigger. Tables: log,
+    action, group_event, online (with the logins that sessions are made of),
+    speaking, group_step (of which the group sets are made), group_load_second,
+    the second loads of servers and companies, server_second, the history of the
+    six event tables, appload, and user_latest, the newest online event of a user.
+    """
+    use_state_store(spark)
+    queries: dict[str, StreamingQuery] = {}
+
+    def link(name: str, start: Callable[[str, str], StreamingQuery], schema) -> DataFrame:
+        queries[name] = start(f"{folder}/{name}", f"{folder}/_checkpoints/{name}")
+        if once:
+            queries[name].awaitTermination()
+        return follow(name, schema)
+
+    def follow(name: str, schema) -> DataFrame:
+        return read_table(spark, f"{folder}/{name}", schema, FILES_PER_TRIGGER)
+
+    def users() -> DataFrame:
+        members, _, companies = read_dims(spark, dims)
+        return user_org(members, companies)
+
+    def groups() -> DataFrame:
+        _, rows, companies = read_dims(spark, dims)
+        return group_org(rows, companies)
+
+    def table(name: str, rows: DataFrame) -> DataFrame:
+        return link(name, lambda path, checkpoint: write_table(rows, path, checkpoint, once), rows.schema)
+
+    log = link("log", lambda path, at: run_log(records, path, at, once=once), "seq long, line string")
+    none = spark.createDataFrame([], "seq long, line string")
+    shape = user_actions(parse_logs(none), users())
+    action = link("action", lambda path, at: run_actions(log, users, path, at, once), shape.schema)
+    shape = group_events(shape, groups())
+    group_event = link("group_event", lambda path, at: run_group_events(action, groups, path, at, once), shape.schema)
+    online = table("online", stream_online(action))
+    events, sessions = online_event_columns(online), session_columns(online)
+    speaking = table("speaking", stream_speaking(group_event))
+    steps = table("group_step", stream_group_steps(table("group_accepted", stream_accepted(group_event))))
+    group_load = table("group_load_second", stream_group_load(steps))
+    for entity in ("svc", "company"):
+        place = f"{folder}/load_{entity}"
+        for kind, start, rows, column in (
+            ("user", run_user_load, events, entity),
+            ("speak", run_speak_load, group_event, "svc" if entity == "svc" else "gcompany"),
+        ):
+            linked = start(spark, rows, column, place, once)
+            queries |= {f"load_{entity}_{kind}_{k}": q for k, q in enumerate(linked)}
+    server = table("server_second", stream_server_record(
+        follow("load_svc/user_load_second", load_schema("onlines", USER_TIMES)), group_load,
+        follow("load_svc/speak_load_second", load_schema("speakings", SPEAK_TIMES))))
+    link("appload", lambda path, at: write_batches(
+        server, path, at, lambda rows, _: appload(server_load_second(rows)), once), "key string")
+    kinds = {"": GROUP_NORMAL, "temp_": GROUP_TEMP}
+    history = {"user_action": action, "user_session": sessions} | {
+        f"{prefix}{name}": rows.where(F.col("gtype") == gtype) for prefix, gtype in kinds.items()
+        for name, rows in (("group_event", group_event), ("group_speaking", speaking))}
+    for name, rows in history.items():
+        queries[f"history/{name}"] = run_history(
+            rows, name, f"{folder}/history", f"{folder}/_checkpoints/history/{name}", once)
+    queries["user_latest"] = keep_latest(
+        events.where(F.col("event") != USER_BROKEN).select("uid", "seq", "pos", "event", "svc"),
+        f"{folder}/user_latest", f"{folder}/_checkpoints/user_latest", "uid", ["seq", "pos"], once)
+    if once:
+        for query in queries.values():
+            query.awaitTermination()
+    return queries

@@ -18,9 +18,10 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from talkgauge.operators.enrich import filter_online
 from talkgauge.schemas import (
-    BROKEN_GAP_SECONDS, CLIENT_COLUMNS, DAY_MS, GROUP_TEMP, IN_OUT_EVENTS, LATE_MS, LOGIN_EVENTS,
-    MIC_CAP_MS, MIC_CLOSE_EVENTS, ONLINE_EVENT_COLUMNS, SECOND_MS, SESSION_COLUMNS, SPEAKING_COLUMNS,
-    TEMP_GROUP_TTL_MS, USER_BROKEN, USER_OFFLINE, USER_ONLINE,
+    BROKEN_GAP_SECONDS, CLIENT_COLUMNS, DAY_MS, GROUP_SECOND_MEASURES, GROUP_TEMP, IN_OUT_EVENTS, LATE_MS,
+    LOGIN_EVENTS, MIC_CAP_MS, MIC_CLOSE_EVENTS, ONLINE_EVENT_COLUMNS, SECOND_MS, SESSION_COLUMNS,
+    SPEAK_SECOND_MEASURES, SPEAKING_COLUMNS, TEMP_GROUP_TTL_MS, USER_BROKEN, USER_OFFLINE, USER_ONLINE,
+    USER_SECOND_MEASURES,
 )
 
 
@@ -417,3 +418,50 @@ def stream_speak_changes(speak_seconds: DataFrame) -> DataFrame:
 def stream_load(entity_seconds: DataFrame, gauge: str, times: list[str]) -> DataFrame:
     """Second loads from closed (entity, bucket, at) changes, one row per second."""
     return _stateful(entity_seconds, ["entity"], LoadGauge(gauge, times), load_schema(gauge, times))
+
+
+SERVER_MEASURES = [*USER_SECOND_MEASURES, *GROUP_SECOND_MEASURES, *SPEAK_SECOND_MEASURES]
+SERVER_RECORD = _schema(["bucket", *SERVER_MEASURES], ["svc"])
+
+
+class ServerRecord(StatefulProcessor):
+    """Every second of one server with the sums of its loads, closed when it is five seconds old.
+
+    Open seconds wait in the state; rows of closed ones come too late and don't count.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._state = handle.getValueState("open", _schema(["closed"], ["rows"]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        state = self._state.get()
+        frame = pd.concat(list(rows))[["bucket", *SERVER_MEASURES]]
+        if state is not None:
+            waiting = pd.DataFrame(json.loads(state[1]), columns=["bucket", *SERVER_MEASURES])
+            frame = pd.concat([waiting, frame[frame["bucket"] > state[0]]]).astype("int64")
+        sums = frame.groupby("bucket").sum()
+        closed = int(sums.index.min()) - LATE_MS - SECOND_MS if state is None else state[0]
+        until = max(closed, int(sums.index.max()) - LATE_MS - SECOND_MS) if len(sums) else closed
+        for day in range(closed + SECOND_MS, until + 1, DAY_MS):
+            seconds = pd.RangeIndex(day, min(day + DAY_MS, until + SECOND_MS), SECOND_MS, name="bucket")
+            out = sums.reindex(seconds, fill_value=0).astype("int64").reset_index()
+            out["svc"] = pd.Series(key[0], index=out.index, dtype=object)
+            yield out[SERVER_RECORD.names]
+        left = sums[sums.index > until].reset_index()
+        self._state.update((until, json.dumps(left.values.tolist())))
+
+    def close(self) -> None:
+        pass
+
+
+def stream_server_record(user: DataFrame, group: DataFrame, speak: DataFrame) -> DataFrame:
+    """(svc, bucket, all measures) of streams of the three second loads of servers."""
+    def part(rows: DataFrame, entity: str, own: list[str]) -> DataFrame:
+        return rows.select(F.col(entity).alias("svc"), "bucket", *[
+            (F.col(m) if m in own else F.lit(0)).cast("bigint").alias(m) for m in SERVER_MEASURES
+        ])
+
+    rows = part(user, "entity", USER_SECOND_MEASURES).unionByName(
+        part(group, "svc", GROUP_SECOND_MEASURES)
+    ).unionByName(part(speak, "entity", SPEAK_SECOND_MEASURES))
+    return _stateful(rows, ["svc"], ServerRecord(), SERVER_RECORD)

@@ -132,6 +132,71 @@ def test_groups(spark, tables, source, tmp_path):
     assert load.count() > 0 and rows_of(load) == rows_of(batch, load.columns)
 
 
+def test_server_record(spark, tables, tmp_path):
+    """Second loads in three triggers of time give the batch record, up to what is still open."""
+    from talkgauge.operators import groups
+
+    parts = [loads.user_load_second(tables.user_changes("svc")),
+             groups.group_load_second(tables.group_event, tables.lives),
+             loads.speak_load_second(tables.speak_changes("svc"))]
+    low, high = tables.server_seconds.agg(F.min("bucket"), F.max("bucket")).first()
+    streams = []
+    for k, part in enumerate(parts):
+        folder = str(tmp_path / f"part{k}")
+        for third in range(3):
+            time = F.floor((F.col("bucket") - low) * 3 / (high - low + 1))
+            part.where(time == third).coalesce(1).write.mode("append").parquet(folder)
+        streams.append(jobs.read_table(spark, folder, part.schema, 1))
+    got = run(spark, processors.stream_server_record(*streams), str(tmp_path))
+    batch = loads.merge_reports(tables.server_seconds).groupBy("svc").agg(F.max("bucket").alias("newest"))
+    record = loads.server_load_second(tables.server_seconds).select(
+        F.col("server").alias("svc"), "bucket", "userLoad.*", "groupLoad.*", "speakLoad.*")
+    closed = record.join(batch, "svc").where("bucket <= newest - 5000")
+    assert got.count() > 1000 and rows_of(got) == rows_of(closed, got.columns)
+
+
+def test_whole_job(spark, tables, tmp_path):
+    """All linked queries over records in two runs; a third run without records adds nothing."""
+    from talkgauge.operators import enrich, groups, online, parse, sinks, speaking
+
+    rows = tables.raw.where("seq < 2400").select(
+        F.timestamp_millis("seq").alias("timestamp"), F.lit(0).alias("partition"), F.col("seq").alias("offset"),
+        F.encode("line", "UTF-8").alias("value"))
+    records, out = str(tmp_path / "records"), str(tmp_path / "out")
+    for dim, name in zip(tables.dims, ("dim_user", "dim_group", "dim_company")):
+        dim.write.parquet(str(tmp_path / "dims" / name))
+    counts = []
+    for part in (F.col("offset") < 1200, F.col("offset") >= 1200, F.lit(False)):
+        rows.where(part).coalesce(1).write.mode("append").parquet(records)
+        stream = jobs.read_table(spark, records, rows.schema, 100)
+        queries = jobs.run_job(spark, stream, str(tmp_path / "dims"), out, once=True)
+        assert all(q.exception() is None for q in queries.values())
+        counts.append({n: spark.read.option("recursiveFileLookup", "true").parquet(f"{out}/{n}").count()
+                       for n in ("log", "action", "online", "speaking", "group_step", "history/user_action", "server_second")})
+    assert counts[1] == counts[2] and counts[0]["log"] < counts[1]["log"] == rows.count()
+
+    def read(name):
+        return spark.read.option("recursiveFileLookup", "true").parquet(f"{out}/{name}")
+
+    action = enrich.user_actions(parse.parse_logs(read("log")), tables.user_org)
+    group_event = enrich.group_events(action, tables.group_org)
+    events = online.online_events(action)
+    columns = ["seq", "event", "uid", "interval", "ts_ms"]
+    assert rows_of(read("action")) == rows_of(action)
+    assert rows_of(read("group_event")) == rows_of(group_event)
+    assert rows_of(processors.online_event_columns(read("online")), columns) == rows_of(events, columns)
+    assert rows_of(read("speaking")) == rows_of(speaking.speaking_records(group_event))
+    members = groups.membership(groups.accepted_in_out(group_event))
+    lives = processors.group_lives_of(read("group_step"))
+    assert rows_of(groups.group_members(lives)) == rows_of(groups.group_members(members))
+    latest = jobs.read_latest(spark, f"{out}/user_latest", "uid string, seq long, pos long, event string, svc string")
+    state = online.user_state(events).where("state = 'online'")
+    assert rows_of(latest.where("event = 'uon'"), ["uid"]) == rows_of(state, ["uid"])
+    view = sinks.latest_per_key(read("history/user_session"), sinks.TABLE_COLUMNS["user_session"])
+    assert rows_of(view) == rows_of(sinks.table_view(online.user_sessions(action), "user_session"))
+    assert read("appload").count() == read("server_second").count() > 0
+
+
 def test_history_of_a_stream(spark, tables, source, tmp_path):
     from talkgauge.operators import sinks
 
