@@ -4,8 +4,9 @@ Every round each node looks at its neighbours and moves to the one with the
 smallest hash of the round, itself included; the graph shrinks to the nodes moved
 to, and edges inside one are dropped. A random order shrinks long chains as fast
 as anything else, by a constant factor a round, and a star in two rounds. Minima
-are aggregated before they are shuffled; the joins have a plain equality, so that
-a node with very many edges is split by skew handling.
+are aggregated before they are shuffled; the joins have a plain equality and read
+staged tables on both sides, so that a node with very many edges is split by skew
+handling.
 """
 
 from __future__ import annotations
@@ -41,5 +42,5 @@ def connected_components(edges: DataFrame) -> DataFrame:
         place = stage(place.join(moves, F.col("at") == F.col("old"), "left").select(
             "node", F.coalesce("new", "at").alias("at")), f"components_{turn + 1}")
         turn += 1
-    smallest = place.groupBy("at").agg(F.min("node").alias("component"))
+    smallest = stage(place.groupBy("at").agg(F.min("node").alias("component")), "components_least")
     return place.join(smallest, "at").select("node", "component")

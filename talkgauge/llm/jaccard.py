@@ -1,14 +1,13 @@
 """N-gram Jaccard join by T-occurrence search.
 
 A document's set holds its distinct word n-grams as hashes. Two sets of sizes x
-and y that reach Jaccard j share at least a = j / (1 + j) * (x + y) n-grams, so
-the search asks which documents occur often enough in the inverted lists of a
-document's n-grams. As in DivideSkip the long lists are set aside: all n-grams
-have one order, frequent ones last, and of a set of n only the first
-n - ceil(j * n) + 1 are in short lists that are merged. The others, among them
-all long lists, are only probed, by binary search, for documents that the short
-lists leave in the run. A document which the merged lists show c times can share
-at most c plus the n-grams not merged, and is dropped if that misses a.
+and y that reach Jaccard j share at least T = j / (1 + j) * (x + y) n-grams, so
+the search asks which documents occur in T of the inverted lists of a document's
+n-grams. As in DivideSkip the T - 1 longest lists are set aside: all n-grams have
+one order, frequent ones last, and of a set of n only the first n - T + k lists
+are merged, in k of which the partner must occur (k = 1 + n / `MORE`). The others,
+among them all long ones, are only probed, by binary search, for documents that
+occur often enough in the merged lists.
 
 The merge is a sort by n-gram: lists of one document fall away. Then
 1. each list's most typical document leads it, and every document is probed
@@ -16,9 +15,10 @@ The merge is a sort by n-gram: lists of one document fall away. Then
    with one probe a document;
 2. what is left to compare are documents of one list in different components.
    The largest component of a list is compared with the others' documents, and
-   the others among themselves; counts per pair say which pairs are probed.
-No pair within a component is emitted, and no pair that shares a list and isn't
-joined already is left out, so the result is exact.
+   the others among themselves, where the n-gram is among the first n - T + k of
+   both, T and k being those of the pair; pairs that meet k times are probed.
+No pair within a component is emitted, and no pair that shares a merged list and
+isn't joined already is left out, so the result is exact.
 
 Frequent n-grams are those with the highest counts seen in chunks of documents;
 at most `HOT` of them are broadcast. Which they are decides speed and not results. Lists of
@@ -51,10 +51,12 @@ from talkgauge.plans.staging import stage
 #: Words of an n-gram, and the similarity as a fraction.
 WORDS, NUMER, DENOM = 5, 75, 100
 #: Broadcast frequent n-grams; n-grams counted together; times seen in such a chunk to be reported.
-HOT, CHUNK, SEEN = 1 << 17, 1 << 21, 3
+HOT, CHUNK, SEEN = 1 << 17, 1 << 19, 3
+#: One more list is merged, and one more occurrence asked for, per so many n-grams of a pair's smaller set.
+MORE = 40
 #: Documents of one part of a list, and positions of the filter for documents to be probed.
 LIST, FILTER = 1 << 16, 1 << 19
-KEPT_WORDS = 300_000
+KEPT_WORDS = 60_000
 _MIX, _LAST = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -102,7 +104,7 @@ def unpack(data: bytes) -> np.ndarray:
 
 def merged(n: int) -> int:
     """How many n-grams of a set of n are in merged lists."""
-    return n - -(-NUMER * n // DENOM) + 1
+    return n - -(-NUMER * n // DENOM) + 1 + n // MORE
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -164,13 +166,16 @@ def _hot(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _postings(sets: DataFrame, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(gram, part, id, n, rare): the merged lists' rows; `rare` is the share of infrequent n-grams."""
+    """(gram, part, id, n, pos, rare): the merged lists' rows.
+
+    `pos` is the n-gram's place in the document's order, `rare` its share of infrequent n-grams.
+    """
     shared = sets.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, counts = shared.value
         for batch in batches:
-            out: list[list[np.ndarray]] = [[], [], [], [], []]
+            out: list[list[np.ndarray]] = [[], [], [], [], [], []]
             for i, n, mark, data in zip(batch["id"].to_numpy(), batch["n"].to_numpy(), batch["h1"].to_numpy(),
                                         batch["grams"], strict=True):
                 own = unpack(data.as_py())
@@ -180,22 +185,22 @@ def _postings(sets: DataFrame, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
                 parts = seen[first] // LIST  # a list of several parts has no part 0
                 for column, values in zip(out, (
                     own[first], np.where(parts > 0, int(mark) % (parts + 1) + 1, 0),
-                    np.full(len(first), i), np.full(len(first), n),
+                    np.full(len(first), i), np.full(len(first), n), np.arange(len(first)),
                     np.full(len(first), 1000 * int((seen == 0).sum()) // max(1, len(own))),
                 ), strict=True):
                     column.append(values)
             for s in range(0, len(out[0]), 100):
                 columns = [np.concatenate(c[s:s + 100]) for c in out]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c.astype(t)) for c, t in zip(columns, ("i8", "i4", "i8", "i4", "i4"), strict=True)],
-                    ["gram", "part", "id", "n", "rare"])
+                    [pa.array(c.astype(t)) for c, t in zip(columns, ("i8", "i4", "i8", "i4", "i4", "i4"), strict=True)],
+                    ["gram", "part", "id", "n", "pos", "rare"])
 
     return sets.where("n > 0").select("id", "n", "h1", "grams").mapInArrow(
-        run, "gram long, part int, id long, n int, rare int")
+        run, "gram long, part int, id long, n int, pos int, rare int")
 
 
 def _lists(postings: DataFrame) -> DataFrame:
-    """(gram, id, n, leader, leader_n): rows of lists with two documents or more.
+    """(gram, id, n, pos, leader, leader_n): rows of lists with two documents or more.
 
     A list's leader has the smallest share of infrequent n-grams: a text that many
     have copied and changed has fewer of its own than they have.
@@ -203,7 +208,7 @@ def _lists(postings: DataFrame) -> DataFrame:
     run = Window.partitionBy("gram", "part").orderBy("rare", "id")
     led = postings.withColumns({"lead": F.first(F.struct("id", "n")).over(run), "next": F.lead("id").over(run)})
     alone = F.col("next").isNull() & (F.col("lead.id") == F.col("id")) & (F.col("part") == 0)
-    return led.where(~alone).select("gram", "id", "n", F.col("lead.id").alias("leader"), F.col("lead.n").alias("leader_n"))
+    return led.where(~alone).select("gram", "id", "n", "pos", F.col("lead.id").alias("leader"), F.col("lead.n").alias("leader_n"))
 
 
 def _alike(a: str, b: str) -> Column:
@@ -247,29 +252,32 @@ def _with_leaders(lists: DataFrame) -> DataFrame:
 
 
 def _across(lists: DataFrame, parts: DataFrame) -> DataFrame:
-    """(x, y): pairs of different components that their merged lists don't rule out."""
-    rows = stage(lists.select("gram", "id", "n").join(parts.select(F.col("node").alias("id"), "component"), "id", "left").select(
-        "gram", "id", "n", F.coalesce("component", "id").alias("part")).distinct(), "jaccard_rows")
+    """(x, y): pairs of different components that meet where their merged lists say they must."""
+    rows = stage(lists.select("gram", "id", "n", "pos").join(
+        parts.select(F.col("node").alias("id"), "component"), "id", "left").select(
+        "gram", "id", "n", "pos", F.coalesce("component", "id").alias("part")), "jaccard_rows")
     sizes = rows.groupBy("gram", "part").agg(F.count("*").alias("c"))
-    mixed = sizes.groupBy("gram").agg(F.max(F.struct("c", "part"))["part"].alias("major"), F.count("*").alias("parts")).where(
-        "parts > 1").select("gram", "major")
+    mixed = stage(sizes.groupBy("gram").agg(
+        F.max(F.struct("c", "part"))["part"].alias("major"), F.count("*").alias("parts")).where(
+        "parts > 1").select("gram", "major"), "jaccard_grams")
     rows = stage(rows.join(mixed, "gram"), "jaccard_mixed")
-    others = rows.where("part <> major").select("gram", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("part").alias("px"))
+    others = rows.where("part <> major").select(
+        "gram", *[F.col(c).alias(f"x_{c}") for c in ("id", "n", "pos", "part")])
+    needed = F.ceil((F.col("x_n") + F.col("n")) * NUMER / (NUMER + DENOM))
+    times = F.floor(F.least("x_n", "n") / MORE) + 1
     met = others.join(rows, "gram").where(
-        "px <> part AND (part = major OR x < id)").where(_alike("nx", "n")).select(
-        F.least("x", "id").alias("x"), F.greatest("x", "id").alias("y"), (F.col("nx") + F.col("n")).alias("both"),
-        F.greatest("nx", "n").alias("larger"))
-    needed = F.ceil(F.col("both") * NUMER / (NUMER + DENOM))
-    unmerged = F.ceil(F.col("larger") * NUMER / DENOM) - 1
-    return met.groupBy("x", "y").agg(F.count("*").alias("c"), F.max("both").alias("both"), F.max("larger").alias("larger")).where(
-        F.col("c") >= needed - unmerged).select("x", "y")
+        "x_part <> part AND (part = major OR x_id < id)").where(_alike("x_n", "n")).where(
+        (F.col("x_pos") + needed < F.col("x_n") + times) & (F.col("pos") + needed < F.col("n") + times)).select(
+        F.least("x_id", "id").alias("x"), F.greatest("x_id", "id").alias("y"), times.alias("times"))
+    return met.groupBy("x", "y").agg(F.count("*").alias("c"), F.max("times").alias("times")).where("c >= times").select("x", "y")
 
 
 def _members(sets: DataFrame) -> DataFrame:
     """(id, rep): documents whose set equals that of a smaller id."""
     marked = sets.where("n > 0").select("id", "h1", "h2")
     reps = marked.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.max("id").alias("last")).where("rep < last")
-    return marked.join(reps.select("h1", "h2", "rep"), ["h1", "h2"]).where("id <> rep").select("id", "rep").distinct()
+    reps = stage(reps.select("h1", "h2", "rep"), "jaccard_reps")
+    return marked.join(reps, ["h1", "h2"]).where("id <> rep").select("id", "rep").distinct()
 
 
 def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS) -> tuple[DataFrame, DataFrame]:
