@@ -18,7 +18,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Rows of an Arrow batch, as one text may be long and a batch must fit beside the others.
-BATCH_ROWS = 1000
+BATCH_ROWS = 500
+#: Python workers give freed memory back, so that one operator's isn't held while the next one runs.
+WORKER_MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2",
+                 "MALLOC_TRIM_THRESHOLD_": "131072", "MALLOC_MMAP_THRESHOLD_": "131072"}
 
 
 def prepare(spark: SparkSession) -> None:
@@ -34,6 +37,8 @@ def prepare(spark: SparkSession) -> None:
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(":"):
         env["PYTHONPATH"] = ":".join(filter(None, [root, env.get("PYTHONPATH")]))
+    for name, value in WORKER_MEMORY.items():
+        env.setdefault(name, value)
 
 
 def fresh(df: DataFrame, name: str) -> str:
