@@ -43,8 +43,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """BPE: doc_id, n_tokens, the ids, and the digest of what they decode to."""
     prepare(spark)
     automaton = bpe.load(bpe.default_path())
-    rows, ids = bpe.encode(docs.select("doc_id", "text"), automaton)
-    rows, decoded = bpe.decode(rows.drop("text"), automaton, ids)
+    rows, ids, decoded = bpe.round_trip(docs.select("doc_id", "text"), automaton)
     return rows.select("doc_id", F.size(ids).cast("long").alias("n_tokens"), F.col(ids).alias("ids"),
                        F.sha2(F.col(decoded).cast("binary"), 256).alias("decoded_sha256"))
 

@@ -5,11 +5,11 @@ exactly the one that the merges give. It starts as one state with an arc for
 each base symbol. For each merge (u, v) -> w in turn a gadget is put in: the
 state reached by u is copied without its arc for v, arcs for u lead to the copy,
 and each state that had a path u v gets an arc w to where that path led. So the
-state after a token depends on the token alone, and a state is its parent less
-one arc. A state is kept as that pair with the merge's number, instead of as a
-row of 49,000 arcs; whether it has an arc follows from the removals above it
-along the token's left parts, and the rows and arcs that a corpus uses are filled
-in as they are met.
+state after a token depends on the token alone, and is kept as what it has lost
+and when; after w it starts as the state after v was then. Whether a state has an
+arc follows from those losses along the tokens' parts, which takes a few lookups
+instead of a row of 49,000 arcs for each of 49,000 states; the arcs that a corpus
+uses are filled into a table as they are met.
 
 A word is encoded in one pass over its symbols: a prefix has one accepted cut, so
 for each end there is one token whose arc leaves the state reached where that
@@ -22,8 +22,8 @@ through the library's own normaliser and splitter.
 
 Defined cases: a null text counts as empty and has no tokens; special tokens in a
 text become their ids; other columns stay as they are, and rows that repeat are
-encoded each; an empty table gives no rows. A worker keeps up to `WORDS` encoded
-words and starts anew when they are more.
+encoded each; an empty table gives no rows. A worker keeps the words met last, up
+to `WORDS` new ones and as many from before.
 """
 
 from __future__ import annotations
@@ -40,8 +40,9 @@ from pyspark.sql import functions as F
 
 from talkgauge.llm.common import fresh
 
-#: Encoded words that a worker keeps.
-WORDS = 400_000
+#: Encoded words that a worker keeps in each of two generations, and arcs of the filled-in table.
+WORDS, ARCS = 100_000, 300_000
+_NONE: dict[int, int] = {}
 #: Texts of these characters alone are normalised and split by the patterns below.
 LATIN = re.compile("[\t\n\r\x20-\x7e\xa0-\u012f\u0131-\u024f]*")
 SPECIALS = re.compile(r"(<\|startoftext\|>|<\|endoftext\|>)")
@@ -57,6 +58,9 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in plain else chr(next(other)) for b in range(256)]
 
 
+Tree = dict[str, tuple["Tree", int]]
+
+
 class Automaton:
     """Deterministic tokenization automaton of a merge list whose words end in `end`."""
 
@@ -67,14 +71,12 @@ class Automaton:
         self.labels = {i: t for t, i in vocab.items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.ids = {self._symbols(t): i for t, i in vocab.items()}
-        self.tree: dict | None = None
+        self.tree: Tree | None = None
         self.time: dict[int, int] = {}
-        self.left: dict[int, int] = {}
-        self.parent, self.removed, self.born = [-1], [-1], [-1]
-        self.after = dict.fromkeys(vocab.values(), 0)
-        for t, (a, b) in enumerate(model["merges"]):
-            self._gadget(t, vocab[a], vocab[b], vocab[a + b])
-        self.rows: dict[int, dict[int, int]] = {}
+        self.parts: dict[int, tuple[int, int]] = {}
+        self.removed: dict[int, dict[int, int]] = {}
+        for t, (u, v) in enumerate(model["merges"]):
+            self._gadget(t, vocab[u], vocab[v], vocab[u + v])
         self.arcs: dict[int, bool] = {}
         self.worker: Encoder | None = None
 
@@ -86,45 +88,50 @@ class Automaton:
         return stem[:-1] + chr(ord(stem[-1]) + 0x1000)
 
     def _gadget(self, t: int, u: int, v: int, w: int) -> None:
-        reached = self.after[v]
-        self.parent.append(self.after[u])
-        self.removed.append(v)
-        self.born.append(t)
-        self.after[u] = len(self.parent) - 1
-        self.after[w], self.time[w], self.left[w] = reached, t, u
-
-    def _row(self, state: int) -> dict[int, int]:
-        """The arcs that a state lacks, each with the merge that removed it."""
-        row: dict[int, int] = {}
-        at = state
-        while at > 0:
-            row[self.removed[at]] = self.born[at]
-            at = self.parent[at]
-        self.rows[state] = row
-        return row
-
-    def _arc(self, state: int, token: int) -> bool:
-        """Whether `state` has an arc for `token`; fills in the table."""
-        row = self.rows.get(state)
-        if row is None:
-            row = self._row(state)
-        until, y, has = len(self.born), token, True
-        while has:
-            has = row.get(y, until) >= until or row[y] > until
-            if y not in self.time:
-                break
-            until, y = self.time[y] + 1, self.left[y]
-        self.arcs[state << 20 | token] = has
+        """Merge number t: the state after u loses its arc for v, and w leads to the state after v of now."""
+        if self.has_arc(u, v):
+            self.removed.setdefault(u, {})[v] = t
+            self.time[w], self.parts[w] = t, (u, v)
+        else:  # v is never read after u, so w has no arc anywhere
+            self.ids.pop(self._symbols(self.labels[w]), None)
+
+    def has_arc(self, last: int, token: int) -> bool:
+        """Whether the state after the token `last` (-1: the start) has an arc for `token`.
+
+        An arc for w = u v was added where there was one for u when w was made, so
+        the token's left parts are looked up as of then. The state after w = u v is
+        the state after v as of then, less what the state after w lost since.
+        """
+        until, y = 1 << 60, token
+        while True:
+            below, x = until, last
+            while x >= 0:
+                born = self.removed.get(x, _NONE).get(y)
+                if born is not None and born < below:
+                    return False
+                if x not in self.parts:
+                    break
+                below, x = min(below, self.time[x]), self.parts[x][1]
+            if y not in self.parts:
+                return True
+            until, y = min(until, self.time[y] + 1), self.parts[y][0]
+
+    def _arc(self, last: int, token: int) -> bool:
+        """`has_arc`, kept in the table."""
+        if len(self.arcs) >= ARCS:
+            self.arcs.clear()
+        has = self.arcs[last + 1 << 20 | token] = self.has_arc(last, token)
         return has
 
-    def _tree(self) -> dict:
-        """The vocabulary as a tree over symbols; a token's id is under the empty key."""
-        tree: dict = {}
-        for label, token in self.ids.items():
+    def _tree(self) -> Tree:
+        """The vocabulary as a tree over symbols: by symbol, the tree below and the token that ends here, or -1."""
+        tree: Tree = {}
+        for label in sorted(self.ids):
             node = tree
-            for symbol in label:
-                node = node.setdefault(symbol, {})
-            node[""] = token
+            for symbol in label[:-1]:
+                node = node.setdefault(symbol, ({}, -1))[0]
+            below = node[label[-1]][0] if label[-1] in node else {}
+            node[label[-1]] = (below, self.ids[label])
         return tree
 
     def encode_word(self, symbols: str) -> list[int]:
@@ -135,20 +142,22 @@ class Automaton:
         """
         if self.tree is None:
             self.tree = self._tree()
-        n, tree, arcs, after = len(symbols), self.tree, self.arcs, self.after
+        n, tree, arcs = len(symbols), self.tree, self.arcs
         path: list[int] = []
         places: list[int] = []
         untried: list[list[tuple[int, int]]] = []
         dead: set[int] = set()
-        at = state = 0
+        at, last = 0, -1
         while at < n:
-            labels, node = [], tree
-            for j in range(at, n):
-                node = node.get(symbols[j])
-                if node is None:
+            labels, node, end = [], tree, at
+            for symbol in symbols[at:]:
+                found = node.get(symbol)
+                if found is None:
                     break
-                if "" in node:
-                    labels.append((j + 1, node[""]))
+                end += 1
+                node, y = found
+                if y >= 0:
+                    labels.append((end, y))
             places.append(at)
             untried.append(labels)
             while True:
@@ -156,14 +165,14 @@ class Automaton:
                     dead.add(places.pop())
                     untried.pop()
                     path.pop()
-                    state = after[path[-1]] if path else 0
+                    last = path[-1] if path else -1
                 end, y = untried[-1].pop()
                 if end not in dead:
-                    has = arcs.get(state << 20 | y)
-                    if self._arc(state, y) if has is None else has:
+                    has = arcs.get(last + 1 << 20 | y)
+                    if self._arc(last, y) if has is None else has:
                         break
             path.append(y)
-            at, state = end, after[y]
+            at, last = end, y
         return path
 
 
@@ -184,15 +193,20 @@ class Encoder:
 
     def __init__(self, automaton: Automaton):
         self.automaton = automaton
-        self.symbols = byte_symbols()
-        self.words: dict[str, list[int]] = {}
+        self.symbols = dict(enumerate(byte_symbols()))
+        self.words: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
         self._library = None
 
-    def _word(self, piece: str) -> list[int]:
+    def _word(self, piece: str) -> tuple[int, ...]:
         if len(self.words) >= WORDS:
-            self.words.clear()
-        text = "".join([self.symbols[b] for b in piece.encode("utf-8")])
-        found = self.automaton.encode_word(text[:-1] + chr(ord(text[-1]) + 0x1000))
+            self.words, self.older = {}, self.words
+        found = self.older.get(piece)
+        if found is not None:
+            self.words[piece] = found
+            return found
+        text = piece.encode("utf-8").decode("latin-1").translate(self.symbols)
+        found = tuple(self.automaton.encode_word(text[:-1] + chr(ord(text[-1]) + 0x1000)))
         if len(piece) < 64:
             self.words[piece] = found
         return found
@@ -255,11 +269,34 @@ def decode(rows: DataFrame, automaton: Automaton, ids: str = "ids") -> tuple[Dat
     return rows.withColumn(name, F.arrow_udf(run, "string")(F.col(ids))), name
 
 
+def round_trip(docs: DataFrame, automaton: Automaton, text: str = "text") -> tuple[DataFrame, str, str]:
+    """`docs` with ids and decoded text, and those columns' names; one Python worker does both."""
+    ids, decoded, both = fresh(docs, "ids"), fresh(docs, "decoded"), fresh(docs, "bpe_both")
+    shared = docs.sparkSession.sparkContext.broadcast(automaton)
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        automaton = shared.value
+        encoder = automaton.worker = automaton.worker or Encoder(automaton)  # kept by a reused worker
+        label = automaton.labels.__getitem__
+        for batch in batches:
+            found, texts = [], []
+            for t in batch:
+                own = encoder.encode(t.as_py())
+                found.append(np.array(own, np.int32))
+                texts.append(" ".join(map(label, own)))
+            offsets = np.cumsum([0, *map(len, found)], dtype=np.int32)
+            lists = pa.ListArray.from_arrays(offsets, np.concatenate([np.zeros(0, np.int32), *found]))
+            yield pa.StructArray.from_arrays([lists, pa.array(texts, pa.string())], ["ids", "decoded"])
+
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    rows = docs.withColumn(both, F.arrow_udf(run, "ids array<int>, decoded string")(F.col(text)))
+    return rows.withColumns({ids: F.col(both)["ids"], decoded: F.col(both)["decoded"]}).drop(both), ids, decoded
+
+
 def op5_bpe(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
     automaton = load(path or default_path())
-    rows, ids = encode(docs.select("doc_id", "text"), automaton)
-    rows, decoded = decode(rows.drop("text"), automaton, ids)
+    rows, ids, decoded = round_trip(docs.select("doc_id", "text"), automaton)
     return rows.select(
         "doc_id", F.size(ids).cast("long").alias("n_tokens"),
         F.sha2(F.array_join(ids, " ").cast("binary"), 256).alias("ids_sha256"),
