@@ -21,7 +21,8 @@ HEADLINE = [
     "user_state", "group_load_second", "server_group_set", "speaking_record", "user_load_second_server",
     "user_load_second_company", "user_load_hour_server", "user_load_hour_company",
     "speak_load_second_server", "speak_load_hour_company", "server_load_second", "win_late",
-    "sink_user_action", "sink_appload",
+    "sink_user_action", "sink_group_event", "sink_company_user_load", "sink_appload", "group_member_set",
+    "sink_state_sets",
 ]
 
 
