@@ -51,7 +51,7 @@ from talkgauge.plans.staging import stage
 #: Words of an n-gram, and the similarity as a fraction.
 WORDS, NUMER, DENOM = 5, 75, 100
 #: Broadcast frequent n-grams; n-grams counted together; times seen in such a chunk to be reported.
-HOT, CHUNK, SEEN = 1 << 17, 1 << 19, 3
+HOT, CHUNK, SEEN = 1 << 18, 1 << 21, 2
 #: One more list is merged, and one more occurrence asked for, per so many n-grams of a pair's smaller set.
 MORE = 40
 #: Documents of one part of a list, and positions of the filter for documents to be probed.
