@@ -186,6 +186,42 @@ def test_network_adds_what_it_was_shown(spark):
     assert secrets.fit(docs.limit(0)) is None
 
 
+def test_network_trained_on_base_spans_adds_unlabelled_keys(spark):
+    """Keys that nothing labels are no negatives, and neither they nor rare findings switch the network off."""
+    rng = random.Random(5)
+
+    def key(n):
+        return "".join(rng.choice("0123456789abcdef") for _ in range(n))
+
+    texts = []
+    for k in range(400):
+        number = "".join(rng.choice("0123456789") for _ in range(16))
+        secret = f"token = {key(40)}" if k % 4 == 0 else key(22) if k % 4 == 1 else "ordinary"
+        texts.append(f"some considerable words {number} and {secret} afterwards")
+    docs = documents(spark, texts).select("doc_id", "text")
+    net = secrets.fit(docs)
+    assert net is not None and net.threshold <= 1 and 0 < net.precision <= 1
+    for text in texts:
+        for start, end in secrets.candidates(text):
+            if end - start == 22:
+                assert all(x[:2] != (secrets.window(text, start, end).tobytes(), 0) for x in secrets.examples_of(
+                    text, [(s, e) for s, _, e in secrets.base_spans(text)], False))
+    spans = [s for r in secrets.op10_secrets(docs).collect() for s in r["spans"].split(",")]
+    assert sum(s.startswith("model") for s in spans) >= 30
+    rare = documents(spark, ["many considerable words of no interest"] * 3000 + texts, 1).select("doc_id", "text")
+    assert secrets.fit(rare, sample=300) is not None
+
+
+def test_threshold_is_chosen_by_recall_alone():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    x, y = rng.integers(1, 128, (400, secrets.WIDTH)), (np.arange(400) % 2).astype(float)
+    net = secrets.train(x, rng.permutation(y), epochs=1)
+    secrets.calibrate(net, x, y)
+    assert net.threshold <= 1 and (net.scores(x[y == 1]) >= net.threshold).mean() >= secrets.RECALL
+
+
 def test_gradients_of_the_network():
     import numpy as np
 
