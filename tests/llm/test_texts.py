@@ -222,6 +222,26 @@ def test_threshold_is_chosen_by_recall_alone():
     assert net.threshold <= 1 and (net.scores(x[y == 1]) >= net.threshold).mean() >= secrets.RECALL
 
 
+def test_every_candidate_is_read_whole(spark):
+    """A key behind character 40 of a run is seen, and short and digit-free keys are candidates."""
+    rng = random.Random(7)
+    rows = []
+    for k in range(300):
+        path = "/files/" + "/".join(rng.choice(["archive", "images", "content", "upload"]) for _ in range(7)) + "/"
+        key = "".join(rng.choice("XYZQ0123456789") for _ in range(24)) if k % 2 else "plainwords"
+        text = f"some words {path}{key} more"
+        start = text.index(key)
+        rows.append((k, text, [(start, start + len(key))] if k % 2 else []))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, found array<struct<start:int,end:int>>")
+    net = secrets.fit(docs.where("doc_id < 200"), spans="found")
+    added = [sum(kind == 3 for _, kind, _ in secrets.find(text, net)) for _, text, _ in rows[200:]]
+    assert sum(added[1::2]) >= 40 and sum(added[::2]) <= 5
+    text = "a Xk9fQ2mZ b qRtYhGfDsWxCvBnM c postgres://me:letmein@host/db d ordinary considerable"
+    assert {"Xk9fQ2mZ", "qRtYhGfDsWxCvBnM", "letmein"} == {text[s:e] for s, e in secrets.candidates(text)}
+    whole = secrets.pieces(3, 150)
+    assert whole[0][0] == 3 and whole[-1][1] == 150 and all(b[0] < a[1] for a, b in zip(whole, whole[1:]))
+
+
 def test_gradients_of_the_network():
     import numpy as np
 
