@@ -232,8 +232,12 @@ def op7_langid(docs: DataFrame) -> DataFrame:
     return judged.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-def only_known(docs: DataFrame, least: float = 0.4) -> DataFrame:
-    """`docs` without those of unknown or doubtful language, columns as before."""
+def only_known(docs: DataFrame, least: float = 0.0) -> DataFrame:
+    """`docs` without those of unknown language, columns as before.
+
+    A score below `least` counts as unknown too; by default none does, as the scores of
+    short documents are low where the language is told.
+    """
     model = fit(docs.where(~held_out(F.col("doc_id"))))
     judged, (pred, score) = judge(docs, model)
     return judged.where((F.col(pred) != UNKNOWN) & (F.col(score) >= least)).select(

@@ -99,6 +99,13 @@ def test_odd_languages(spark, docs):
     assert langid.only_known(documents(spark, [])).count() == 0
 
 
+def test_only_unknown_languages_are_dropped(spark, docs):
+    """A short document of a low score stays."""
+    some = docs.unionByName(documents(spark, [None, "12 34", "Zzxq"], 10**6))
+    kept = {r["doc_id"] for r in langid.only_known(some).select("doc_id").collect()}
+    assert kept == {r["doc_id"] for r in some.collect() if re.search(r"[^\W\d_]", r["text"] or "")}
+
+
 def test_shorter_grams_only_for_words_unknown_at_longer_ones(docs):
     model = langid.fit(docs)
     scorer = langid.Scorer(model)
