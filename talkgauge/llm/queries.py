@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from talkgauge.llm import ann, bpe, embedding_dedup, jaccard, langid, line_dedup, mixing, quality, secrets, url_filter
+from talkgauge.llm import ann, bpe, embedding_dedup, hard_negatives, jaccard, langid, line_dedup, mixing, prefix_trie, quality
+from talkgauge.llm import secrets, toxicity, url_filter
 from talkgauge.llm.common import prepare, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,10 +32,15 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": _on(mixing.op8_mix, "documents"),
     "op9_quality": _on(quality.op9_quality, "documents", "labels"),
     "op10_secrets": _on(secrets.op10_secrets, "documents"),
+    "op11_prefix_trie": _on(prefix_trie.op11_prefix_trie, "conversations"),
+    "op12_hard_negatives": _on(hard_negatives.op12_hard_negatives, "embeddings"),
+    "op13_toxicity": _on(toxicity.op13_toxicity, "documents", "labels"),
 }
 
 SQL = {
     "op1_line_dedup": line_dedup.ORACLE_SQL,
     "op2_url_filter": url_filter.ORACLE_SQL,
     "op8_mixing": mixing.ORACLE_SQL,
+    "op11_prefix_trie": prefix_trie.ORACLE_SQL,
+    "op12_hard_negatives": hard_negatives.ORACLE_SQL,
 }
