@@ -272,19 +272,22 @@ def _across(lists: DataFrame, parts: DataFrame) -> DataFrame:
     return met.groupBy("x", "y").agg(F.count("*").alias("c"), F.max("times").alias("times")).where("c >= times").select("x", "y")
 
 
-def _members(sets: DataFrame) -> DataFrame:
-    """(id, rep): documents whose set equals that of a smaller id."""
-    marked = sets.where("n > 0").select("id", "h1", "h2")
-    reps = marked.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.max("id").alias("last")).where("rep < last")
+def _members(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(id, rep): documents with a text whose set equals that of a smaller id, and (id) of those with no other text."""
+    texts = sets.where("n > 0").select("id", "h1", "h2").distinct()
+    reps = texts.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.max("id").alias("last")).where("rep < last")
     reps = stage(reps.select("h1", "h2", "rep"), "jaccard_reps")
-    return marked.join(reps, ["h1", "h2"]).where("id <> rep").select("id", "rep").distinct()
+    copies = stage(texts.join(reps, ["h1", "h2"]).where("id <> rep").select("id", "rep"), "jaccard_members")
+    held = texts.groupBy("id").agg(F.count("*").alias("texts"))
+    only = copies.groupBy("id").agg(F.count("*").alias("copies")).join(held, "id").where("copies = texts").select("id")
+    return copies.distinct(), only
 
 
 def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS) -> tuple[DataFrame, DataFrame]:
     """(id, n) of every document with an id, and (node, component) of those that link."""
     sets = stage(_sets(docs, doc_id, text, words), "jaccard_sets")
-    members = stage(_members(sets), "jaccard_members")
-    lists = stage(_lists(_postings(sets, _hot(sets))).join(members, "id", "left_anti"), "jaccard_lists")
+    members, copies = _members(sets)
+    lists = stage(_lists(_postings(sets, _hot(sets))).join(copies, "id", "left_anti"), "jaccard_lists")
     near = probe(_with_leaders(lists), sets)
     parts = connected_components(near)
     more = probe(_across(lists, parts), sets)

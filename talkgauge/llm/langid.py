@@ -139,68 +139,6 @@ def _logs(counts: DataFrame, langs: list[str], limit: int) -> tuple[dict[str, in
     return {t: i for i, t in enumerate(top["term"].to_pylist())}, np.log(table).astype(np.float32)
 
 
-def judge(self, text: str | None) -> tuple[str, float]:
-        words = LETTERS.findall(text.lower()) if text else []
-        if not words or not self.model.langs:
-            return UNKNOWN, 0.0
-        if self.used > len(self.model.words) + KEPT:
-            self._reset()
-        get = self.rows.get
-        at = [self._add(w) if (k := get(w)) is None else k for w in words]
-        mean = self.logs[at].mean(axis=0, dtype=np.float64) * min(len(words), EVIDENCE)
-        odds = np.exp(mean - mean.max())
-        best = int(odds.argmax())
-        return self.model.langs[best], float(odds[best] / odds.sum())
-
-
-def sample_of(labelled: DataFrame, per_lang: int, doc_id: str, lang: str) -> DataFrame:
-    """About `per_lang` documents of each language, drawn by a hash of the id, without moving the texts."""
-    totals = {r[lang]: r["count"] for r in labelled.groupBy(lang).count().collect()}
-    share = F.create_map(*[F.lit(x) for pair in totals.items() for x in pair])[F.col(lang)] if totals else F.lit(1)
-    drawn = F.pmod(F.xxhash64(F.lit("langid"), F.col(doc_id)), F.lit(1 << 30)) / float(1 << 30)
-    return labelled.where(drawn * share < per_lang)
-
-
-def fit(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
-        sample: int = SAMPLE) -> Model:
-    """The model of a frame of labelled documents; rows without label or text are left out."""
-    rows = labelled.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang")).where(
-        F.col("lang").isNotNull() & F.col("text").isNotNull())
-    words = sample_of(rows, sample, "id", "lang").select(
-        "lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("term"))
-    counts = stage(words.groupBy("lang", "term").agg(F.count("*").alias("n")), "langid_words")
-    langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
-    known, logs = _logs(counts, langs, WORDS)
-    grams, gram_logs = [], []
-    for n in range(1, LONGEST + 1):
-        marked = F.concat(F.lit("<"), F.col("term"), F.lit(">"))
-        cut = counts.where(F.length("term") + 2 >= n).select("lang", "n", F.explode(_cut(marked, n)).alias("term"))
-        index, values = _logs(cut.groupBy("lang", "term").agg(F.sum("n").alias("n")), langs, GRAMS)
-        grams.append(index)
-        gram_logs.append(values)
-    return Model(langs, known, logs, grams, gram_logs)
-
-
-def _cut(term: Column, n: int) -> Column:
-    """The n-grams of a term as an array."""
-    return F.transform(F.sequence(F.lit(1), F.length(term) - n + 1), lambda i: F.substring(term, i, F.lit(n)))
-
-
-def _logs(counts: DataFrame, langs: list[str], limit: int) -> tuple[dict[str, int], np.ndarray]:
-    """The most frequent terms and their smoothed log frequencies per language."""
-    totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    top = counts.groupBy("term").agg(
-        F.sum("n").alias("all"), F.collect_list(F.struct("lang", "n")).alias("by")).orderBy(
-        F.desc("all"), "term").limit(limit).collect()
-    table = np.full((len(top), len(langs)), 0.5)
-    place = {x: i for i, x in enumerate(langs)}
-    for row, r in enumerate(top):
-        for x in r["by"]:
-            table[row, place[x["lang"]]] += x["n"]
-    table /= np.array([totals[x] for x in langs], float) + 0.5 * max(1, len(top))
-    return {r["term"]: i for i, r in enumerate(top)}, np.log(table).astype(np.float32)
-
-
 def judge(docs: DataFrame, model: Model, text: str = "text") -> tuple[DataFrame, tuple[str, str]]:
     """`docs` with lang_pred and score, under these names or fresh ones."""
     pred, score, both = (fresh(docs, c) for c in ("lang_pred", "score", "langid_both"))

@@ -233,3 +233,13 @@ def test_packed_sets_keep_their_order():
     hashes = np.unique(rng.integers(0, 2**64, 1000, dtype=np.uint64))
     assert (jaccard.unpack(jaccard.pack(hashes)) == (hashes >> np.uint64(24)).astype(np.int64)).all()
     assert jaccard.overlap(np.arange(0, 100, 2), np.arange(0, 100, 3)) == 17
+
+
+def test_an_id_with_a_copy_and_another_text_keeps_both_links(spark):
+    """3 has text A, 5 has A and B, 4 has B and a word more: all are one component."""
+    rng = random.Random(9)
+    a, b = (" ".join(f"{p}{rng.randrange(10**6)}" for _ in range(60)) for p in "ab")
+    rows = [(3, a), (5, a), (5, b), (5, b), (4, b + " more"), (9, "something else of five words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.op4_jaccard(docs).collect()}
+    assert got == {3: 3, 4: 3, 5: 3, 9: 9}
