@@ -25,6 +25,11 @@ def test_without_the_corpus_operators():
     assert counts[0] == counts[1] and int(counts[0]) >= 108
 
 
+def test_without_a_library_of_theirs():
+    code, counts, error = names(["zstandard"])
+    assert code == 0 and counts[0] == counts[1] and "zstandard" in error
+
+
 def test_other_import_errors_are_not_swallowed():
     code, _, error = names(["talkgauge.plans.oracle"])
     assert code != 0 and "talkgauge.plans.oracle" in error
