@@ -9,15 +9,16 @@ BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 256 << 20
 HOT_ROWS = 4_000_000
 
-_SIZES: dict[tuple[str, int], tuple[int, int]] = {}
+_SIZES: dict[tuple, tuple[int, int]] = {}
 
 
 def size_of(dim: DataFrame) -> tuple[int, int]:
-    """Rows and bytes of a dimension, counted once a session for the same plan.
+    """Rows and bytes of a dimension, counted once a session for the same plan over the same files.
 
+    A table that is read again after it has grown has other files, and is counted again.
     Counts and sums are partial per partition, so one row of each is brought together.
     """
-    key = (dim.sparkSession.sparkContext.applicationId, dim.semanticHash())
+    key = (dim.sparkSession.sparkContext.applicationId, dim.semanticHash(), tuple(sorted(dim.inputFiles())))
     if key not in _SIZES:
         row = dim.agg(F.count("*").alias("n"), F.sum(F.length(F.to_csv(F.struct(*dim.columns)))).alias("b")).first()
         _SIZES[key] = (row["n"], row["b"] or 0)

@@ -43,11 +43,12 @@ def with_cells(rows: DataFrame, by: list[str], order: str, cell_rows: int = CELL
 
 def running(rows: DataFrame, by: list[str], order: str, *,
             maxes: dict[str, Column] | None = None, mins: dict[str, Column] | None = None,
-            sums: dict[str, Column] | None = None, inclusive: bool = False) -> DataFrame:
+            sums: dict[str, Column] | None = None, inclusive: bool = False, split: bool = True) -> DataFrame:
     """Add running values over the rows before each row (and itself if `inclusive`).
 
     `rows` must have the cell column (`with_cells`, or any non-decreasing
-    function of `order`). Rows whose value is null are skipped.
+    function of `order`). Rows whose value is null are skipped. Without `split`, for
+    keys known to be small, cells are not looked at and a key is one window.
     """
     maxes, mins, sums = maxes or {}, mins or {}, sums or {}
     values = {**maxes, **mins, **sums}
@@ -57,6 +58,13 @@ def running(rows: DataFrame, by: list[str], order: str, *,
         fold = F.max if name in maxes else F.min if name in mins else F.sum
         return fold(f"_v_{name}")
 
+    if not split:
+        upto = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+        kept = [c for c in rows.columns if not c.startswith("_v_")]
+        plain = {n: F.coalesce(total(n).over(upto), F.lit(0).cast("bigint")) if n in sums else total(n).over(upto)
+                 for n in values}
+        return rows.select(*kept, *[c.alias(n) for n, c in plain.items()])
+
     before = Window.partitionBy(*by).orderBy(CELL).rowsBetween(Window.unboundedPreceding, -1)
     carry = (
         rows.where(F.col(CELL).isNotNull()).groupBy(*by, CELL)

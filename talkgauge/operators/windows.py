@@ -6,11 +6,13 @@ Dense grids are made only for the tables that need a row per second or minute.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkgauge.functions.times import floor_to, minute_bucket, minute_mark, second_bucket
+from talkgauge.operators.lookup import BROADCAST_ROWS
 from talkgauge.operators.scan import CELL, CELL_ROWS, hold_deltas, running, with_cells
+from talkgauge.plans.staging import stage
 from talkgauge.schemas import DAY_MS, HOUR_MS, LATE_MS, MINUTE_MS, SECOND_MS
 
 
@@ -19,22 +21,69 @@ def count_per_second(rows: DataFrame, entity: str) -> DataFrame:
     return rows.groupBy(entity, second_bucket("ts_ms").alias("bucket")).agg(F.count("*").alias("n"))
 
 
-def mark_late(rows: DataFrame, entity: str, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """Add bucket, newest and late: the entity's newest bucket was over 4 s ahead on arrival.
+def second_arrivals(bucketed: DataFrame, entity: str) -> DataFrame:
+    """(entity, bucket, first, last): the first and last row of each second by arrival; partial per task."""
+    return bucketed.groupBy(entity, "bucket").agg(F.min("seq").alias("first"), F.max("seq").alias("last"))
+
+
+def clock_steps(arrivals: DataFrame, entity: str, cell_rows: int = CELL_ROWS, split: bool = True) -> DataFrame:
+    """(entity, at, bucket, newest): the staircase of each entity's clock, at most one step a second.
+
+    Its newest second rises from `newest` to `bucket` with the row `at`; `newest` is
+    null at the first step.
+    """
+    aged = running(
+        with_cells(arrivals, [entity], "first", cell_rows, few_keys=True), [entity], "first",
+        maxes={"newest": F.col("bucket")}, split=split,
+    )
+    return aged.where(F.col("newest").isNull() | (F.col("bucket") > F.col("newest"))).select(
+        entity, F.col("first").alias("at"), "bucket", "newest"
+    )
+
+
+def is_jump() -> Column:
+    """Whether a step leaps five seconds or more, which empties the window."""
+    return F.coalesce(F.col("bucket") - F.col("newest") >= LATE_MS + SECOND_MS, F.lit(False))
+
+
+def late_after(arrivals: DataFrame, steps: DataFrame, entity: str, split: bool = True) -> DataFrame:
+    """(entity, bucket, cut) of seconds that have late rows: those that arrive after the row `cut`.
+
+    A step moves the end of the window to 4 s before its second, 3 s after a jump, and
+    ends the seconds before that. Falling through seconds and window ends, the
+    earliest step whose end lies above a second is a running minimum.
+    """
+    none = F.lit(None).cast("bigint")
+    floor = F.col("bucket") - F.when(is_jump(), LATE_MS - SECOND_MS).otherwise(LATE_MS)
+    points = arrivals.select(entity, "bucket", none.alias("at"), "last", F.lit(0).alias("after")).unionByName(
+        steps.select(entity, floor.alias("bucket"), "at", none.alias("last"), F.lit(1).alias("after"))
+    ).withColumn("fall", F.expr(f"-2 * (bucket div {SECOND_MS}) + after"))
+    ended = running(
+        points.withColumn(CELL, F.floor(F.col("fall") / (2 * DAY_MS // SECOND_MS)).cast("bigint")), [entity], "fall",
+        mins={"cut": F.col("at")}, split=split,
+    )
+    return ended.where(F.col("last") > F.col("cut")).select(entity, "bucket", "cut")
+
+
+def mark_late(rows: DataFrame, entity: str, cell_rows: int = CELL_ROWS,
+              broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Add bucket and late: the entity's newest bucket was over 4 s ahead on arrival.
 
     A jump of five seconds or more empties the window, which then reaches back
-    3 s only, until a still newer bucket opens.
+    3 s only, until a still newer bucket opens. Rows are judged by a lookup of their
+    second among those that have late rows, which come from the clock's staircase.
+    Where all entities together have `broadcast_rows` seconds or fewer, that lookup is
+    broadcast; where they have `cell_rows` or fewer, no entity's seconds are split.
     """
     bucketed = rows.withColumn("bucket", second_bucket("ts_ms"))
-    aged = running(
-        with_cells(bucketed, [entity], "seq", cell_rows), [entity], "seq",
-        maxes={"newest": F.col("bucket")},
+    arrivals = stage(second_arrivals(bucketed, entity), "clock_arrivals")
+    seconds = arrivals.count()
+    split = seconds > cell_rows
+    cuts = late_after(arrivals, clock_steps(arrivals, entity, cell_rows, split), entity, split)
+    cuts = F.broadcast(cuts) if seconds <= broadcast_rows else cuts
+    return bucketed.join(cuts, [entity, "bucket"], "left").select(
+        *bucketed.columns, F.coalesce(F.col("seq") > F.col("cut"), F.lit(False)).alias("late")
     )
-    jump = F.when(F.col("bucket") - F.col("newest") >= LATE_MS + SECOND_MS, F.col("bucket"))
-    reach = F.when(F.col("jumped") == F.col("newest"), LATE_MS - SECOND_MS).otherwise(LATE_MS)
-    return running(aged, [entity], "seq", maxes={"jumped": jump}).withColumn(
-        "late", F.coalesce(F.col("bucket") < F.col("newest") - reach, F.lit(False))
-    ).drop(CELL, "jumped")
 
 
 def drop_stale(rows: DataFrame, key: str, cell_rows: int = CELL_ROWS) -> DataFrame:
@@ -129,19 +178,36 @@ def dense_seconds(changes: DataFrame, entity: str, gauges: dict[str, str], count
     )
 
 
-def skipped_seconds(rows: DataFrame, entity: str, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """(entity, bucket) of seconds reported by a jump ahead instead of by sliding out.
+def skipped_spans(rows: DataFrame, entity: str, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """(entity, first, last) of seconds reported by a jump ahead instead of by sliding out.
 
     A row five or more seconds past the newest bucket empties the window; the
     seconds up to four before it are then reported without having been open.
     """
-    jumps = mark_late(rows, entity, cell_rows).where(
-        F.col("bucket") - F.col("newest") >= LATE_MS + SECOND_MS
-    )
-    spans = jumps.select(
+    bucketed = rows.withColumn("bucket", second_bucket("ts_ms"))
+    return clock_steps(second_arrivals(bucketed, entity), entity, cell_rows).where(is_jump()).select(
         entity, (F.col("newest") + SECOND_MS).alias("first"), (F.col("bucket") - LATE_MS).alias("last")
     )
-    return explode_range(spans, SECOND_MS, "bucket")
+
+
+def skipped_seconds(rows: DataFrame, entity: str, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """(entity, bucket) of the seconds of `skipped_spans`."""
+    return explode_range(skipped_spans(rows, entity, cell_rows), SECOND_MS, "bucket")
+
+
+def skipped_gauges(spans: DataFrame, changes: DataFrame, entity: str, gauge: str, delta: str) -> DataFrame:
+    """(entity, bucket, gauge) of skipped seconds: the changes summed up to a span's start hold all through it.
+
+    A span lies between two steps of the clock, and rows within it come too late to
+    count, so nothing changes there. Only changes and spans are shuffled, not seconds.
+    """
+    points = changes.select(entity, "bucket", delta, F.lit(None).cast("bigint").alias("last")).unionByName(
+        spans.select(entity, F.col("first").alias("bucket"), F.lit(0).cast("bigint").alias(delta), "last")
+    ).groupBy(entity, "bucket").agg(F.sum(delta).alias(delta), F.max("last").alias("last"))
+    levels = running(points.withColumn(CELL, floor_to("bucket", DAY_MS)), [entity], "bucket",
+                     sums={gauge: F.col(delta)}, inclusive=True)
+    held = levels.where(F.col("last").isNotNull()).select(entity, gauge, F.col("bucket").alias("first"), "last")
+    return explode_range(held, SECOND_MS, "bucket").select(entity, "bucket", gauge)
 
 
 def per_minute_mark(rows: DataFrame, entity: str, measures: list[str]) -> DataFrame:

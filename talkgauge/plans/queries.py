@@ -344,9 +344,9 @@ def win_gap_fill(t: Tables) -> DataFrame:
 
 @query
 def win_skip(t: Tables) -> DataFrame:
-    skipped = windows.skipped_seconds(t.online.select("seq", "svc", "ts_ms"), "svc")
-    gauges = loads.user_load_second(t.user_changes("svc")).select(F.col("entity").alias("svc"), "bucket", "onlines")
-    return skipped.join(gauges, ["svc", "bucket"])
+    spans = windows.skipped_spans(t.online.select("seq", "svc", "ts_ms"), "svc")
+    changes = t.user_changes("svc").withColumnRenamed("entity", "svc")
+    return windows.skipped_gauges(spans, changes, "svc", "onlines", "delta")
 
 
 @query

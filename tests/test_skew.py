@@ -123,3 +123,32 @@ def test_holding_over_days(spark):
     ops = spark.createDataFrame(rows, "k string, at long, holds boolean")
     got = {(r["k"], r["at"], r["delta"]) for r in hold_deltas(ops, ["k"], "at", "holds").collect()}
     assert got == {("a", 5, 1), ("a", 3 * DAY_MS + 1, -1), ("a", 3 * DAY_MS + 9, 1), ("b", 7, 1), ("b", 8, -1), ("b", 8, 1)}
+
+
+def test_late_rule_of_split_clocks(tables):
+    """Clocks cut into cells and lookups that are not broadcast judge rows alike, as does the rule row by row."""
+    back = F.when(F.col("seq") % 17 == 0, 7000).when(F.col("seq") % 19 == 0, 3500).otherwise(0)
+    rows = tables.action.select("seq", "svc", (F.col("ts_ms") - back).alias("ts_ms"))
+    want = []
+    state = {}
+    for row in rows.orderBy("seq").collect():
+        bucket = row["ts_ms"] // 1000 * 1000
+        newest, reach = state.get(row["svc"], (None, 4000))
+        want.append((row["seq"], newest is not None and bucket < newest - reach))
+        if newest is None or bucket > newest:
+            state[row["svc"]] = bucket, 3000 if newest is not None and bucket - newest >= 5000 else 4000
+    for options in ({}, {"cell_rows": CELLS, "broadcast_rows": 0}):
+        late = windows.mark_late(rows, "svc", **options).orderBy("seq").collect()
+        assert [(r["seq"], r["late"]) for r in late] == want
+    assert any(late for _, late in want)
+
+
+def test_a_dimension_that_grows_is_measured_again(spark, tmp_path):
+    from talkgauge.operators.lookup import size_of
+
+    path = str(tmp_path / "dim")
+    sizes = []
+    for n in (10, 1000):
+        spark.range(n).selectExpr("cast(id AS string) AS uid", "'c' AS company").write.mode("overwrite").parquet(path)
+        sizes.append(size_of(spark.read.parquet(path))[0])
+    assert sizes == [10, 1000]
