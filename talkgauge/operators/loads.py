@@ -96,29 +96,37 @@ def _hour_sums(changes: DataFrame, grid: DataFrame, integral: str, times: list[s
     ).select("entity", "bucket", *times, integral)
 
 
-def user_load_hour(online: DataFrame, changes: DataFrame, entity: str,
-                   distinct_hours: int = 2) -> DataFrame:
-    """Per (entity, minute mark): sums over an hour, distinct users over `distinct_hours`.
+def user_member_rows(online: DataFrame, entity: str) -> DataFrame:
+    """Online events whose users count as distinct, late ones among them."""
+    return _user_rows(online, entity, "keep", CELL_ROWS)
 
-    `changes` are the `user_changes` of the same events. `onlines` counts users
-    whose last event is uon, or a uoff not timed out; late rows count as users.
-    """
-    grid = minute_grid(changes.where("seen > 0"), "entity")
-    sums = _hour_sums(changes, grid, "totalOnlineSeconds", list(USER_TIMES))
-    rows = _user_rows(online, entity, "keep", CELL_ROWS)
+
+def user_members(rows: DataFrame) -> DataFrame:
+    """(seq, entity, member, bucket, kind, forever): the kinds of distinct users that an event's user is of."""
     on, off = F.col("event") == USER_ONLINE, F.col("event") == USER_OFFLINE
     kinds = F.array(
         F.when(on, "loginUsers").when(off, "logoutUsers").otherwise("brokenUsers"),
         F.when(on | off, "onlines"),
     )
-    members = (
+    return (
         rows.select("seq", "entity", F.col("uid").alias("member"), "bucket", on.alias("on"),
                     F.explode(kinds).alias("kind"))
         .where(F.col("kind").isNotNull())
         .withColumn("forever", (F.col("kind") == "onlines") & F.col("on"))
     )
+
+
+def user_load_hour(online: DataFrame, changes: DataFrame, entity: str,
+                   distinct_hours: int = 2) -> DataFrame:
+    """Per (entity, minute mark): sums over an hour, distinct users over `distinct_hours`.
+
+    `changes` are the `user_changes` of the same events. `onlines` counts users
+    whose last event is uon, or a uoff not timed out; late rows count as users.
+    """
+    grid = minute_grid(changes.where("seen > 0"), "entity")
+    sums = _hour_sums(changes, grid, "totalOnlineSeconds", list(USER_TIMES))
     users = distinct_members(
-        members, "entity", grid, ["onlines", "loginUsers", "logoutUsers", "brokenUsers"],
+        user_members(user_member_rows(online, entity)), "entity", grid, ["onlines", "loginUsers", "logoutUsers", "brokenUsers"],
         distinct_hours * HOUR_MS,
     )
     return sums.join(users, ["entity", "bucket"]).select("entity", "bucket", *USER_HOUR_MEASURES)
@@ -165,12 +173,13 @@ def speak_load_second(changes: DataFrame) -> DataFrame:
     )
 
 
-def speak_load_hour(group_event: DataFrame, changes: DataFrame, entity: str,
-                    distinct_hours: int = 2) -> DataFrame:
-    """Per (entity, minute mark): sums over an hour, distinct users and groups."""
-    grid = minute_grid(changes.where("seen > 0"), "entity")
-    sums = _hour_sums(changes, grid, "speakingSeconds", list(SPEAK_TIMES))
-    rows = _speak_rows(group_event, entity, "keep", CELL_ROWS)
+def speak_member_rows(group_event: DataFrame, entity: str) -> DataFrame:
+    """Microphone events whose users and groups count as distinct, late ones among them."""
+    return _speak_rows(group_event, entity, "keep", CELL_ROWS)
+
+
+def speak_members(rows: DataFrame) -> DataFrame:
+    """(seq, entity, bucket, kind, member, forever): users and groups, by kind of event."""
     stem = F.when(F.col("event") == "GET_MIC", "speaking").when(
         F.col("event") == "LOSTMIC_AUTO", "lostAuto"
     ).when(F.col("event") == "LOSTMIC_REPLACE", "lostReplace").when(F.col("event") == "DENT_MIC", "dent")
@@ -178,11 +187,19 @@ def speak_load_hour(group_event: DataFrame, changes: DataFrame, entity: str,
         F.struct(F.concat("stem", F.lit("Users")).alias("kind"), F.col("uid").alias("member")),
         F.struct(F.concat("stem", F.lit("Groups")).alias("kind"), F.col("gfull").alias("member")),
     )
-    members = (
+    return (
         rows.withColumn("stem", stem).where(F.col("stem").isNotNull())
         .select("seq", "entity", "bucket", F.inline(pairs).alias("kind", "member"))
         .withColumn("forever", F.lit(False))
     )
+
+
+def speak_load_hour(group_event: DataFrame, changes: DataFrame, entity: str,
+                    distinct_hours: int = 2) -> DataFrame:
+    """Per (entity, minute mark): sums over an hour, distinct users and groups."""
+    grid = minute_grid(changes.where("seen > 0"), "entity")
+    sums = _hour_sums(changes, grid, "speakingSeconds", list(SPEAK_TIMES))
+    members = speak_members(speak_member_rows(group_event, entity))
     kinds = [m for m in SPEAK_HOUR_MEASURES if m.endswith(("Users", "Groups"))]
     distinct = distinct_members(members, "entity", grid, kinds, distinct_hours * HOUR_MS)
     return (

@@ -7,20 +7,26 @@ or driver repeats a trigger without repeating its rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from talkgauge.operators.enrich import filter_speak, group_events, user_actions
 from talkgauge.operators.parse import parse_logs
 from talkgauge.operators.loads import server_load_second
-from talkgauge.operators.sinks import appload, history_rows
+from talkgauge.operators.sinks import appload, history_rows, hour_report
 from talkgauge.plans.staging import delete_folder
-from talkgauge.schemas import GROUP_NORMAL, GROUP_TEMP, LATE_MS, USER_BROKEN, USER_OFFLINE, USER_ONLINE
+from talkgauge.schemas import (
+    GROUP_NORMAL, GROUP_TEMP, LATE_MS, SPEAK_HOUR_MEASURES, USER_BROKEN, USER_HOUR_MEASURES, USER_OFFLINE, USER_ONLINE,
+)
 from talkgauge.sources.logs import BATCH_LINES, TOPIC_PARTITIONS, raw_from_kafka
 from talkgauge.sources.org import group_org, read_dims, user_org
+from talkgauge.streaming.clocks import closed_seconds
+from talkgauge.streaming.hours import stream_hour_merge, stream_speak_hours, stream_user_hours
 from talkgauge.streaming.processors import (
     SPEAK_TIMES, USER_TIMES, load_schema, online_event_columns, session_columns, stream_accepted,
     stream_group_load, stream_group_steps, stream_load, stream_online, stream_server_record,
@@ -101,6 +107,11 @@ def run_history(rows: DataFrame, table: str, folder: str, checkpoint: str, once:
     return write_batches(rows, f"{folder}/{table}", checkpoint, lambda batch, _: history_rows(batch, table), once)
 
 
+def run_hour_reports(hours: DataFrame, measures: list[str], path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
+    """A stream's hour reports with key and JSON to `path`/batch=<id>."""
+    return write_batches(hours, path, checkpoint, lambda rows, _: hour_report(rows, measures), once)
+
+
 BUCKETS = 64
 
 
@@ -207,82 +218,75 @@ def second_counts(rows: DataFrame, entity: str, late_seconds: int = LATE_MS // 1
     return counted.select(entity, F.unix_millis("window.start").alias("bucket"), "n")
 
 
-def _per_user_second(rows: DataFrame, entity: str, late_seconds: int):
-    return with_event_time(rows).withWatermark("ts", f"{late_seconds} seconds").groupBy(
-        F.col(entity).alias("entity"), "uid", F.window("ts", "1 second")
-    )
-
-
-def user_seconds(online: DataFrame, entity: str, late_seconds: int = LATE_MS // 1000) -> DataFrame:
+def user_seconds(online: DataFrame, entity: str) -> DataFrame:
     """(entity, uid, bucket) of closed seconds, with 1 where the user went on, off or broken."""
-    flags = [
-        F.max(F.when(F.col("event") == e, 1).otherwise(0)).cast("bigint").alias(n)
-        for e, n in zip((USER_ONLINE, USER_OFFLINE, USER_BROKEN), USER_TIMES)
-    ]
-    return _per_user_second(online, entity, late_seconds).agg(*flags).select(
-        "entity", "uid", F.unix_millis("window.start").alias("bucket"), *USER_TIMES
-    )
+    def reduce(rows: pd.DataFrame) -> pd.DataFrame:
+        flags = {n: (rows["event"] == e).astype("int64") for n, e in
+                 zip(USER_TIMES, (USER_ONLINE, USER_OFFLINE, USER_BROKEN))}
+        return pd.DataFrame({"uid": rows["uid"], **flags}).groupby("uid", as_index=False).max()
+
+    rows = online.withColumnRenamed(entity, "entity").select("entity", "seq", "ts_ms", "uid", "event")
+    return closed_seconds(rows, ["uid", "event"], reduce, _second_schema(USER_TIMES, []))
 
 
-def speak_seconds(group_event: DataFrame, entity: str, late_seconds: int = LATE_MS // 1000) -> DataFrame:
+def speak_seconds(group_event: DataFrame, entity: str) -> DataFrame:
     """(entity, uid, bucket) of closed seconds, with event counts and the last get, release or loss."""
-    rows = filter_speak(group_event)
     events = ("GET_MIC", "LOSTMIC_AUTO", "LOSTMIC_REPLACE", "DENT_MIC")
-    counts = [F.count(F.when(F.col("event") == e, 1)).alias(n) for e, n in zip(events, SPEAK_TIMES)]
-    op = F.max(F.when(F.col("event") != "DENT_MIC", F.struct("seq", "event"))).alias("op")
-    return _per_user_second(rows, entity, late_seconds).agg(*counts, op).select(
-        "entity", "uid", F.unix_millis("window.start").alias("bucket"), *SPEAK_TIMES,
-        F.col("op.event").alias("op"),
-    )
+
+    def reduce(rows: pd.DataFrame) -> pd.DataFrame:
+        counts = {n: (rows["event"] == e).astype("int64") for n, e in zip(SPEAK_TIMES, events)}
+        out = pd.DataFrame({"uid": rows["uid"], **counts}).groupby("uid").sum()
+        op = rows[rows["event"] != "DENT_MIC"].groupby("uid")["event"].last()
+        op = op.reindex(out.index).astype(object)
+        return out.assign(op=op.where(op.notna(), None)).reset_index()
+
+    rows = filter_speak(group_event).withColumnRenamed(entity, "entity").select("entity", "seq", "ts_ms", "uid", "event")
+    return closed_seconds(rows, ["uid", "event"], reduce, _second_schema(SPEAK_TIMES, ["op"]))
+
+
+def _second_schema(times: list[str], strings: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in ("entity", "uid")]
+                        + [T.StructField(n, T.LongType()) for n in ["bucket", *times]]
+                        + [T.StructField(n, T.StringType()) for n in strings])
 
 
 def entity_seconds(changes: DataFrame, times: list[str]) -> DataFrame:
-    """Users' changes added up per (entity, bucket, at), closed once a later bucket is seen.
+    """Users' changes added up per (entity, bucket, at) within each task, so no task gets an entity's users.
 
-    The users of a second close together, so they arrive in one trigger; the
-    sum is partial per task, so no task holds an entity's users.
+    The users of a second close together and so come in one trigger.
     """
-    timed = with_event_time(changes, "bucket").withWatermark("ts", "0 seconds")
-    summed = timed.groupBy("entity", "at", F.window("ts", "1 second")).agg(
-        *[F.sum(n).alias(n) for n in [*times, "delta"]]
-    )
-    return summed.select("entity", F.unix_millis("window.start").alias("bucket"), "at", *times, "delta")
-
-
-def _run_load(spark: SparkSession, seconds: DataFrame, changes, gauge: str, times: list[str],
-              folder: str, name: str, once: bool) -> list[StreamingQuery]:
-    """Four linked queries: users' seconds, their changes, entities' seconds, the load."""
-    steps = [
-        (f"{name}_user", lambda rows: rows),
-        (f"{name}_change", changes),
-        (f"{name}_entity", lambda rows: entity_seconds(rows, times)),
-        (f"{name}_load_second", lambda rows: stream_load(rows, gauge, times)),
-    ]
-    queries, rows = [], seconds
-    for table, build in steps:
-        out = build(rows)
-        queries.append(write_table(out, f"{folder}/{table}", f"{folder}/_checkpoints/{table}", once))
-        if once:
-            queries[-1].awaitTermination()
-        rows = read_table(spark, f"{folder}/{table}", out.schema, FILES_PER_TRIGGER)
-    return queries
+    keys, sums = ["entity", "bucket", "at"], [*times, "delta"]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield frame.groupby(keys, as_index=False)[sums].sum()
+
+    return changes.select(*keys, *sums).mapInPandas(
+        run, ", ".join(["entity string", *[f"{c} long" for c in [*keys[1:], *sums]]]))
 
 
-def run_user_load(spark: SparkSession, online: DataFrame, entity: str, folder: str,
-                  once: bool = False) -> list[StreamingQuery]:
+def user_load_stream(online: DataFrame, entity: str) -> DataFrame:
+    """Second loads of users: clocks, seconds, users, and entities are steps of one query."""
+    changes = stream_user_changes(user_seconds(online, entity))
+    return stream_load(entity_seconds(changes, USER_TIMES), "onlines", USER_TIMES)
+
+
+def speak_load_stream(group_event: DataFrame, entity: str) -> DataFrame:
+    """Second loads of speaking, in one query as well."""
+    changes = stream_speak_changes(speak_seconds(group_event, entity))
+    return stream_load(entity_seconds(changes, SPEAK_TIMES), "speakings", SPEAK_TIMES)
+
+
+def run_user_load(online: DataFrame, entity: str, folder: str, once: bool = False) -> StreamingQuery:
     """Online events to `folder`/user_load_second; with `once` to the end of what is there."""
-    return _run_load(
-        spark, user_seconds(online, entity), stream_user_changes, "onlines", USER_TIMES, folder, "user", once
-    )
+    return write_table(user_load_stream(online, entity), f"{folder}/user_load_second",
+                       f"{folder}/_checkpoints/user_load_second", once)
 
 
-def run_speak_load(spark: SparkSession, group_event: DataFrame, entity: str, folder: str,
-                   once: bool = False) -> list[StreamingQuery]:
+def run_speak_load(group_event: DataFrame, entity: str, folder: str, once: bool = False) -> StreamingQuery:
     """Group events to `folder`/speak_load_second; with `once` to the end of what is there."""
-    return _run_load(
-        spark, speak_seconds(group_event, entity), stream_speak_changes, "speakings", SPEAK_TIMES, folder,
-        "speak", once
-    )
+    return write_table(speak_load_stream(group_event, entity), f"{folder}/speak_load_second",
+                       f"{folder}/_checkpoints/speak_load_second", once)
 
 
 def run_job(spark: SparkSession, records: DataFrame, dims: str, folder: str, once: bool = False) -> dict[str, StreamingQuery]:
@@ -291,8 +295,8 @@ def run_job(spark: SparkSession, records: DataFrame, dims: str, folder: str, onc
     `dims` holds the organisation's tables, read anew by every trigger. Tables: log,
     action, group_event, online (with the logins that sessions are made of),
     speaking, group_step (of which the group sets are made), group_load_second,
-    the second loads of servers and companies, server_second, the history of the
-    six event tables, appload, and user_latest, the newest online event of a user.
+    the second and hour loads of servers and companies, server_second, the history of
+    the six event tables and of the four hour reports, appload, and user_latest, the newest online event of a user.
     """
     use_state_store(spark)
     queries: dict[str, StreamingQuery] = {}
@@ -328,14 +332,19 @@ def run_job(spark: SparkSession, records: DataFrame, dims: str, folder: str, onc
     speaking = table("speaking", stream_speaking(group_event))
     steps = table("group_step", stream_group_steps(table("group_accepted", stream_accepted(group_event))))
     group_load = table("group_load_second", stream_group_load(steps))
-    for entity in ("svc", "company"):
-        place = f"{folder}/load_{entity}"
-        for kind, start, rows, column in (
-            ("user", run_user_load, events, entity),
-            ("speak", run_speak_load, group_event, "svc" if entity == "svc" else "gcompany"),
+    for entity, prefix in (("svc", "server"), ("company", "company")):
+        for kind, load, hours, rows, column, measures in (
+            ("user", user_load_stream, stream_user_hours, events, entity, USER_HOUR_MEASURES),
+            ("speak", speak_load_stream, stream_speak_hours, group_event, "svc" if entity == "svc" else "gcompany",
+             SPEAK_HOUR_MEASURES),
         ):
-            linked = start(spark, rows, column, place, once)
-            queries |= {f"load_{entity}_{kind}_{k}": q for k, q in enumerate(linked)}
+            seconds = table(f"load_{entity}/{kind}_load_second", load(rows, column))
+            hour = table(f"load_{entity}/{kind}_load_hour", hours(seconds, rows, column))
+            if entity == "svc":  # the newest mark of a server stays open
+                hour = table(f"load_{entity}/{kind}_load_merge", stream_hour_merge(hour, measures))
+            queries[f"history/{prefix}_{kind}_load"] = run_hour_reports(
+                hour, measures, f"{folder}/history/{prefix}_{kind}_load",
+                f"{folder}/_checkpoints/history/{prefix}_{kind}_load", once)
     server = table("server_second", stream_server_record(
         follow("load_svc/user_load_second", load_schema("onlines", USER_TIMES)), group_load,
         follow("load_svc/speak_load_second", load_schema("speakings", SPEAK_TIMES))))

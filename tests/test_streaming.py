@@ -195,6 +195,14 @@ def test_whole_job(spark, tables, tmp_path):
     view = sinks.latest_per_key(read("history/user_session"), sinks.TABLE_COLUMNS["user_session"])
     assert rows_of(view) == rows_of(sinks.table_view(online.user_sessions(action), "user_session"))
     assert read("appload").count() == read("server_second").count() > 0
+    for prefix, place in (("server", "svc"), ("company", "company")):
+        for kind in ("user", "speak"):
+            seconds, hours = (read(f"load_{place}/{kind}_load_{t}") for t in ("second", "hour"))
+            assert 0 < seconds.select("entity").distinct().count() and seconds.groupBy("entity", "bucket").count().where("count > 1").count() == 0
+            closed = read(f"load_{place}/{kind}_load_merge" if place == "svc" else f"load_{place}/{kind}_load_hour")
+            assert rows_of(read(f"history/{prefix}_{kind}_load"), ["entity", "bucket"]) == rows_of(closed, ["entity", "bucket"])
+            if place == "svc":
+                assert rows_of(closed.drop("dropped")) == rows_of(loads.closed_hours(hours), hours.columns)
 
 
 def test_history_of_a_stream(spark, tables, source, tmp_path):
@@ -214,23 +222,6 @@ def test_speaking(spark, tables, source, tmp_path):
     assert rows_of(records) == rows_of(tables.speaking)
 
 
-@pytest.mark.parametrize("kind", ["user", "speak"])
-def test_second_load_with_gauge_and_gaps(spark, tables, tmp_path, kind):
-    """In two triggers and in time order, so that no row is late."""
-    rows = tables.online if kind == "user" else tables.group_event
-    start = jobs.run_user_load if kind == "user" else jobs.run_speak_load
-    ordered, half = str(tmp_path / "rows"), rows.agg(F.percentile_approx("ts_ms", 0.5)).first()[0]
-    for part in (F.col("ts_ms") < half, F.col("ts_ms") >= half):
-        rows.where(part).coalesce(1).write.mode("append").parquet(ordered)
-        start(spark, jobs.read_table(spark, ordered, rows.schema, 100), "svc", str(tmp_path / "load"), once=True)
-    got = spark.read.parquet(str(tmp_path / "load" / f"{kind}_load_second"))
-    newest = got.groupBy("entity").agg(F.max("bucket").alias("newest"))
-    batch = (loads.user_load_second(tables.user_changes("svc", "keep")) if kind == "user"
-             else loads.speak_load_second(tables.speak_changes("svc", "keep")))
-    closed = batch.join(newest, "entity").where("bucket <= newest").select(got.columns)
-    assert newest.count() == 3 and rows_of(got) == rows_of(closed)
-
-
 def test_seconds_close_at_the_watermark(spark, tmp_path):
     """100.x closes once 105.0 is seen; a trigger later 100.5 is dropped and 101.1 counts."""
     folder = str(tmp_path / "in")
