@@ -31,8 +31,8 @@ def _schema(longs: list[str], strings: list[str]) -> T.StructType:
     )
 
 
-def _in_order(rows: Iterator[pd.DataFrame], by: str = "seq") -> list[dict]:
-    frame = pd.concat(list(rows)).sort_values(by).astype(object)
+def _in_order(rows: Iterator[pd.DataFrame], *by: str) -> list[dict]:
+    frame = pd.concat(list(rows)).sort_values(list(by) or "seq").astype(object)
     return frame.where(frame.notna(), None).to_dict("records")
 
 
@@ -57,12 +57,21 @@ ONLINE = _schema(
 
 
 class OnlineMachine(StatefulProcessor):
-    """Online events of one user; a uoff also carries the login it may pair with."""
+    """Online events of one user; a uoff also carries the login it may pair with.
+
+    A user may start with the newest login and logout of a history (`online_state`).
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._on = handle.getValueState("on", LOGIN)
         self._off = handle.getValueState("off", LOGOUT)
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        (row,) = _in_order([initialState], "uid")
+        for state, name, schema in ((self._on, "on", LOGIN), (self._off, "off", LOGOUT)):
+            if row[f"{name}_ts_ms"] is not None:
+                state.update(tuple(row[f"{name}_{n}"] for n in schema.names))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         on, off = _load(self._on, LOGIN.names), _load(self._off, LOGOUT.names)
         out: list[dict] = []
@@ -98,18 +107,36 @@ class OnlineMachine(StatefulProcessor):
         pass
 
 
-def _stateful(rows: DataFrame, key: list[str], processor: StatefulProcessor, schema: T.StructType) -> DataFrame:
+def _stateful(rows: DataFrame, key: list[str], processor: StatefulProcessor, schema: T.StructType,
+              start: DataFrame | None = None) -> DataFrame:
     return rows.groupBy(*key).transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode="None"
+        statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode="None",
+        initialState=None if start is None else start.groupBy(*key),
     )
 
 
-def stream_online(action: DataFrame) -> DataFrame:
-    """Online events of a stream of actions, each uoff with its user's last login."""
+def online_state(action: DataFrame) -> DataFrame:
+    """What the machine holds of each user after a history of actions: the newest login and logout.
+
+    A row replaces what is held unless it is older, so it is the greatest by (time, arrival).
+    Columns are uid, and on_ and off_ with those of the state.
+    """
+    parts = [("on", LOGIN, F.col("event").isin(LOGIN_EVENTS)), ("off", LOGOUT, ~F.col("event").isin(LOGIN_EVENTS))]
+    held = filter_online(action).groupBy("uid").agg(*[
+        F.max(F.when(mine, F.struct("ts_ms", "seq", *schema.names[1:]))).alias(name) for name, schema, mine in parts])
+    return held.select("uid", *[F.col(f"{name}.{c}").alias(f"{name}_{c}") for name, schema, _ in parts for c in schema.names])
+
+
+def stream_online(action: DataFrame, history: DataFrame | None = None) -> DataFrame:
+    """Online events of a stream of actions, each uoff with its user's last login.
+
+    `history` holds the actions before the stream's first: the first trigger fills the
+    state with what they leave, so that the stream goes on where they end.
+    """
     rows = filter_online(action).select(
         "seq", "ts_ms", "svc", "dt", "event", "uid", "company", "agent", *CLIENT_COLUMNS
     )
-    return _stateful(rows, ["uid"], OnlineMachine(), ONLINE)
+    return _stateful(rows, ["uid"], OnlineMachine(), ONLINE, None if history is None else online_state(history))
 
 
 def online_event_columns(online: DataFrame) -> DataFrame:
@@ -265,8 +292,7 @@ class ServerGroups(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         clock, groups, temps, g, t = self._last.get() or (None, 0, 0, 0, 0)
         out = []
-        frame = pd.concat(list(rows))
-        for row in _in_order([frame.assign(order=frame["seq"] * 3 + frame["kind"])], "order"):
+        for row in _in_order(rows, "seq", "kind"):
             if row["kind"] == MOVE:
                 step, temp = int(row["step"]), row["gtype"] == GROUP_TEMP
                 groups, temps = groups + (0 if temp else step), temps + (step if temp else 0)

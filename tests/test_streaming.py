@@ -13,6 +13,14 @@ from talkgauge.streaming import jobs, processors
 PARTS = 3
 
 
+@pytest.fixture(scope="module", autouse=True)
+def few_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.fixture(scope="module")
 def source(spark, tmp_path_factory):
     """Write a table as one file per trigger, in order of arrival, and follow it."""
@@ -48,6 +56,20 @@ def test_online_machine_and_sessions(spark, tables, source, tmp_path):
     assert rows_of(processors.session_columns(online)) == rows_of(tables.sessions)
 
 
+def test_online_machine_goes_on_where_history_ends(spark, tables, source, tmp_path):
+    """Batch of the first half and a stream of the second, in three triggers, give the batch of all."""
+    half = tables.action.agg(F.max("seq")).first()[0] // 2
+    history = tables.action.where(F.col("seq") < half)
+    rest = tables.action.where(F.col("seq") >= half).withColumn("at", F.col("seq")).withColumn("seq", F.col("seq") - half)
+    stream = source(rest).withColumn("seq", F.col("at")).drop("at")
+    online = run(spark, processors.stream_online(stream, history), str(tmp_path))
+    late = F.col("seq") >= half
+    assert rows_of(processors.online_event_columns(online)) == rows_of(
+        tables.online.where(late).withColumn("pos", F.col("pos").cast("bigint")))
+    assert rows_of(processors.session_columns(online)) == rows_of(tables.sessions.where(late))
+    assert rows_of(processors.session_columns(online)) != []
+
+
 def test_current_state_is_upserted(spark, tables, source, tmp_path):
     logins = filter_events(source(tables.action), LOGIN_EVENTS).select("uid", "ts_ms", "seq", "svc")
     query = jobs.keep_latest(
