@@ -9,9 +9,10 @@ boosted by Newton's steps, and their margin becomes a probability by isotonic
 regression on documents that neither the lexicon nor the trees have seen. Whole
 texts are read.
 
-Bounds: `SAMPLE` labelled documents of each class, drawn by a hash of the id: two
-fifths of them for the lexicon, two for the trees, one for the calibration. The
-lexicon keeps terms found in `SUPPORT` toxic documents or more whose odds are
+Bounds: `SAMPLE` labelled documents of each class, drawn by a hash of the id. A fifth
+is for the calibration. The others are cut in two halves, and the features of each that
+the trees learn from come from a lexicon of the other half, so that no document
+meets its own words; texts are scored with the lexicon of both halves. A lexicon keeps terms found in `SUPPORT` toxic documents or more whose odds are
 `exp(ODDS)` times those of clean ones, at most `LEXICON` of them by weight.
 
 Defined cases: a null text counts as empty, and an empty text has features of its
@@ -281,11 +282,13 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         "id", "y", F.pmod(F.xxhash64(F.lit("part"), "id"), F.lit(5)).alias("part"))
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     rows = stage(rows.join(F.broadcast(picked), "id").dropDuplicates(["id"]), "toxic_sample")  # `sample` ids a class
-    lexicon = learn_lexicon(rows.where("part < 2"), "text")
-    rest = _collected(rows.where("part >= 2"), lexicon)
-    if rest is None or len(set(rest[0])) < 2:
+    halves = [rows.where("part < 2"), rows.where("part IN (2, 3)")]
+    lexicon = learn_lexicon(rows.where("part < 4"), "text")
+    crossed = [(half, learn_lexicon(other, "text")) for half, other in zip(halves, halves[::-1], strict=True)]
+    parts = [_collected(half, words) for half, words in [*crossed, (rows.where("part = 4"), lexicon)]]
+    y, part, x = (np.concatenate(c) for c in zip(*parts, strict=True))
+    if len(set(y)) < 2:
         return Model(prior)
-    y, part, x = rest
     weight = np.where(y == 1, 1 / rates[1], 1 / rates[0])
     weight = weight / weight.mean()
     train = part < 4
@@ -295,7 +298,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     return Model(prior, lexicon, forest, isotonic(forest.margin(x[~train]), y[~train], weight[~train]))
 
 
-def _collected(rows: DataFrame, lexicon: dict[str, float]) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+def _collected(rows: DataFrame, lexicon: dict[str, float]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Labels, parts and features of the sample, in the order of the ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -306,9 +309,7 @@ def _collected(rows: DataFrame, lexicon: dict[str, float]) -> tuple[np.ndarray,
     key = rows.schema["id"].dataType.simpleString()
     table = rows.select("id", "y", F.col("part").cast("int").alias("part"), "text").mapInArrow(
         run, f"id {key}, y int, part int, x array<double>").orderBy("id").toArrow()
-    if not table.num_rows:
-        return None
-    x = table["x"].combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
+    x = table["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
     return table["y"].to_numpy(), table["part"].to_numpy(), x
 
 
