@@ -19,7 +19,6 @@ from talkgauge.operators.enrich import filter_speak, group_events, user_actions
 from talkgauge.operators.parse import parse_logs
 from talkgauge.operators.loads import server_load_second
 from talkgauge.operators.sinks import appload, history_rows, hour_report
-from talkgauge.plans.staging import delete_folder
 from talkgauge.schemas import (
     GROUP_NORMAL, GROUP_TEMP, LATE_MS, SPEAK_HOUR_MEASURES, USER_BROKEN, USER_HOUR_MEASURES, USER_OFFLINE, USER_ONLINE,
 )
@@ -32,6 +31,7 @@ from talkgauge.streaming.processors import (
     stream_group_load, stream_group_steps, stream_load, stream_online, stream_server_record,
     stream_speak_changes, stream_speaking, stream_user_changes,
 )
+from talkgauge.streaming.sets import stream_group_sets, stream_seen_sets, stream_user_sets
 
 #: Files that a trigger of a linked query takes on.
 FILES_PER_TRIGGER = 1000
@@ -112,73 +112,6 @@ def run_hour_reports(hours: DataFrame, measures: list[str], path: str, checkpoin
     return write_batches(hours, path, checkpoint, lambda rows, _: hour_report(rows, measures), once)
 
 
-BUCKETS = 64
-
-
-def _manifest(spark: SparkSession, folder: str, batch_id: int) -> dict[int, int]:
-    """The version of each bucket as of a trigger; at most one row a bucket."""
-    path = f"{folder}/manifest/batch={batch_id}"
-    if batch_id < 0 or not _exists(spark, f"{path}/_SUCCESS"):
-        return {}
-    return {r["bucket"]: r["version"] for r in spark.read.schema("bucket int, version long").parquet(path).collect()}
-
-
-def _bucket_paths(folder: str, versions: dict[int, int]) -> list[str]:
-    return [f"{folder}/version={v}/bucket={b}" for b, v in sorted(versions.items())]
-
-
-def upsert_latest(folder: str, key: str, order: list[str], buckets: int = BUCKETS):
-    """A foreachBatch function that keeps the newest row per key in `folder`.
-
-    The table is cut into buckets of keys. A trigger rewrites the buckets its rows
-    fall in as its own version and lists the version of every bucket, so a
-    repeated trigger gives the same again. Versions that neither this list nor
-    the one before names are removed.
-    """
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        spark, columns = batch.sparkSession, batch.columns
-        bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-        versions = _manifest(spark, folder, batch_id - 1)
-        touched = [r["bucket"] for r in batch.select(bucket.alias("bucket")).distinct().collect()]
-        old = {b: versions[b] for b in touched if b in versions}
-        if old:
-            batch = batch.unionByName(spark.read.schema(batch.schema).parquet(*_bucket_paths(folder, old)))
-        rest = [c for c in columns if c != key and c not in order]
-        newest = batch.groupBy(key).agg(F.max(F.struct(*order, *rest)).alias("last")).select(
-            key, *[F.col("last")[c].alias(c) for c in [*order, *rest]]
-        )
-        if touched:
-            newest.select(*columns, bucket.alias("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(
-                f"{folder}/version={batch_id}"
-            )
-        now = versions | {b: batch_id for b in touched}
-        spark.createDataFrame(sorted(now.items()), "bucket int, version long").coalesce(1).write.mode(
-            "overwrite"
-        ).parquet(f"{folder}/manifest/batch={batch_id}")
-        before = _manifest(spark, folder, batch_id - 2)
-        for path in set(_bucket_paths(folder, before)) - set(_bucket_paths(folder, versions) + _bucket_paths(folder, now)):
-            delete_folder(spark, path)
-        delete_folder(spark, f"{folder}/manifest/batch={batch_id - 2}")
-
-    return apply
-
-
-def read_latest(spark: SparkSession, folder: str, schema) -> DataFrame:
-    """The current-state table as of the last trigger that ended."""
-    at = spark.read.schema("bucket int, version long, batch long").parquet(f"{folder}/manifest")
-    newest = at.agg(F.max("batch")).first()[0]
-    return spark.read.schema(schema).parquet(*_bucket_paths(folder, _manifest(spark, folder, newest)))
-
-
-def keep_latest(rows: DataFrame, folder: str, checkpoint: str, key: str, order: list[str],
-                once: bool = False) -> StreamingQuery:
-    """Upsert a stream into a current-state table, newest row per key."""
-    writer = rows.writeStream.foreachBatch(upsert_latest(folder, key, order)).option(
-        "checkpointLocation", checkpoint
-    )
-    return (writer.trigger(availableNow=True) if once else writer).start()
-
-
 def stream_actions(raw: DataFrame, user_org: DataFrame) -> DataFrame:
     """Actions of a stream of raw lines; the organisation is joined as a static table."""
     return user_actions(parse_logs(raw), user_org)
@@ -296,7 +229,8 @@ def run_job(spark: SparkSession, records: DataFrame, dims: str, folder: str, onc
     action, group_event, online (with the logins that sessions are made of),
     speaking, group_step (of which the group sets are made), group_load_second,
     the second and hour loads of servers and companies, server_second, the history of
-    the six event tables and of the four hour reports, appload, and user_latest, the newest online event of a user.
+    the six event tables and of the four hour reports, appload, and the changes of the
+    user, group and seen sets below set_change.
     """
     use_state_store(spark)
     queries: dict[str, StreamingQuery] = {}
@@ -330,7 +264,11 @@ def run_job(spark: SparkSession, records: DataFrame, dims: str, folder: str, onc
     online = table("online", stream_online(action))
     events, sessions = online_event_columns(online), session_columns(online)
     speaking = table("speaking", stream_speaking(group_event))
-    steps = table("group_step", stream_group_steps(table("group_accepted", stream_accepted(group_event))))
+    accepted = table("group_accepted", stream_accepted(group_event))
+    steps = table("group_step", stream_group_steps(accepted))
+    for name, changes in (("user", stream_user_sets(events)), ("group", stream_group_sets(accepted)),
+                          ("seen", stream_seen_sets(action))):
+        table(f"set_change/{name}", changes)
     group_load = table("group_load_second", stream_group_load(steps))
     for entity, prefix in (("svc", "server"), ("company", "company")):
         for kind, load, hours, rows, column, measures in (
@@ -357,9 +295,6 @@ def run_job(spark: SparkSession, records: DataFrame, dims: str, folder: str, onc
     for name, rows in history.items():
         queries[f"history/{name}"] = run_history(
             rows, name, f"{folder}/history", f"{folder}/_checkpoints/history/{name}", once)
-    queries["user_latest"] = keep_latest(
-        events.where(F.col("event") != USER_BROKEN).select("uid", "seq", "pos", "event", "svc"),
-        f"{folder}/user_latest", f"{folder}/_checkpoints/user_latest", "uid", ["seq", "pos"], once)
     if once:
         for query in queries.values():
             query.awaitTermination()

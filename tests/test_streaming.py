@@ -1,14 +1,15 @@
 """Streams in several triggers against the batch transforms."""
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows_of
 from talkgauge.operators import loads, windows
-from talkgauge.operators.enrich import filter_events
-from talkgauge.schemas import LOGIN_EVENTS
+from talkgauge.plans.queries import sink_state_sets
 from talkgauge.sources.events import raw_lines
-from talkgauge.streaming import jobs, processors
+from talkgauge.streaming import jobs, processors, sets
 
 PARTS = 3
 
@@ -70,41 +71,6 @@ def test_online_machine_goes_on_where_history_ends(spark, tables, source, tmp_pa
     assert rows_of(processors.session_columns(online)) != []
 
 
-def test_current_state_is_upserted(spark, tables, source, tmp_path):
-    logins = filter_events(source(tables.action), LOGIN_EVENTS).select("uid", "ts_ms", "seq", "svc")
-    query = jobs.keep_latest(
-        logins, str(tmp_path / "state"), str(tmp_path / "checkpoint"), "uid", ["ts_ms", "seq"], once=True)
-    query.awaitTermination()
-    got = jobs.read_latest(spark, str(tmp_path / "state"), logins.schema)
-    newest = filter_events(tables.action, LOGIN_EVENTS).groupBy("uid").agg(
-        F.max(F.struct("ts_ms", "seq", "svc")).alias("last")).select("uid", "last.*")
-    assert rows_of(got, newest.columns) == rows_of(newest)
-
-
-def test_upsert_rewrites_what_it_touches(spark, tmp_path):
-    """A trigger with one key rewrites one bucket, a repeated one changes nothing, old versions go."""
-    folder, schema = str(tmp_path), "uid string, ts_ms long, seq long, svc string"
-
-    def trigger(n, rows):
-        jobs.upsert_latest(folder, "uid", ["ts_ms", "seq"])(spark.createDataFrame(rows, schema), n)
-
-    def state():
-        return {r["uid"]: r["ts_ms"] for r in jobs.read_latest(spark, folder, schema).collect()}
-
-    def buckets(n):
-        return sorted(p.name for p in (tmp_path / f"version={n}").glob("bucket=*"))
-
-    trigger(0, [(f"u{k}", k, k, "s") for k in range(300)])
-    assert len(buckets(0)) > 50
-    for _ in range(2):
-        trigger(1, [("u7", 1000, 1, "s"), ("u7", 5, 2, "s")])
-        assert len(buckets(1)) == 1 and len(state()) == 300 and state()["u7"] == 1000
-    trigger(2, [("u7", 999, 3, "s"), ("u7", 2000, 4, "s")])
-    trigger(3, [("u7", 2001, 5, "s")])
-    assert state()["u7"] == 2001 and len(state()) == 300
-    assert buckets(3) == buckets(2) and not buckets(1)
-
-
 def test_numbered_log_is_followed_in_order(spark, tables, tmp_path):
     """Records of uneven partitions in two triggers, a new user between them, a restart and a repeated trigger."""
     records = str(tmp_path / "records")
@@ -211,9 +177,11 @@ def test_whole_job(spark, tables, tmp_path):
     members = groups.membership(groups.accepted_in_out(group_event))
     lives = processors.group_lives_of(read("group_step"))
     assert rows_of(groups.group_members(lives)) == rows_of(groups.group_members(members))
-    latest = jobs.read_latest(spark, f"{out}/user_latest", "uid string, seq long, pos long, event string, svc string")
-    state = online.user_state(events).where("state = 'online'")
-    assert rows_of(latest.where("event = 'uon'"), ["uid"]) == rows_of(state, ["uid"])
+    changes = read("set_change/user").unionByName(read("set_change/group"))
+    now = members.agg(F.max("ts_ms")).first()[0]
+    inside = sets.sets_of(changes, now).unionByName(read("set_change/seen"))
+    part = SimpleNamespace(members=members, lives=groups.group_lives(members), online=events, action=action)
+    assert rows_of(inside) == rows_of(sink_state_sets(part).where("key IS NOT NULL"))
     view = sinks.latest_per_key(read("history/user_session"), sinks.TABLE_COLUMNS["user_session"])
     assert rows_of(view) == rows_of(sinks.table_view(online.user_sessions(action), "user_session"))
     assert read("appload").count() == read("server_second").count() > 0
