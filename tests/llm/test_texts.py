@@ -193,6 +193,22 @@ def test_network_adds_what_it_was_shown(spark):
     assert secrets.fit(docs.limit(0)) is None
 
 
+def test_empty_tables_repeated_rows_and_clashes(spark):
+    """Secrets and encoding: no rows give none, repeated rows are each judged alike, other columns stay."""
+    none = documents(spark, []).select("doc_id", "text")
+    assert secrets.op10_secrets(none).count() == 0 and bpe.op5_bpe(none).count() == 0
+    twice = documents(spark, ["secret = abcdef12 and more", None, ""])
+    twice = twice.unionByName(twice)
+    for run in (secrets.op10_secrets, bpe.op5_bpe):
+        rows = sorted((tuple(r) for r in run(twice.select("doc_id", "text")).collect()), key=repr)
+        assert len(rows) == 6 and rows[::2] == rows[1::2]
+    clash = twice.withColumn("findings", F.lit("mine")).withColumn("FINDINGS_", F.lit(1))
+    scanned, name = secrets.scan(clash, None)
+    assert name.lower() not in {c.lower() for c in clash.columns} and scanned.columns == [*clash.columns, name]
+    found = {(r["doc_id"], r["findings"], len(r[name])) for r in scanned.collect()}
+    assert found == {(1, "mine", 1), (2, "mine", 0), (3, "mine", 0)}
+
+
 def test_network_trained_on_base_spans_adds_unlabelled_keys(spark):
     """Keys that nothing labels are no negatives, and neither they nor rare findings switch the network off."""
     rng = random.Random(5)
