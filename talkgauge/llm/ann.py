@@ -1,27 +1,34 @@
 """Nearest neighbours by multiprobe p-stable hashing.
 
-Largest inner product becomes smallest distance by one more component: a vector
-gets what its norm lacks to the largest one, a query is scaled to that norm and
-gets 0, so both lie on one sphere. A table projects on a few Gaussian directions and cuts each projection
-into slots; the slots of a vector are its bucket. For a query, the chance that a
-neighbour at the usual distance lies in a slot is known from where the query's
-own projection falls, so all buckets are visited in the order of that chance,
-until the visited ones add up to `mass`. Candidates of all tables are merged, and
-ranked by their exact inner product on the vectors as given.
-
-A bucket is cut by a hash into blocks of about `BLOCK` vectors and the queries
-that visit it into blocks as well, so a common vector or a common bucket makes more
-blocks and not larger ones. A block keeps each query's best `k`, and the best of
-all blocks are taken by a limit per query before and after the shuffle.
-
-Bounds: directions, slots, usual distance and mass are fitted on `SAMPLE` vectors;
-the mass rises until the sample's own recall is `RECALL`. Every vector is indexed,
-none is left out of a bucket.
+Vectors are put into ranges by norm, each down to half of the one above, and each
+range has an index of its own, so that a few long vectors don't press the others
+together. In a range the largest inner product becomes the smallest distance by
+one more component: a vector gets what its norm lacks to the range's largest one, a
+query is scaled to that norm and gets 0, so both lie on one sphere. A table projects on a few
+Gaussian directions, drawn with the covariance of the vectors, and cuts each projection into
+slots; the slots of a vector are its bucket. The directions grow with the logarithm
+of the table, so that a bucket holds about `BUCKET` vectors at any size. For a query, the
+chance that a neighbour at the usual distance lies in a bucket is that of its range
+times those of its slots, known from where the query's own projection falls. Buckets are
+visited in the order of that chance until the visited ones add up to `mass`; those
+below `FLOOR` are not listed, as their number grows with the table. Candidates of all tables are merged,
+and ranked by their exact inner product on the vectors as given.
+
+Equal vectors are one vector with the smallest `k` + 1 of its ids, which is all that a query
+can return of them, and are asked once. Vectors and queries meet by bucket. A bucket that holds or is
+visited by more than `BLOCK` is cut by hashes into blocks of about that many. A block
+keeps each query's best `k` + 1 ids, the query's own among them. A query that has met fewer
+ids than it must return visits all buckets.
+
+Bounds: directions, slots, shares of the ranges, usual distances and mass are fitted on
+`SAMPLE` distinct vectors, those of the smallest hashes; the mass rises until the sample's own mean
+recall is `RECALL` and its second percentile `LEAST`. Every vector is indexed.
 
 Defined cases: vectors that are null, zero, of another length than most, or with
 null or non-finite components take no part; a query gets all candidates if they
-are fewer than `k`; ties go to the smaller id; rows that repeat an id with the
-same vector are one vector, and a query's own id is never its candidate.
+are fewer than `k`; ties go to the smaller id; an id with several vectors is one
+candidate, at its best, and asks with all of them, each candidate counting at its best; a
+query's own id is never its candidate.
 """
 
 from __future__ import annotations
@@ -35,19 +42,31 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from talkgauge.llm.vectors import dimension, matrix, sample, usable
+from talkgauge.llm.vectors import dimension, matrix, usable
+from talkgauge.operators.lookup import lookup_join
 from talkgauge.plans.staging import stage
 
-SAMPLE, TABLES, DIRECTIONS, SLOTS, BLOCK, RECALL = 20_000, 2, 3, 5, 4096, 0.95
+SAMPLE, TABLES, SLOTS, RANGES, BUCKET, BLOCK = 20_000, 2, 2, 40, 64, 4096
+RECALL, LEAST, FLOOR = 0.97, 0.7, 1e-5
+#: Queries of the sample, and queries that are judged at a time.
+ASKED, STEP = 256, 64
+MASSES = (*(m / 20 for m in range(2, 20)), 0.98, 0.99, 0.995)
 
 
 @dataclass
-class Index:
+class Range:
+    """The index of vectors up to the norm `top`: `directions` and their slots, buckets from `first` on."""
+
     top: float
-    directions: np.ndarray
+    directions: int
+    first: int
     edges: np.ndarray
-    reach: float
-    mass: float = 0.5
+    reach: float = 1.0
+    share: float = 1.0
+
+    @property
+    def size(self) -> int:
+        return SLOTS**self.directions
 
     def lifted(self, x: np.ndarray) -> np.ndarray:
         """Vectors with the component that makes inner products distances."""
@@ -59,29 +78,66 @@ class Index:
         q = q * (self.top / np.linalg.norm(q, axis=1, keepdims=True))
         return np.concatenate([q, np.zeros((len(q), 1))], axis=1)
 
+
+@dataclass
+class Index:
+    directions: np.ndarray
+    ranges: dict[int, Range]
+    top: float
+    mass: float = 2.0
+
     def buckets(self, x: np.ndarray) -> np.ndarray:
         """The bucket of each vector in each table."""
-        p = np.einsum("nd,tdk->ntk", self.lifted(x), self.directions)
-        slots = (p[..., None] >= self.edges[None]).sum(-1)
-        return (slots * SLOTS ** np.arange(DIRECTIONS)).sum(-1)
-
-    def probes(self, q: np.ndarray, mass: float | None = None) -> np.ndarray:
-        """Whether each query visits each bucket of each table: (query, table, bucket)."""
-        p = np.einsum("nd,tdk->ntk", self.scaled(q), self.directions)
-        lean = 1 - self.reach**2 / (2 * self.top**2)
-        spread = self.top * np.sqrt(max(1e-12, 1 - lean**2)) * np.linalg.norm(self.directions, axis=1)
-        spread = spread / np.sqrt(self.directions.shape[1])
-        z = (self.edges[None] - lean * p[..., None]) / spread[None, ..., None]
-        upto = np.concatenate([np.zeros((*z.shape[:3], 1)), _normal(z), np.ones((*z.shape[:3], 1))], axis=3)
-        slot = np.diff(upto, axis=3)
-        chance = np.ones((*slot.shape[:2], 1))
-        for k in range(DIRECTIONS):
-            chance = (slot[:, :, k, :, None] * chance[:, :, None, :]).reshape(*slot.shape[:2], -1)
-        order = np.argsort(-chance, axis=2, kind="stable")
-        before = np.cumsum(np.take_along_axis(chance, order, 2), axis=2) - np.take_along_axis(chance, order, 2)
-        visited = np.zeros(chance.shape, bool)
-        np.put_along_axis(visited, order, before < (self.mass if mass is None else mass), 2)
-        return visited
+        out, of = np.zeros((len(x), TABLES), np.int64), range_of(x, self.top)
+        for j in np.unique(of):
+            r, rows = self.ranges[j], np.flatnonzero(of == j)
+            p = np.einsum("nd,tdk->ntk", r.lifted(x[rows]), self.directions[:, :, :r.directions])
+            slots = (p[..., None] >= r.edges).sum(-1)
+            out[rows] = r.first + np.arange(TABLES) * r.size + (slots * SLOTS ** np.arange(r.directions)).sum(-1)
+        return out
+
+    def chances(self, q: np.ndarray, t: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, bucket, chance of a neighbour) of all buckets of a table that are not below `FLOOR`."""
+        parts = []
+        for r in self.ranges.values():
+            directions, asked = self.directions[t, :, :r.directions], r.scaled(q)
+            p = asked @ directions
+            lean = 1 - r.reach**2 / (2 * r.top**2)
+            across = np.sqrt(np.maximum((directions**2).sum(0) - (p / r.top) ** 2, 1e-12) / (len(directions) - 1))
+            spread = r.top * math.sqrt(max(1e-12, 1 - lean**2)) * across
+            z = (r.edges[t] - lean * p[..., None]) / spread[..., None]
+            upto = np.concatenate([np.zeros((*z.shape[:2], 1)), _normal(z), np.ones((*z.shape[:2], 1))], axis=2)
+            slot = np.diff(upto, axis=2)
+            i, code, chance = np.arange(len(q)), np.zeros(len(q), np.int64), np.full(len(q), r.share)
+            for k in range(r.directions):
+                chance = (chance[:, None] * slot[i, k]).ravel()
+                code = (code[:, None] + SLOTS**k * np.arange(SLOTS)).ravel()
+                keep = chance >= FLOOR
+                i, code, chance = np.repeat(i, SLOTS)[keep], code[keep], chance[keep]
+            parts.append((i, r.first + t * r.size + code, chance))
+        return tuple(np.concatenate(column) for column in zip(*parts, strict=True))
+
+    def order(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, bucket, chance of the buckets that come before it) for all tables."""
+        parts = []
+        for s in range(0, len(q), STEP):
+            for t in range(TABLES):
+                i, bucket, chance = self.chances(q[s:s + STEP], t)
+                by = np.lexsort((bucket, -chance, i))
+                i, bucket, chance = i[by], bucket[by], chance[by]
+                before = np.cumsum(chance) - chance
+                parts.append((s + i, bucket, before - before[np.searchsorted(i, i)]))
+        return tuple(np.concatenate(column) for column in zip(*parts, strict=True))
+
+    def probes(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(query, bucket) of all visits."""
+        i, bucket, before = self.order(q)
+        return i[before < self.mass], bucket[before < self.mass]
+
+
+def range_of(x: np.ndarray, top: float) -> np.ndarray:
+    """The norm range of each vector, from 0 for those above half of `top`."""
+    return np.clip(np.floor(np.log2(top) - np.log2(np.linalg.norm(x, axis=1))), 0, RANGES - 1).astype(int)
 
 
 def _normal(z: np.ndarray) -> np.ndarray:
@@ -89,61 +145,83 @@ def _normal(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(1.5976 * z + 0.07056 * z**3, -40, 40)))
 
 
-def fit(x: np.ndarray, top: float, k: int, seed: int = 11) -> Index:
-    """The index of a sample `x` of vectors whose largest norm is `top`."""
-    rng = np.random.default_rng(seed)
-    dim = x.shape[1]
-    index = Index(top, rng.normal(size=(TABLES, dim + 1, DIRECTIONS)), np.zeros((TABLES, DIRECTIONS, SLOTS - 1)), 1.0)
-    p = np.einsum("nd,tdk->ntk", index.lifted(x), index.directions)
-    index.edges = np.moveaxis(np.quantile(p, np.arange(1, SLOTS) / SLOTS, axis=0), 0, -1)
-    q = x[:: max(1, len(x) // 256)]
-    score = q @ x.T
-    score[np.arange(len(q)), np.arange(0, len(x), max(1, len(x) // 256))[: len(q)]] = -np.inf
-    near = np.argsort(-score, axis=1)[:, : min(k, len(x) - 1)]
+def _met(i: np.ndarray, bucket: np.ndarray, near: np.ndarray) -> np.ndarray:
+    """Whether query n visits one of the buckets near[n, k] of its neighbours k."""
+    wide = int(max(bucket.max(initial=0), near.max(initial=0))) + 1
+    wanted = np.arange(len(near))[:, None, None] * wide + near
+    return np.isin(wanted, np.unique(i * wide + bucket)).any(-1)
+
+
+def fit(x: np.ndarray, sizes: dict[int, int], top: float, k: int, seed: int = 11) -> Index:
+    """The index of a sample `x` of a table whose norm ranges hold `sizes` vectors."""
+    dim, of = x.shape[1], range_of(x, top)
+    index, first = Index(np.zeros((TABLES, dim + 1, 0)), {}, top), 0
+    cov = np.zeros((dim + 1, dim + 1))
+    for j, n in sorted(sizes.items()):
+        drawn = (of == j).sum()
+        directions = max(0, round(math.log(n / BUCKET, SLOTS))) if drawn >= 10 * SLOTS else 0
+        r = index.ranges[j] = Range(top / 2.0**j, directions, first, np.zeros((TABLES, directions, SLOTS - 1)))
+        first += TABLES * r.size
+        if drawn:
+            lifted = r.lifted(x[of == j]) / r.top
+            lifted -= lifted.mean(0)
+            cov += lifted.T @ lifted
+    value, axes = np.linalg.eigh(cov)
+    value = np.maximum(value, 1e-6 * value.max()) if value.max() > 0 else np.ones(dim + 1)
+    normal = np.random.default_rng(seed).normal(size=(TABLES, dim + 1, max(r.directions for r in index.ranges.values())))
+    index.directions = np.einsum("de,tek->tdk", axes * np.sqrt(value / value.max()), normal)
+    for j, r in index.ranges.items():
+        if r.directions:
+            p = np.einsum("nd,tdk->ntk", r.lifted(x[of == j]), index.directions[:, :, :r.directions])
+            r.edges = np.moveaxis(np.quantile(p, np.arange(1, SLOTS) / SLOTS, axis=0), 0, -1)
+    at = np.arange(0, len(x), max(1, len(x) // ASKED))
+    score = x[at] @ x.T
+    score[np.arange(len(at)), at] = -np.inf
+    near = np.argsort(-score, axis=1, kind="stable")[:, :min(k, len(x) - 1)]
     if near.shape[1] == 0:
         return index
-    gap = np.linalg.norm(index.scaled(q)[:, None] - index.lifted(x)[near], axis=2)
-    index.reach = max(float(np.median(gap)), 1e-9 * top)
-    bucket = index.buckets(x)
-    for mass in np.arange(0.3, 1.0, 0.05):
-        index.mass = float(mass)
-        visited = index.probes(q)
-        hit = np.zeros(near.shape, bool)
-        for t in range(TABLES):
-            hit |= np.take_along_axis(visited[:, t], bucket[near, t], 1)
-        if hit.mean() >= RECALL:
+    for j, r in index.ranges.items():
+        i, m = np.nonzero(of[near] == j)
+        r.share = (len(i) + 0.5) / (near.size + 0.5 * len(index.ranges))
+        gap = np.linalg.norm(r.scaled(x[at][i]) - r.lifted(x[near[i, m]]), axis=1)
+        r.reach = max(float(np.median(gap)), 1e-9 * r.top) if len(i) else r.top
+    i, bucket, before = index.order(x[at])
+    held = index.buckets(x)[near]
+    for mass in MASSES:
+        recall = _met(i[before < mass], bucket[before < mass], held).mean(1)
+        if recall.mean() >= RECALL and np.quantile(recall, 0.02) >= LEAST:
+            index.mass = mass
             return index
-    index.mass = 2.0
     return index
 
 
 def best_of(table: pa.Table, queries: pa.Table, k: int, dim: int) -> pa.Table:
-    """The best `k` of a block for each query, leaving out what an earlier table has found."""
-    empty = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()),
-                      "score": pa.array([], pa.float64())})
-    if not table.num_rows or not queries.num_rows:
-        return empty
-    ids, vec = table["id"].to_numpy(), matrix(table["vec"], dim)
-    asked, q = queries["id"].to_numpy(), matrix(queries["vec"], dim)
-    t = table["t"][0].as_py()
-    score = q @ vec.T
-    score[asked[:, None] == ids[None, :]] = -np.inf
-    for earlier in range(t):
-        seen = np.unpackbits(np.frombuffer(b"".join(queries["visited"].to_pylist()), np.uint8).reshape(len(q), -1), axis=1)
-        bucket = table["buckets"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1)[:, earlier]
-        score[seen[:, earlier * SLOTS**DIRECTIONS + bucket] == 1] = -np.inf
-    by_id = np.argsort(ids, kind="stable")
-    score, ids, vec = score[:, by_id], ids[by_id], vec[by_id]
-    n = min(k, len(ids))
-    at = np.argpartition(-score, n - 1, axis=1)[:, :n]
-    edge = np.take_along_axis(score, at, 1).min(axis=1, keepdims=True)
-    keep = np.zeros(score.shape, bool)
-    np.put_along_axis(keep, at, True, 1)
-    for r in np.flatnonzero(((score >= edge) & np.isfinite(score)).sum(axis=1) > n):  # ties at the edge: smaller ids
-        keep[r] = False
-        keep[r, np.lexsort((ids, -score[r]))[:n]] = True
-    i, j = np.nonzero(keep & np.isfinite(score))
-    return pa.table({"query_id": asked[i], "vec_id": ids[j], "score": np.einsum("nd,nd->n", q[i], vec[j])})
+    """(h1, h2, vec_id, score): each query's best `k` ids of a block, ties to smaller ids."""
+    parts: list[tuple] = []
+    if table.num_rows and queries.num_rows:
+        lists = table["ids"].combine_chunks()
+        ids, owner = lists.flatten().to_numpy(), np.repeat(np.arange(table.num_rows), lists.value_lengths().to_numpy())
+        by_id = np.lexsort((owner, ids))
+        ids, vec = ids[by_id], matrix(table["vec"], dim)[owner[by_id]]
+        starts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+        ends, n = np.append(starts[1:], len(ids)), min(k, len(starts))
+        asked, h1, h2 = matrix(queries["vec"], dim), queries["h1"].to_numpy(), queries["h2"].to_numpy()
+        for s in range(0, len(asked), 512):
+            q = asked[s:s + 512]
+            whole = q @ vec.T
+            score = np.maximum.reduceat(whole, starts, axis=1) if len(starts) < len(ids) else whole
+            at = np.argpartition(-score, n - 1, axis=1)[:, :n]
+            edge = np.take_along_axis(score, at, 1).min(axis=1, keepdims=True)
+            for r in np.flatnonzero((score >= edge).sum(axis=1) > n):  # ties at the edge: smaller ids
+                at[r] = np.argsort(-score[r], kind="stable")[:n]
+            i, j = np.repeat(np.arange(len(q)), n), at.ravel()
+            pick = starts[j]
+            for m in np.flatnonzero(ends[j] - pick > 1):  # an id with several vectors: the best of them
+                pick[m] += whole[i[m], pick[m]:ends[j[m]]].argmax()
+            parts.append((h1[s + i], h2[s + i], ids[pick], np.einsum("nd,nd->n", q[i], vec[pick])))
+    types = (np.int64, np.int64, np.int64, np.float64)
+    columns = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [np.zeros(0, t) for t in types]
+    return pa.table(dict(zip(("h1", "h2", "vec_id", "score"), columns, strict=True)))
 
 
 def search(rows: DataFrame, queries: Column, k: int = 20, vec_id: str = "vec_id", vec: str = "embedding") -> DataFrame:
@@ -151,61 +229,121 @@ def search(rows: DataFrame, queries: Column, k: int = 20, vec_id: str = "vec_id"
     dim = dimension(rows, vec)
     ident = F.col(vec_id).cast("long")
     slim = rows.where(usable(F.col(vec), dim) & ident.isNotNull()).select(
-        ident.alias("id"), F.col(vec).cast("array<double>").alias("vec"), F.coalesce(queries, F.lit(False)).alias("asks"))
-    slim = stage(slim.distinct(), "ann_rows")
+        ident.alias("id"), F.transform(F.col(vec).cast("array<double>"), lambda x: x + 0.0).alias("vec"),
+        F.coalesce(queries, F.lit(False)).alias("asks"))
+    slim = slim.withColumns({"h1": F.xxhash64("vec"), "h2": F.xxhash64(F.lit("ann"), "vec")})
+    slim = stage(slim.dropDuplicates(["id", "h1", "h2", "asks"]), "ann_rows")
+    few = F.row_number().over(Window.partitionBy("h1", "h2", "asks").orderBy("id"))
+    ids = F.slice(F.array_sort(F.array_distinct(F.collect_list("id"))), 1, k + 1)
+    distinct = stage(slim.withColumn("place", few).where(F.col("place") <= k + 1).groupBy("h1", "h2").agg(
+        F.first("vec").alias("vec"), F.max("asks").alias("asks"), ids.alias("ids")), "ann_distinct")
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))
-    facts = slim.agg(F.count("*").alias("n"), F.max(norm).alias("top"), F.sum(F.col("asks").cast("long")).alias("q")).first()
-    if not facts["n"] or not facts["q"]:
+    facts = distinct.agg(F.count("*").alias("n"), F.max(norm).alias("top"), F.max("asks").alias("asks")).first()
+    if not facts["n"] or not facts["asks"]:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    index = fit(sample(slim, "vec", dim, SAMPLE, facts["n"], "ann"), facts["top"], k)
-    placed = stage(_placed(slim, index, dim), "ann_placed")
-    full = {(r["t"], r["bucket"]): r["n"] for r in placed.groupBy("t", "bucket").agg(F.count("*").alias("n")).collect()}
-    blocks = F.create_map(*[x for (t, b), n in sorted(full.items())
-                            for x in (F.lit(t * SLOTS**DIRECTIONS + b), F.lit(math.ceil(n / BLOCK)))])
-    parts = blocks[F.col("t") * SLOTS**DIRECTIONS + F.col("bucket")]
-    asked_parts = math.ceil(facts["q"] / BLOCK)
-    vectors = placed.withColumns({
-        "block": F.pmod(F.xxhash64(F.lit("block"), "id"), parts).cast("int"),
-        "asker": F.explode(F.sequence(F.lit(0), F.lit(asked_parts - 1)))})
-    askers = _visits(slim.where("asks"), index, dim).withColumn("parts", parts).where("parts IS NOT NULL").withColumns({
-        "block": F.explode(F.sequence(F.lit(0), F.col("parts") - 1)),
-        "asker": F.pmod(F.xxhash64(F.lit("asker"), "id"), F.lit(asked_parts)).cast("int")}).drop("parts")
-    keys = ["t", "bucket", "block", "asker"]
-    found = vectors.groupBy(*keys).cogroup(askers.groupBy(*keys)).applyInArrow(
-        lambda a, b: best_of(a, b, k, dim), "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    sizes = {r["range"]: r["n"] for r in _sizes(distinct, facts["top"], dim).collect()}
+    drawn = distinct.where(F.pmod("h1", F.lit(1 << 30)) < int(min(1.0, 2 * SAMPLE / facts["n"]) * (1 << 30)))
+    x = matrix(drawn.orderBy("h2", "h1").limit(SAMPLE).select("vec").toArrow()["vec"], dim)
+    index = fit(x, sizes, facts["top"], k)
+    placed = stage(_placed(distinct, index, dim), "ann_placed")
+    asked = distinct.where("asks").select("h1", "h2", "vec")
+    best = stage(_packed(_meet(placed, _visits(asked, index, dim), k + 1, dim), k + 1), "ann_best")
+    # A query that met fewer ids than it must return visits every bucket of one table.
+    must = min(k + 1, slim.agg(F.count_distinct("id")).first()[0])
+    short = stage(asked.join(best.where(F.size("best") >= must).select("h1", "h2"), ["h1", "h2"], "left_anti"), "ann_short")
+    if not short.isEmpty():
+        every = F.array(*[F.struct(F.lit(r.first).cast("long").alias("from"), F.lit(r.first + r.size - 1).cast("long").alias("to"))
+                          for r in index.ranges.values()])
+        everywhere = short.withColumn("r", F.explode(every)).select(
+            "h1", "h2", "vec", F.explode(F.sequence("r.from", "r.to")).alias("bucket"))
+        again = _packed(_meet(placed, everywhere, k + 1, dim), k + 1)
+        best = best.where(F.size("best") >= must).unionByName(again)
+    return _ranked(slim.where("asks").select("id", "h1", "h2"), best, k)
 
 
-def _placed(slim: DataFrame, index: Index, dim: int) -> DataFrame:
-    """Every vector once for each table: (t, bucket, id, vec, buckets)."""
+def _sizes(distinct: DataFrame, top: float, dim: int) -> DataFrame:
+    """How many vectors each norm range holds."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            b = index.buckets(matrix(batch["vec"], dim)).astype(np.int32)
-            lists = pa.ListArray.from_arrays(np.arange(len(b) + 1, dtype=np.int32) * TABLES, pa.array(b.ravel()))
+            of, n = np.unique(range_of(matrix(batch["vec"], dim), top), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(of, pa.int32()), pa.array(n, pa.int64())], ["range", "n"])
+
+    return distinct.select("vec").mapInArrow(run, "range int, n long").groupBy("range").agg(F.sum("n").alias("n"))
+
+
+def _placed(distinct: DataFrame, index: Index, dim: int) -> DataFrame:
+    """Every distinct vector once for each table: (bucket, ids, vec)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of = index.buckets(matrix(batch["vec"], dim))
             for t in range(TABLES):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(b), t, np.int32)), pa.array(b[:, t]), batch["id"], batch["vec"], lists],
-                    ["t", "bucket", "id", "vec", "buckets"])
+                yield pa.RecordBatch.from_arrays([pa.array(of[:, t]), batch["ids"], batch["vec"]], ["bucket", "ids", "vec"])
 
-    return slim.select("id", "vec").mapInArrow(run, "t int, bucket int, id long, vec array<double>, buckets array<int>")
+    return distinct.select("ids", "vec").mapInArrow(run, "bucket long, ids array<long>, vec array<double>")
 
 
-def _visits(asks: DataFrame, index: Index, dim: int) -> DataFrame:
-    """Every query once for each bucket it visits: (t, bucket, id, vec, visited bits)."""
+def _visits(asked: DataFrame, index: Index, dim: int) -> DataFrame:
+    """Every query once for each bucket it visits: (h1, h2, vec, bucket)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for s in range(0, whole.num_rows, 256):
-                batch = whole.slice(s, 256)
-                visited = index.probes(matrix(batch["vec"], dim))
-                bits = np.packbits(visited.reshape(len(visited), -1), axis=1)
-                packed = pa.array([r.tobytes() for r in bits], pa.binary())
-                i, t, b = (a.astype(np.int32) for a in np.nonzero(visited))
+            for s in range(0, whole.num_rows, STEP):
+                batch = whole.slice(s, STEP)
+                i, bucket = index.probes(matrix(batch["vec"], dim))
+                at = pa.array(i)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(t), pa.array(b), batch["id"].take(pa.array(i)), batch["vec"].take(pa.array(i)),
-                     packed.take(pa.array(i))], ["t", "bucket", "id", "vec", "visited"])
+                    [batch["h1"].take(at), batch["h2"].take(at), batch["vec"].take(at), pa.array(bucket)],
+                    ["h1", "h2", "vec", "bucket"])
 
-    return asks.select("id", "vec").mapInArrow(run, "t int, bucket int, id long, vec array<double>, visited binary")
+    return asked.mapInArrow(run, "h1 long, h2 long, vec array<double>, bucket long")
+
+
+def _meet(placed: DataFrame, visits: DataFrame, k: int, dim: int) -> DataFrame:
+    """(h1, h2, vec_id, score): the best `k` ids of every block for each query that visits it."""
+    held = placed.groupBy("bucket").agg(F.sum(F.size("ids")).alias("n"))
+    seen = visits.groupBy("bucket").agg(F.count("*").alias("n"))
+    both = held.withColumnRenamed("n", "held").join(seen.withColumnRenamed("n", "seen"), "bucket")
+    large = stage(both.select("bucket", F.ceil(F.col("held") / BLOCK).alias("blocks"), F.ceil(F.col("seen") / BLOCK).alias("askers"))
+                  .where("blocks > 1 OR askers > 1"), "ann_large")
+
+    def dealt(rows: DataFrame, own: str, other: str, key: Column) -> DataFrame:
+        rows = lookup_join(rows, large, "bucket", "left").fillna(1, ["blocks", "askers"])
+        return rows.withColumns({"own": F.pmod(key, own), "other": F.explode(F.sequence(F.lit(0), F.col(other) - 1))}).select(
+            *[c for c in rows.columns if c not in ("blocks", "askers")],
+            F.col("own").alias(own[:-1]), F.col("other").alias(other[:-1]))
+
+    vectors = dealt(placed, "blocks", "askers", F.xxhash64(F.lit("block"), F.col("ids")))
+    askers = dealt(visits, "askers", "blocks", F.xxhash64(F.lit("asker"), "h1", "h2"))
+    keys = ["bucket", "block", "asker"]
+    return vectors.groupBy(*keys).cogroup(askers.groupBy(*keys)).applyInArrow(
+        lambda a, b: best_of(a, b, k, dim), "h1 long, h2 long, vec_id long, score double")
+
+
+def _packed(found: DataFrame, k: int) -> DataFrame:
+    """(h1, h2, best): the best `k` ids of each query as an array, best first."""
+    rank = F.row_number().over(Window.partitionBy("h1", "h2").orderBy(F.desc("score"), "vec_id"))
+    found = found.groupBy("h1", "h2", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", rank)
+    return found.where(F.col("rank") <= k).groupBy("h1", "h2").agg(
+        F.array_sort(F.collect_list(F.struct("rank", "vec_id", "score"))).alias("best"))
+
+
+def _ranked(asks: DataFrame, best: DataFrame, k: int) -> DataFrame:
+    """(query_id, rank, vec_id, score) of all ids that ask; a vector that very many ask with is salted."""
+    total = asks.count()
+    limit = max(BLOCK, total // 1000)
+    hot = F.broadcast(asks.groupBy("h1", "h2").count().where(F.col("count") > limit)  # fewer than 1,000 rows
+                      .select("h1", "h2", F.ceil(F.col("count") / limit).alias("salts")))
+    salts = F.coalesce("salts", F.lit(1).cast("long"))
+    asks = asks.join(hot, ["h1", "h2"], "left").withColumn("salt", F.pmod(F.xxhash64("id"), salts)).drop("salts")
+    best = best.join(hot, ["h1", "h2"], "left").withColumn(
+        "salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))).drop("salts")
+    others = F.filter("best", lambda b: b["vec_id"] != F.col("id"))
+    rows = asks.join(best, ["h1", "h2", "salt"]).select("id", F.posexplode(F.slice(others, 1, k)).alias("pos", "b"))
+    found = rows.select(F.col("id").alias("query_id"), (F.col("pos") + 1).alias("rank"), "b.vec_id", "b.score")
+    if asks.groupBy("id").count().where("count > 1").isEmpty():
+        return found
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", rank)
+    return found.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op6_ann(rows: DataFrame) -> DataFrame:

@@ -154,6 +154,65 @@ def test_odd_neighbours(spark, monkeypatch):
     assert [r["vec_id"] for r in same.collect()] == list(range(20))
 
 
+def clustered(kind):
+    """20,000 vectors around 200 centres, with one of 20 times the norm or uneven norms."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(200, 64))[rng.integers(0, 200, 20_000)] + 0.4 * rng.normal(size=(20_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if kind == "giant":
+        x[7] *= 20
+    return x * np.exp(0.5 * rng.normal(size=(len(x), 1))) if kind == "uneven" else x
+
+
+@pytest.mark.parametrize("kind", ["even", "giant", "uneven"])
+def test_buckets_prune(kind):
+    x = clustered(kind)
+    top = np.linalg.norm(x, axis=1).max()
+    sizes = dict(zip(*(a.tolist() for a in np.unique(ann.range_of(x, top), return_counts=True)), strict=True))
+    index = ann.fit(x[::2], {j: n for j, n in sizes.items()}, top, 20)
+    held, at = index.buckets(x), np.arange(1, len(x), 100)
+    query, bucket = index.probes(x[at])
+    met, recall = [], []
+    for n, a in enumerate(at):
+        seen = np.isin(held, bucket[query == n]).any(axis=1)
+        met.append(seen.mean())
+        recall.append(seen[[b for b in np.argsort(-(x @ x[a]))[:21] if b != a][:20]].mean())
+    assert np.mean(met) <= 0.25 and np.mean(recall) >= 0.95 and np.quantile(recall, 0.1) >= 0.85
+
+
+def test_neighbours_of_equal_vectors_and_ids_with_two(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 32)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, 8))
+    rows = [(k, x[k % 7 if k % 3 == 0 else k].tolist(), 0) for k in range(300)] + [(40, x[41].tolist(), 0), (5, x[9].tolist(), 0)]
+    of = defaultdict(list)
+    for i, v, _ in rows:
+        of[i].append(np.array(v))
+    got = defaultdict(list)
+    for r in ann.search(vectors(spark, rows), F.col("vec_id") % 20 == 0, 20).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
+    assert sorted(got) == list(range(0, 300, 20))
+    right = 0
+    for i, found in got.items():
+        score = {j: max(float(a @ b) for a in of[i] for b in of[j]) for j in of if j != i}
+        assert [f[0] for f in found] == list(range(1, 21)) and len({f[1] for f in found}) == 20
+        assert [(-f[2], f[1]) for f in found] == sorted((-f[2], f[1]) for f in found)
+        assert all(abs(f[2] - score[f[1]]) < 1e-12 for f in found)
+        edge = sorted(score.values())[-20] - 1e-9
+        right += sum(f[2] >= edge for f in found)
+    assert right >= 0.9 * 20 * len(got)
+
+
+def test_short_queries_visit_all_buckets(spark, monkeypatch):
+    monkeypatch.setattr(ann, "MASSES", (1e-9,))
+    monkeypatch.setattr(ann, "RECALL", 0.0)
+    monkeypatch.setattr(ann, "LEAST", 0.0)
+    monkeypatch.setattr(ann, "BUCKET", 2)
+    x = planted()
+    got = ann.op6_ann(vectors(spark, [(k, v.tolist(), 1) for k, v in enumerate(x)])).collect()
+    assert all(sum(r["query_id"] == i for r in got) == 20 for i in range(0, len(x), 20))
+
+
 def shingles(text):
     words = [w for w in "".join(c.lower() if c.isascii() else c for c in text or "").replace("\x1c", "_").split() if w]
     return frozenset([tuple(words)] if 0 < len(words) < 5 else [tuple(words[k:k + 5]) for k in range(len(words) - 4)])
