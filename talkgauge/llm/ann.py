@@ -1,6 +1,6 @@
 """Nearest neighbours by multiprobe p-stable hashing.
 
-Vectors are put into ranges by norm, each down to half of the one above, and each
+Vectors are put into ranges by norm, each down to 1 / `RATIO` of the one above, and each
 range has an index of its own, so that a few long vectors don't press the others
 together. In a range the largest inner product becomes the smallest distance by
 one more component: a vector gets what its norm lacks to the range's largest one, a
@@ -46,11 +46,11 @@ from talkgauge.llm.vectors import dimension, matrix, usable
 from talkgauge.operators.lookup import lookup_join
 from talkgauge.plans.staging import stage
 
-SAMPLE, TABLES, SLOTS, RANGES, BUCKET, BLOCK = 20_000, 2, 2, 40, 64, 4096
-RECALL, LEAST, FLOOR = 0.97, 0.7, 1e-5
+SAMPLE, TABLES, SLOTS, RANGES, BUCKET, BLOCK = 20_000, 2, 2, 80, 64, 4096
+RATIO, RECALL, LEAST, FLOOR = 2**0.5, 0.97, 0.7, 1e-5
 #: Queries of the sample, and queries that are judged at a time.
 ASKED, STEP = 256, 64
-MASSES = (*(m / 20 for m in range(2, 20)), 0.98, 0.99, 0.995)
+MASSES = (*(m / 20 for m in range(2, 18)), *(m / 100 for m in range(90, 100)), 0.995)
 
 
 @dataclass
@@ -136,8 +136,8 @@ class Index:
 
 
 def range_of(x: np.ndarray, top: float) -> np.ndarray:
-    """The norm range of each vector, from 0 for those above half of `top`."""
-    return np.clip(np.floor(np.log2(top) - np.log2(np.linalg.norm(x, axis=1))), 0, RANGES - 1).astype(int)
+    """The norm range of each vector, from 0 for those above `top` / `RATIO`."""
+    return np.clip(np.floor((np.log(top) - np.log(np.linalg.norm(x, axis=1))) / math.log(RATIO)), 0, RANGES - 1).astype(int)
 
 
 def _normal(z: np.ndarray) -> np.ndarray:
@@ -160,7 +160,7 @@ def fit(x: np.ndarray, sizes: dict[int, int], top: float, k: int, seed: int = 11
     for j, n in sorted(sizes.items()):
         drawn = (of == j).sum()
         directions = max(0, round(math.log(n / BUCKET, SLOTS))) if drawn >= 10 * SLOTS else 0
-        r = index.ranges[j] = Range(top / 2.0**j, directions, first, np.zeros((TABLES, directions, SLOTS - 1)))
+        r = index.ranges[j] = Range(top / RATIO**j, directions, first, np.zeros((TABLES, directions, SLOTS - 1)))
         first += TABLES * r.size
         if drawn:
             lifted = r.lifted(x[of == j]) / r.top
