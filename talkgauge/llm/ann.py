@@ -15,10 +15,11 @@ below `FLOOR` are not listed, as their number grows with the table. Candidates o
 and ranked by their exact inner product on the vectors as given.
 
 Equal vectors are one vector with the smallest `k` + 1 of its ids, which is all that a query
-can return of them, and are asked once. Vectors and queries meet by bucket. A bucket that holds or is
-visited by more than `BLOCK` is cut by hashes into blocks of about that many. A block
-keeps each query's best `k` + 1 ids, the query's own among them. A query that has met fewer
-ids than it must return visits all buckets.
+can return of them, and are asked once. Vectors and queries meet by part: buckets that differ in
+their last directions only, with about `PART` vectors. A query goes to a part once, with the
+buckets it visits there, and is compared with the vectors of those alone. A part of twice that many ids, or queries, is cut by
+hashes into blocks. A block keeps each query's best `k` + 1 ids, the query's own among
+them. A query that has met fewer ids than it must return visits all buckets.
 
 Bounds: directions, slots, shares of the ranges, usual distances and mass are fitted on
 `SAMPLE` distinct vectors, those of the smallest hashes; the mass rises until the sample's own mean
@@ -27,8 +28,8 @@ recall is `RECALL` and its second percentile `LEAST`. Every vector is indexed.
 Defined cases: vectors that are null, zero, of another length than most, or with
 null or non-finite components take no part; a query gets all candidates if they
 are fewer than `k`; ties go to the smaller id; an id with several vectors is one
-candidate, at its best, and asks with all of them, each candidate counting at its best; a
-query's own id is never its candidate.
+candidate and asks with all of them, a pair of ids counting at the best of its vectors' pairs that
+are met; a query's own id is never its candidate.
 """
 
 from __future__ import annotations
@@ -46,7 +47,7 @@ from talkgauge.llm.vectors import dimension, matrix, usable
 from talkgauge.operators.lookup import lookup_join
 from talkgauge.plans.staging import stage
 
-SAMPLE, TABLES, SLOTS, RANGES, BUCKET, BLOCK = 20_000, 2, 2, 80, 64, 4096
+SAMPLE, TABLES, SLOTS, RANGES, BUCKET, PART = 20_000, 2, 2, 80, 64, 16_384
 RATIO, RECALL, LEAST, FLOOR = 2**0.5, 0.97, 0.7, 1e-5
 #: Queries of the sample, and queries that are judged at a time.
 ASKED, STEP = 256, 64
@@ -196,25 +197,38 @@ def fit(x: np.ndarray, sizes: dict[int, int], top: float, k: int, seed: int = 11
 
 
 def best_of(table: pa.Table, queries: pa.Table, k: int, dim: int) -> pa.Table:
-    """(h1, h2, vec_id, score): each query's best `k` ids of a block, ties to smaller ids."""
+    """(h1, h2, vec_id, score): each query's best `k` ids of the buckets it visits in a block, ties to smaller ids.
+
+    A query whose `buckets` are null visits all.
+    """
     parts: list[tuple] = []
     if table.num_rows and queries.num_rows:
         lists = table["ids"].combine_chunks()
         ids, owner = lists.flatten().to_numpy(), np.repeat(np.arange(table.num_rows), lists.value_lengths().to_numpy())
         by_id = np.lexsort((owner, ids))
-        ids, vec = ids[by_id], matrix(table["vec"], dim)[owner[by_id]]
+        ids, vec, of = ids[by_id], matrix(table["vec"], dim)[owner[by_id]], table["bucket"].to_numpy()[owner[by_id]]
         starts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
         ends, n = np.append(starts[1:], len(ids)), min(k, len(starts))
-        asked, h1, h2 = matrix(queries["vec"], dim), queries["h1"].to_numpy(), queries["h2"].to_numpy()
-        for s in range(0, len(asked), 512):
-            q = asked[s:s + 512]
-            whole = q @ vec.T
+        held, first = np.unique(np.sort(of), return_index=True)
+        columns = dict(zip(held.tolist(), np.split(np.argsort(of, kind="stable"), first[1:]), strict=True))
+        h1, h2 = queries["h1"].to_numpy(), queries["h2"].to_numpy()
+        for s in range(0, queries.num_rows, 256):
+            some = queries.slice(s, 256)
+            q, visited = matrix(some["vec"], dim), some["buckets"].to_pylist()
+            askers: dict[int, list[int]] = {}
+            for row, buckets in enumerate(visited):
+                for bucket in columns if buckets is None else buckets:
+                    askers.setdefault(bucket, []).append(row)
+            whole = np.full((len(q), len(ids)), -np.inf)
+            for bucket in askers.keys() & columns.keys():
+                whole[np.ix_(askers[bucket], columns[bucket])] = q[askers[bucket]] @ vec[columns[bucket]].T
             score = np.maximum.reduceat(whole, starts, axis=1) if len(starts) < len(ids) else whole
             at = np.argpartition(-score, n - 1, axis=1)[:, :n]
             edge = np.take_along_axis(score, at, 1).min(axis=1, keepdims=True)
-            for r in np.flatnonzero((score >= edge).sum(axis=1) > n):  # ties at the edge: smaller ids
+            for r in np.flatnonzero((np.isfinite(edge) & (score >= edge)).sum(axis=1) > n):  # ties at the edge: smaller ids
                 at[r] = np.argsort(-score[r], kind="stable")[:n]
             i, j = np.repeat(np.arange(len(q)), n), at.ravel()
+            i, j = i[np.isfinite(score[i, j])], j[np.isfinite(score[i, j])]
             pick = starts[j]
             for m in np.flatnonzero(ends[j] - pick > 1):  # an id with several vectors: the best of them
                 pick[m] += whole[i[m], pick[m]:ends[j[m]]].argmax()
@@ -248,14 +262,13 @@ def search(rows: DataFrame, queries: Column, k: int = 20, vec_id: str = "vec_id"
     placed = stage(_placed(distinct, index, dim), "ann_placed")
     asked = distinct.where("asks").select("h1", "h2", "vec")
     best = stage(_packed(_meet(placed, _visits(asked, index, dim), k + 1, dim), k + 1), "ann_best")
-    # A query that met fewer ids than it must return visits every bucket of one table.
+    # A query that met fewer ids than it must return visits every bucket.
     must = min(k + 1, slim.agg(F.count_distinct("id")).first()[0])
     short = stage(asked.join(best.where(F.size("best") >= must).select("h1", "h2"), ["h1", "h2"], "left_anti"), "ann_short")
     if not short.isEmpty():
-        every = F.array(*[F.struct(F.lit(r.first).cast("long").alias("from"), F.lit(r.first + r.size - 1).cast("long").alias("to"))
-                          for r in index.ranges.values()])
-        everywhere = short.withColumn("r", F.explode(every)).select(
-            "h1", "h2", "vec", F.explode(F.sequence("r.from", "r.to")).alias("bucket"))
+        last = max(r.first + TABLES * r.size - 1 for r in index.ranges.values()) // (PART // BUCKET)
+        everywhere = short.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(last).cast("long"))).alias("part"),
+                                  "h1", "h2", "vec", F.lit(None).cast("array<long>").alias("buckets"))
         again = _packed(_meet(placed, everywhere, k + 1, dim), k + 1)
         best = best.where(F.size("best") >= must).unionByName(again)
     return _ranked(slim.where("asks").select("id", "h1", "h2"), best, k)
@@ -272,48 +285,54 @@ def _sizes(distinct: DataFrame, top: float, dim: int) -> DataFrame:
 
 
 def _placed(distinct: DataFrame, index: Index, dim: int) -> DataFrame:
-    """Every distinct vector once for each table: (bucket, ids, vec)."""
+    """Every distinct vector once for each table: (part, bucket, ids, vec)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             of = index.buckets(matrix(batch["vec"], dim))
             for t in range(TABLES):
-                yield pa.RecordBatch.from_arrays([pa.array(of[:, t]), batch["ids"], batch["vec"]], ["bucket", "ids", "vec"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(of[:, t] // (PART // BUCKET)), pa.array(of[:, t]), batch["ids"], batch["vec"]],
+                    ["part", "bucket", "ids", "vec"])
 
-    return distinct.select("ids", "vec").mapInArrow(run, "bucket long, ids array<long>, vec array<double>")
+    return distinct.select("ids", "vec").mapInArrow(run, "part long, bucket long, ids array<long>, vec array<double>")
 
 
 def _visits(asked: DataFrame, index: Index, dim: int) -> DataFrame:
-    """Every query once for each bucket it visits: (h1, h2, vec, bucket)."""
+    """Every query once for each part, with the buckets it visits there: (part, h1, h2, vec, buckets)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for s in range(0, whole.num_rows, STEP):
                 batch = whole.slice(s, STEP)
                 i, bucket = index.probes(matrix(batch["vec"], dim))
-                at = pa.array(i)
+                by = np.lexsort((bucket, i))
+                i, bucket = i[by], bucket[by]
+                part = bucket // (PART // BUCKET)
+                new = np.flatnonzero(np.append(True, (i[1:] != i[:-1]) | (part[1:] != part[:-1])))
+                at = pa.array(i[new])
+                lists = pa.ListArray.from_arrays(pa.array(np.append(new, len(i)), pa.int32()), pa.array(bucket))
                 yield pa.RecordBatch.from_arrays(
-                    [batch["h1"].take(at), batch["h2"].take(at), batch["vec"].take(at), pa.array(bucket)],
-                    ["h1", "h2", "vec", "bucket"])
+                    [pa.array(part[new]), batch["h1"].take(at), batch["h2"].take(at), batch["vec"].take(at), lists],
+                    ["part", "h1", "h2", "vec", "buckets"])
 
-    return asked.mapInArrow(run, "h1 long, h2 long, vec array<double>, bucket long")
+    return asked.mapInArrow(run, "part long, h1 long, h2 long, vec array<double>, buckets array<long>")
 
 
 def _meet(placed: DataFrame, visits: DataFrame, k: int, dim: int) -> DataFrame:
     """(h1, h2, vec_id, score): the best `k` ids of every block for each query that visits it."""
-    held = placed.groupBy("bucket").agg(F.sum(F.size("ids")).alias("n"))
-    seen = visits.groupBy("bucket").agg(F.count("*").alias("n"))
-    both = held.withColumnRenamed("n", "held").join(seen.withColumnRenamed("n", "seen"), "bucket")
-    large = stage(both.select("bucket", F.ceil(F.col("held") / BLOCK).alias("blocks"), F.ceil(F.col("seen") / BLOCK).alias("askers"))
-                  .where("blocks > 1 OR askers > 1"), "ann_large")
+    held = placed.groupBy("part").agg(F.sum(F.size("ids")).alias("held"))
+    seen = visits.groupBy("part").agg(F.count("*").alias("seen"))
+    large = stage(held.join(seen, "part").select(
+        "part", F.ceil(F.col("held") / (2 * PART)).alias("blocks"), F.ceil(F.col("seen") / (2 * PART)).alias("askers"))
+        .where("blocks > 1 OR askers > 1"), "ann_large")
 
     def dealt(rows: DataFrame, own: str, other: str, key: Column) -> DataFrame:
-        rows = lookup_join(rows, large, "bucket", "left").fillna(1, ["blocks", "askers"])
-        return rows.withColumns({"own": F.pmod(key, own), "other": F.explode(F.sequence(F.lit(0), F.col(other) - 1))}).select(
-            *[c for c in rows.columns if c not in ("blocks", "askers")],
-            F.col("own").alias(own[:-1]), F.col("other").alias(other[:-1]))
+        rows = lookup_join(rows, large, "part", "left").fillna(1, ["blocks", "askers"])
+        return rows.select(*[c for c in rows.columns if c not in ("blocks", "askers")], F.pmod(key, own).alias(own[:-1]),
+                           F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias(other[:-1]))
 
     vectors = dealt(placed, "blocks", "askers", F.xxhash64(F.lit("block"), F.col("ids")))
     askers = dealt(visits, "askers", "blocks", F.xxhash64(F.lit("asker"), "h1", "h2"))
-    keys = ["bucket", "block", "asker"]
+    keys = ["part", "block", "asker"]
     return vectors.groupBy(*keys).cogroup(askers.groupBy(*keys)).applyInArrow(
         lambda a, b: best_of(a, b, k, dim), "h1 long, h2 long, vec_id long, score double")
 
@@ -329,7 +348,7 @@ def _packed(found: DataFrame, k: int) -> DataFrame:
 def _ranked(asks: DataFrame, best: DataFrame, k: int) -> DataFrame:
     """(query_id, rank, vec_id, score) of all ids that ask; a vector that very many ask with is salted."""
     total = asks.count()
-    limit = max(BLOCK, total // 1000)
+    limit = max(PART, total // 1000)
     hot = F.broadcast(asks.groupBy("h1", "h2").count().where(F.col("count") > limit)  # fewer than 1,000 rows
                       .select("h1", "h2", F.ceil(F.col("count") / limit).alias("salts")))
     salts = F.coalesce("salts", F.lit(1).cast("long"))
