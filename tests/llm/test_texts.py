@@ -286,3 +286,28 @@ def test_gradients_of_the_network():
             down = loss()
             weights[at] = old
             assert abs((up - down) / 2e-5 - gradient[at]) < 1e-4
+
+
+def test_keys_that_no_label_shows_are_found(spark):
+    """Recall by kind of key at least 0.85 where only base spans label, and plain runs stay."""
+    import numpy as np
+
+    docs = table(spark, "documents").select("doc_id", "text")
+    net = secrets.fit(docs)
+    rng = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    kinds = [("0123456789abcdef", 20), (letters + "0123456789", 24), (letters + letters.upper() + "0123456789", 12),
+             (letters + letters.upper(), 24), (letters.upper() + "0123456789", 20)]
+    for characters, n in kinds:
+        found = 0
+        for _ in range(100):
+            key = "".join(rng.choice(characters) for _ in range(n))
+            found += any(kind in (2, 3) for _, kind, _ in secrets.find(f"the value was {key} as we saw", net))
+        assert found >= 85, characters
+    spans = [s for r in docs.collect() for s in secrets.find(r["text"], net) if s[1] == 3]
+    assert len(spans) <= docs.count() // 100
+    words = [r["text"] for r in docs.limit(50).collect() if r["text"]]
+    windows = np.array([secrets.window(t, 0, 8) for t in words], np.int64)
+    x, y, of = secrets.redrawn(windows, np.zeros(len(windows)), np.random.default_rng(1), 20)
+    assert len(x) == len(y) == len(of) and y.sum() == 20 * len(secrets.ALPHABETS)
+    assert {k.removesuffix("_short") for k, label in zip(of, y, strict=True) if label} == set(secrets.ALPHABETS)
