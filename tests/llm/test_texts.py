@@ -293,8 +293,11 @@ def test_keys_that_no_label_shows_are_found(spark):
     import numpy as np
 
     docs = table(spark, "documents").select("doc_id", "text")
-    net = secrets.fit(docs)
     rng = random.Random(9)
+    labelled = documents(spark, [f"{r['text'][:200]} token = {rng.randbytes(20).hex()} {r['text'][200:]}" for r in docs.collect()
+                                 if r["text"]], 10_000).select("doc_id", "text")
+    net = secrets.fit(docs.unionByName(labelled))
+    assert net is not None
     letters = "abcdefghijklmnopqrstuvwxyz"
     kinds = [("0123456789abcdef", 20), (letters + "0123456789", 24), (letters + letters.upper() + "0123456789", 12),
              (letters + letters.upper(), 24), (letters.upper() + "0123456789", 20)]
