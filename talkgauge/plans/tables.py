@@ -34,7 +34,7 @@ class Tables:
 
     @cached_property
     def dims(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        return events.org_dims(self.events)
+        return events.org_dims(stage(self.events.select("user_id").distinct(), "users"))
 
     @cached_property
     def user_org(self) -> DataFrame:

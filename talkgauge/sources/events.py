@@ -123,11 +123,19 @@ def line_sql(idiv: str) -> dict[str, str]:
     }
 
 
+#: Tasks for each split, once there are as many splits as cores.
+SPREAD = 4
+
+
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table; one with fewer splits than cores is spread over all cores."""
+    """The events table, dealt by id over all cores, or over `SPREAD` tasks a split if those are more.
+
+    Splits say nothing of the rows in them: a row group lies in one split whatever its
+    size, and a line costs far more to parse than to deal.
+    """
     rows = spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    cores, splits = spark.sparkContext.defaultParallelism, rows.rdd.getNumPartitions()
+    return rows.repartition(cores if splits < cores else SPREAD * splits, "event_id")
 
 
 def event_ms() -> F.Column:

@@ -4,8 +4,12 @@ import contextlib
 import io
 import re
 
+from conftest import SF_DIR
+from pyspark.sql import functions as F
+
 from talkgauge.operators import enrich, loads, online, parse, windows
 from talkgauge.plans.staging import stage
+from talkgauge.sources.events import read_events
 
 
 def plan(df):
@@ -60,3 +64,19 @@ def test_no_cross_joins_and_no_python(spark, tables):
     ):
         text = plan(df)
         assert "CartesianProduct" not in text and "NestedLoop" not in text and "Python" not in text
+
+
+def test_events_of_one_row_group_are_spread(spark):
+    """A row group lies in one split, so splits alone leave all of its lines to one task."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        rows = read_events(spark, SF_DIR)
+        sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(sizes) > 1 and max(sizes) < sum(sizes) / 4
+    assert rows.exceptAll(spark.read.parquet(f"{SF_DIR}/events.parquet")).count() == 0
+
+
+def test_dimensions_read_staged_users(tables):
+    assert all(any("/users" in f for f in dim.inputFiles()) for dim in tables.dims)
