@@ -1,6 +1,8 @@
 """Toxicity: held-out accuracy, disguised words, and trees and calibration against plain versions."""
 
+import math
 import os
+import re
 
 import numpy as np
 import pytest
@@ -137,3 +139,29 @@ def test_labels_of_held_out_documents_are_not_learned(larger):
     docs, labels = docs.where("doc_id < 1500"), labels.where("doc_id < 1500")
     flipped = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
     assert rows_of(toxicity.op13_toxicity(docs, labels)) == rows_of(toxicity.op13_toxicity(docs, flipped))
+
+
+def test_a_token_is_read_once_and_features_stay_plain(monkeypatch):
+    """A reader judges a token once in all its texts, and counts are those of plain patterns."""
+    calls = []
+    plain = toxicity.spelled
+    monkeypatch.setattr(toxicity, "spelled", lambda token: calls.append(token) or plain(token))
+    texts = ["Ordinary considerable words, you IDIOT!! i d i o t ?!x", "a.b-c À É $hit 1d10t\ud800", "a b", "", None, "!?! #@ x"]
+    lexicon = {"idiot": 2.0, "consi*": 1.5}
+    reader = toxicity.Reader(lexicon)
+    first = toxicity.features(["ordinary words ordinary"] * 3, lexicon, reader)
+    toxicity.features(["words ordinary"], lexicon, reader)
+    assert sorted(calls) == ["ordinary", "words"] and (first == first[0]).all()
+    rows = toxicity.features(texts * 2, lexicon, reader)
+    assert (rows[:6] == rows[6:]).all() and (rows[:6] == toxicity.features(texts, lexicon)).all()
+    for row, text in zip(rows, texts, strict=False):
+        of = dict(zip(toxicity.FEATURES, row, strict=True))
+        words, n = toxicity.words_of(text or ""), len(toxicity.words_of(text or "")) or 1
+        runs = [len(r) for r in re.findall("[!?]+", text or "")]
+        assert of["log_words"] == math.log1p(len(words)) and of["lexicon_rate"] == sum(w == "idiot" for w, _ in words) / n
+        assert of["stem_rate"] == sum(w.startswith("consi") and len(w) > 5 for w, _ in words) / n
+        assert of["obfuscated_rate"] == sum(hidden for _, hidden in words) / n
+        assert of["shout_rate"] == sum(runs) / n and of["shout_run"] == max(runs, default=0)
+        assert of["capital_words"] == sum(t.isupper() for t in (text or "").split()) / n
+        for name, pattern in (("capital_rate", "[A-ZÀ-ÖØ-Þ]"), ("mark_rate", r"[^\w\s]"), ("symbol_rate", "[#$%&*@^~|]")):
+            assert of[name] == len(re.findall(pattern, text or "")) / max(1, len(text or ""))
