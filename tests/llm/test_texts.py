@@ -11,6 +11,7 @@ from tokenizers import Tokenizer
 
 from helpers import documents, table
 from talkgauge.llm import bpe, langid, quality, secrets
+from talkgauge.plans.staging import stage
 from talkgauge.llm.common import prepare
 
 ODD = [None, "", " \n\t", "It's the THÉ wörld's 3½ <|endoftext|> x<|startoftext|>y <|end", "İΣς ﬁ 中文 \U0001f600 é\x85\x1c", "a" * 50_000 + "=" * 20_000, "Δοκιμή ǅ ʰ"]
@@ -314,3 +315,42 @@ def test_keys_that_no_label_shows_are_found(spark):
     x, y, of = secrets.redrawn(windows, np.zeros(len(windows)), np.random.default_rng(1), 20)
     assert len(x) == len(y) == len(of) and y.sum() == 20 * len(secrets.ALPHABETS)
     assert {k.removesuffix("_short") for k, label in zip(of, y, strict=True) if label} == set(secrets.ALPHABETS)
+
+
+def test_secrets_are_learned_from_all_documents(spark, monkeypatch):
+    """Every candidate and word of all documents is an example, and shards whose ends are averaged find keys."""
+    import numpy as np
+
+    docs = table(spark, "documents").select("doc_id", "text")
+    rng = random.Random(4)
+    labelled = documents(spark, [f"{r['text'][:300]} token = {rng.randbytes(20).hex()} \u00e9" for r in docs.collect()
+                                 if r["text"]], 10_000).select("doc_id", "text")
+    docs = docs.unionByName(labelled)
+    staged = {}
+
+    def keep(rows, name):
+        staged[name] = stage(rows, name)
+        return staged[name]
+
+    monkeypatch.setattr(secrets, "stage", keep)
+    monkeypatch.setattr(secrets, "WORDS", 1_000)
+    net = secrets.fit(docs)
+    keys, words = set(), set()
+    for r in docs.collect():
+        text = r["text"] or ""
+        known = [(s, e) for s, _, e in secrets.base_spans(text)] + [m.span(1) for m in secrets.LOGIN.finditer(text)]
+        keys |= {x[0] for x in secrets.examples_of(text, known, False)}
+        runs = [m for m in secrets.RUN.finditer(text) if m.span() not in set(secrets.candidates(text))]
+        words |= {m[0].encode() for m in runs if secrets.plain(m[0])
+                  and not any(s < m.end() and m.start() < e for s, e in known)}
+    found = {(bytes(r["key"]), r["word"]) for r in staged["secrets_examples"].collect()}
+    assert len(words) > 1_500 and found == {(k, False) for k in keys} | {(w, True) for w in words}
+    rows = staged["secrets_shards"].collect()
+    redrawn = len(secrets.ALPHABETS) * secrets.DRAWN + 2 * secrets.DRAWN
+    assert len(rows) > 1 and sum(len(r["y"]) - redrawn for r in rows) == len(keys) + len(words)
+    turns = np.concatenate([np.frombuffer(r["turn"], np.uint8) for r in rows])
+    assert (turns == 255).sum() < 0.3 * len(turns) and turns[turns < 254].max() < secrets.ROUNDS
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789"
+    hits = sum(any(kind == 3 for _, kind, _ in secrets.find(
+        f"the value was {''.join(rng.choice(letters) for _ in range(24))} as we saw", net)) for _ in range(100))
+    assert hits >= 85
