@@ -5,10 +5,13 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _KEY = "spark.checkpoint.dir"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _OWN: dict[str, str] = {}
 _MADE: dict[str, list[str]] = {}
 
@@ -54,3 +57,17 @@ def stage(rows: DataFrame, name: str) -> DataFrame:
     path = f"{run_folder(spark)}/{name}"
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of queries run meanwhile go when each ends, not when the driver happens to collect its garbage."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)

@@ -5,6 +5,7 @@ import glob
 import os
 import random
 import threading
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -15,6 +16,7 @@ from helpers import documents, table
 from talkgauge.llm import ann, embedding_dedup, jaccard
 from talkgauge.llm.common import prepare
 from talkgauge.llm.components import connected_components
+from talkgauge.plans.staging import shuffles_removed
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -150,6 +152,18 @@ def test_tiles_are_not_shuffled_for_each_pair(spark, monkeypatch):
         7 * k: (near[k].sum(), 7 * expected[k]) for k in range(len(x))}
 
 
+def test_shuffle_files_go_with_their_query(spark, tmp_path):
+    rows = spark.range(50_000).withColumn("r", F.rand(1)).repartition(5, "r")
+    with shuffled(spark) as files, shuffles_removed(spark):
+        rows.write.parquet(str(tmp_path / "rows"))
+        time.sleep(0.2)
+    until = time.time() + 20
+    while any(os.path.exists(f) for f in files) and time.time() < until:
+        time.sleep(0.1)
+    assert sum(files.values()) > 100_000 and not any(os.path.exists(f) for f in files)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
+
+
 def test_vectors_with_equal_hashes_stay_apart(spark, monkeypatch):
     keys = embedding_dedup._keys
     monkeypatch.setattr(embedding_dedup, "_keys", lambda vec, turn: [k % 3 if turn < 2 else k for k in keys(vec, turn)])
